@@ -143,17 +143,26 @@ DEFAULT_BOUNDS = {"price": (presets.PRICE_MIN, presets.PRICE_MAX),
 # ----------------------------------------------------------------------- P15
 def clean_data(df: DataFrame, key: str = "id", order: Sequence[str] | None = None,
                target: str = presets.TARGET, bounds: dict | None = None,
-               approx_median: bool = False) -> DataFrame:
+               approx_median: bool = False, materialize: bool = False) -> DataFrame:
     """Whole cleaning chain in the fixed order
-    dedupe -> cast -> units -> target -> geo -> fill -> drop sparse -> outliers."""
+    dedupe -> cast -> units -> target -> geo -> fill -> drop sparse -> outliers.
+
+    ``materialize=True`` cuts lineage after the dedupe/filter steps, so the
+    median pass and the main pass read the deduplicated rows once instead of
+    repeating the dedupe shuffle.
+    """
+    from leasekit.session import materialize as _mat
+
     bounds = bounds or DEFAULT_BOUNDS
-    return (df.transform(lambda d: drop_duplicates(d, key, order))
+    kept = (df.transform(lambda d: drop_duplicates(d, key, order))
               .transform(cast_types)
               .transform(normalize_price_units)
               .transform(lambda d: drop_missing(d, [target]))
               .transform(lambda d: drop_missing(d, presets.GEO_COLUMNS))
-              .transform(fill_empty)
-              .transform(lambda d: fill_median(d, approx=approx_median))
+              .transform(fill_empty))
+    if materialize:
+        kept = _mat(kept)
+    return (kept.transform(lambda d: fill_median(d, approx=approx_median))
               .transform(lambda d: drop_columns(d, presets.SPARSE_COLUMNS))
               .transform(lambda d: range_filter(d, bounds)))
 

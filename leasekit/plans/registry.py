@@ -54,15 +54,19 @@ ORDER = ["row_ord_price", "row_ord_part"]
 
 
 def cleaned(spark: SparkSession, d: str) -> DataFrame:
+    """LV after the cleaning chain, materialized once (the dedupe shuffle feeds
+    the median statistics and every later step)."""
     from leasekit.operators.clean import clean_data
+    from leasekit.session import materialize
 
-    return clean_data(lv(spark, d), key="id", order=ORDER)
+    return materialize(clean_data(lv(spark, d), key="id", order=ORDER, materialize=True))
 
 
 def featured(spark: SparkSession, d: str) -> DataFrame:
     from leasekit.operators.features import build_features
+    from leasekit.session import materialize
 
-    return build_features(cleaned(spark, d))
+    return materialize(build_features(cleaned(spark, d)))
 
 
 @lru_cache(maxsize=None)

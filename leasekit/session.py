@@ -57,3 +57,24 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
             pass
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def materialize(df, mode: str | None = None):
+    """Cut lineage at a table that several later steps read.
+
+    ``checkpoint`` (default) writes the rows to the shared folder named by
+    ``spark.checkpoint.dir``, so later stages scan it once instead of
+    re-running joins and shuffles, and a lost executor does not force a
+    recomputation from the source files. ``persist`` keeps it in executor
+    memory/disk instead; ``none`` returns the plan unchanged.
+    """
+    spark = df.sparkSession
+    mode = mode or spark.conf.get("leasekit.materialize", "checkpoint")
+    if mode == "none":
+        return df
+    if mode == "persist":
+        from pyspark import StorageLevel
+
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(spark)
+    return df.checkpoint(eager=True)

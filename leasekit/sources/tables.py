@@ -19,7 +19,7 @@ def read_prepared(spark: SparkSession, path: str, sample_fraction: float | None
                   seed: int = 42, key: str = "id", text_columns: list[str] | None = None) -> DataFrame:
     """S3: read a prepared parquet dataset, optionally a deterministic sample, plus a joined text column."""
     from leasekit.functions.text import join_text
-    from leasekit.sources.sample import hash_fraction_sample
+    from leasekit.operators.split import hash_fraction_sample
 
     df = spark.read.parquet(path)
     if sample_fraction is not None:
