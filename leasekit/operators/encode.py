@@ -30,8 +30,16 @@ def fit_median(df: DataFrame, columns: Sequence[str], split: str | None = "split
                      for c in columns])
 
 
-def apply_fill(df: DataFrame, stats: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: F.coalesce(F.col(c), stats.select(c).scalar()) for c in columns})
+def _one_row(stats: DataFrame) -> dict:
+    """Fitted one-row statistics, fetched once (a single bounded row) and inlined
+    as literals: scalar subqueries would embed the whole upstream plan once per column."""
+    row = stats.first()
+    return row.asDict() if row is not None else {}
+
+
+def apply_fill(df: DataFrame, stats: DataFrame | dict, columns: Sequence[str]) -> DataFrame:
+    vals = stats if isinstance(stats, dict) else _one_row(stats)
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(vals[c])) for c in columns if vals.get(c) is not None})
 
 
 # ----------------------------------------------------------------------- E2
@@ -45,10 +53,11 @@ def fit_standard(df: DataFrame, columns: Sequence[str], split: str | None = "spl
     return src.agg(*aggs)
 
 
-def apply_standard(df: DataFrame, stats: DataFrame, columns: Sequence[str]) -> DataFrame:
+def apply_standard(df: DataFrame, stats: DataFrame | dict, columns: Sequence[str]) -> DataFrame:
+    vals = stats if isinstance(stats, dict) else _one_row(stats)
     return df.withColumns({
-        c: (F.col(c) - stats.select(f"{c}__mean").scalar()) / stats.select(f"{c}__std").scalar()
-        for c in columns})
+        c: (F.col(c) - F.lit(vals[f"{c}__mean"])) / F.lit(vals[f"{c}__std"])
+        for c in columns if vals.get(f"{c}__mean") is not None})
 
 
 # ----------------------------------------------------------------------- E3
@@ -142,7 +151,7 @@ def target_encode_oof(df: DataFrame, cat: str, y: str = presets.TARGET, id_col:
     """
     out = out or f"{cat}_te"
     train = _train(df, split)
-    centre = train.agg(F.avg(y)).scalar()
+    centre = F.lit(train.agg(F.avg(y)).first()[0])
     t = (train.withColumn("fold", bucket(F.col(id_col), f"{seed}|fold", folds))
               .withColumn("_yc", F.col(y) - centre))
 
@@ -156,10 +165,10 @@ def target_encode_oof(df: DataFrame, cat: str, y: str = presets.TARGET, id_col:
     # Global out-of-fold mean/variance: one row per fold (a proven bound), broadcast.
     g_fold = t.groupBy(F.col("fold").alias("_gfold")).agg(
         F.count(y).alias("_gn"), F.sum("_yc").alias("_gs"), F.sum(F.col("_yc") * F.col("_yc")).alias("_gq"))
-    g_all = g_fold.agg(F.sum("_gn").alias("n"), F.sum("_gs").alias("s"), F.sum("_gq").alias("q"))
-    gn = g_all.select("n").scalar() - F.col("_gn")
-    gs = g_all.select("s").scalar() - F.col("_gs")
-    gq = g_all.select("q").scalar() - F.col("_gq")
+    g_all = g_fold.agg(F.sum("_gn").alias("n"), F.sum("_gs").alias("s"), F.sum("_gq").alias("q")).first()
+    gn = F.lit(g_all["n"]) - F.col("_gn")
+    gs = F.lit(g_all["s"]) - F.col("_gs")
+    gq = F.lit(g_all["q"]) - F.col("_gq")
     g = g_fold.select("_gfold", (gs / gn).alias("_gm"), (gq / gn - (gs / gn) * (gs / gn)).alias("_gv"))
 
     rows = (t.join(stats, F.col(cat).eqNullSafe(F.col("_cat")) & (F.col("fold") == F.col("_sfold")), "left")
@@ -172,10 +181,10 @@ def target_encode_oof(df: DataFrame, cat: str, y: str = presets.TARGET, id_col:
 def fit_target_encoding(df: DataFrame, cat: str, y: str = presets.TARGET, split: str | None = "split") -> DataFrame:
     """E6 fit: per-category encoding from all training rows, plus the global mean row (``_cat`` null, ``_global``)."""
     train = _train(df, split)
-    centre = train.agg(F.avg(y)).scalar()
+    r = train.agg(F.avg(y), F.var_pop(y)).first()
+    centre, var_y = F.lit(r[0]), F.lit(r[1])
     t = train.withColumn("_yc", F.col(y) - centre)
     per_cat = _te_stats(t, cat, y, None)
-    var_y = t.agg(F.var_pop(y)).scalar()
     n, s, q = F.col("_n"), F.col("_s"), F.col("_q")
     # Statistics are centred on the training mean, whose centred mean is 0.
     enc = _shrink(n, s, q, centre, var_y, centre)
@@ -186,7 +195,7 @@ def apply_target_encoding(df: DataFrame, enc: DataFrame, cat: str, y: str = pres
                           train: DataFrame | None = None, out: str | None = None) -> DataFrame:
     """Encoding for any rows; unseen category -> training mean."""
     out = out or f"{cat}_te"
-    mean = (train if train is not None else df).agg(F.avg(y)).scalar()
+    mean = F.lit((train if train is not None else df).agg(F.avg(y)).first()[0])
     e = enc.select(F.col(cat).alias("_cat"), F.col("encoding").alias("_enc"))
     joined = df.join(e, F.col(cat).eqNullSafe(F.col("_cat")), "left")
     return joined.select(*df.columns, F.coalesce(F.col("_enc"), mean).alias(out))

@@ -188,3 +188,230 @@ def q_tfidf_listings(spark, d):
     docs = tr.select("id", join_text("title_clean", "body_clean").alias("text"))
     _, weights = TV.tfidf_fit_transform(docs, "id", "text")
     return weights.select(F.col("doc").alias("id"), "term", rnd("weight", 6).alias("weight"))
+
+
+# ------------------------------------------------------------------ M1 M2 M10 M12 (oracle-able)
+def _split_sql_ctes():
+    return with_split("tr AS (SELECT * FROM fsp WHERE split = 'train')", "va AS (SELECT * FROM fsp WHERE split = 'val')")
+
+
+@query("dummy_median", "M1 A8", sql=lambda: _split_sql_ctes() + """,
+x AS (SELECT price AS y, (SELECT median(price) FROM tr) AS p FROM va)
+SELECT """ + METRIC_SQL + " FROM x")
+def q_dummy(spark, d):
+    from leasekit.operators.models import MedianDummy
+
+    df = split_features(spark, d).select("id", "split", F.col("price").alias("label"))
+    model = MedianDummy().fit(df.filter(F.col("split") == "train"))
+    pred = model.transform(df.filter(F.col("split") == "val"))
+    return _round_metrics(EV.compute_metrics(pred, "label", "prediction"))
+
+
+def _one_feature(spark, d, log=False):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    df = split_features(spark, d).select("id", "split", "square_feet", F.col("price").alias("y"))
+    df = df.withColumn("label", F.log1p("y") if log else F.col("y"))
+    df = VectorAssembler(inputCols=["square_feet"], outputCol="features").transform(df)
+    model = LinearRegression(solver="normal").fit(df.filter(F.col("split") == "train"))
+    return df, model
+
+
+@query("linear_ols", "M2", sql=lambda: _split_sql_ctes() + """
+SELECT round(regr_slope(price, square_feet), 6) AS slope, round(regr_intercept(price, square_feet), 4) AS intercept
+FROM tr""")
+def q_ols(spark, d):
+    _, model = _one_feature(spark, d)
+    return spark.createDataFrame([(float(model.coefficients[0]), float(model.intercept))], "slope double, intercept double") \
+        .select(rnd("slope", 6).alias("slope"), rnd("intercept", 4).alias("intercept"))
+
+
+@query("log_target", "M12 F20", sql=lambda: _split_sql_ctes() + """,
+coef AS (SELECT regr_slope(ln(1 + price), square_feet) AS b, regr_intercept(ln(1 + price), square_feet) AS a FROM tr),
+x AS (SELECT price AS y, exp(a + b * square_feet) - 1 AS p FROM va, coef)
+SELECT round(avg(abs(y - p)), 3) AS mae, round(median(abs(y - p)), 3) AS median_ae FROM x""")
+def q_log_target(spark, d):
+    df, model = _one_feature(spark, d, log=True)
+    pred = model.transform(df.filter(F.col("split") == "val")).withColumn("prediction", F.expm1("prediction"))
+    m = EV.compute_metrics(pred, "y", "prediction")
+    return m.select(rnd("mae", 3).alias("mae"), rnd("median_ae", 3).alias("median_ae"))
+
+
+@query("voting_mean", "M10", sql="""
+WITH x AS (SELECT l_extendedprice AS y, l_extendedprice * (1 - l_discount) AS p1, l_extendedprice * (1 + l_tax) AS p2,
+  l_quantity * 1000 AS p3 FROM lineitem)
+SELECT round(avg(abs(y - (p1 + p2 + p3) / 3)), 4) AS mae, count(*) AS n FROM x""")
+def q_voting(spark, d):
+    li = read_table(spark, d, "lineitem")
+    preds = li.select(F.col("l_extendedprice").alias("y"),
+                      (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("p1"),
+                      (F.col("l_extendedprice") * (1 + F.col("l_tax"))).alias("p2"),
+                      (F.col("l_quantity") * 1000).alias("p3"))
+    avg = preds.withColumn("prediction", (F.col("p1") + F.col("p2") + F.col("p3")) / 3)
+    return avg.agg(rnd(F.avg(F.abs(F.col("y") - F.col("prediction"))), 4).alias("mae"),
+                   F.count(F.lit(1)).alias("n"))
+
+
+@query("residuals", "I4", sql=lambda: _split_sql_ctes() + """
+SELECT id, price AS y, round((SELECT median(price) FROM tr), 4) AS p,
+  round(price - (SELECT median(price) FROM tr), 4) AS residual FROM va""")
+def q_residuals(spark, d):
+    from leasekit.operators.models import MedianDummy, residuals
+
+    df = split_features(spark, d).select("id", "split", F.col("price").alias("label"))
+    pred = MedianDummy().fit(df.filter(F.col("split") == "train")).transform(df.filter(F.col("split") == "val"))
+    r = residuals(pred.withColumnRenamed("label", "label"))
+    return pred.select("id", F.col("label").alias("y"), rnd("prediction", 4).alias("p"),
+                       rnd(F.col("label") - F.col("prediction"), 4).alias("residual")) if r is not None else r
+
+
+# ------------------------------------------------------------------ rows-only model stages
+SMALL = 0.05  # tree/iteration scale for the per-query runs; full presets with scale=1.0
+
+
+def _matrix(spark, d, **kw):
+    from leasekit.operators.models import prepare_matrix
+
+    return prepare_matrix(split_features(spark, d), **kw)
+
+
+def _model_query(name):
+    def fn(spark, d):
+        from leasekit.operators.models import run_experiment
+
+        return run_experiment(name, name, _matrix(spark, d), scale=SMALL)
+    return fn
+
+
+for _m, _ops in [("ridge", "M4"), ("lasso", "M5"), ("decision_tree", "M6"), ("random_forest", "M7"),
+                 ("xgboost", "M8"), ("extra_trees", "M9")]:
+    query(f"model_{_m}", f"{_ops} M13")(_model_query(_m))
+
+
+@query("model_stacking", "M11 J8")
+def q_stacking(spark, d):
+    from leasekit.operators.models import run_experiment
+
+    return run_experiment("stacking", "stacking_lgbm_rf_ridge", _matrix(spark, d), scale=SMALL)
+
+
+@query("model_voting", "M10")
+def q_voting_models(spark, d):
+    from leasekit.operators.models import run_experiment
+
+    return run_experiment("voting", "voting_lgbm_xgb_rf", _matrix(spark, d), scale=SMALL)
+
+
+@query("baseline_suite", "M14 E12 M1 M2 M3")
+def q_baseline(spark, d):
+    from leasekit.operators.models import prepare_matrix, run_suite
+
+    df = split_features(spark, d)
+    raw = prepare_matrix(df, use_target_encoding=False, numeric=presets.RAW_NUMERIC, low_card=[])
+    fe = prepare_matrix(df, use_target_encoding=False)
+    models = ["dummy_median", "linear_regression", "knn_10"]
+    return run_suite("baseline_raw", models, raw).unionByName(run_suite("baseline_fe", models, fe))
+
+
+@query("split_honesty", "G7 G4 M3")
+def q_split_honesty(spark, d):
+    from leasekit.operators import split as SP2
+    from leasekit.operators.models import prepare_matrix, run_experiment
+
+    f = SP.add_listing_group(split_features(spark, d).drop("split"))
+    out = None
+    for kind, df in [("group", SP2.group_split(f)), ("naive", SP2.naive_split(f))]:
+        m = prepare_matrix(df, use_target_encoding=False)
+        r = run_experiment(f"split_{kind}", "knn_10", m)
+        leak = SP2.leakage_check(df).select(F.lit(f"split_{kind}").alias("run"), F.lit("knn_10").alias("model"),
+                                            F.lit("shared_groups").alias("metric"),
+                                            F.col("shared_groups").cast("double").alias("value"))
+        r = r.unionByName(leak)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@query("feature_ablation", "M16 E11 E5")
+def q_ablation(spark, d):
+    from leasekit.operators.models import prepare_matrix, run_experiment
+
+    df = split_features(spark, d)
+    runs = [("no_te", dict(use_target_encoding=False), False), ("te", dict(), False),
+            ("te_text", dict(use_text=True, text_components=10), False),
+            ("te_text_log", dict(use_text=True, text_components=10), True)]
+    out = None
+    for name, kw, log in runs:
+        r = run_experiment(name, "lightgbm", prepare_matrix(df, **kw), scale=SMALL, log_target=log)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@query("model_zoo", "M15 M13 A20")
+def q_zoo(spark, d):
+    from leasekit.operators.evaluate import metrics_table
+    from leasekit.operators.models import run_suite
+
+    runs = run_suite("zoo", ["ridge", "lasso", "decision_tree", "hist_gb"], _matrix(spark, d), scale=SMALL)
+    return metrics_table(runs.filter(F.col("metric") != "fit_seconds"))
+
+
+@query("pca_variance", "E9 E10")
+def q_pca(spark, d):
+    from leasekit.operators.dimred import explained_variance_table, fit_pca
+
+    m = _matrix(spark, d, use_target_encoding=False)
+    model = fit_pca(m.data.filter(F.col("split") == "train"), k=min(20, len(m.names)))
+    return explained_variance_table(model, spark)
+
+
+@query("dimred_sweep", "M18 E9 J6")
+def q_dimred(spark, d):
+    from leasekit.operators.dimred import pca_knn_sweep
+
+    m = _matrix(spark, d, use_target_encoding=False)
+    return pca_knn_sweep(m, grid=[2, 5, 10])
+
+
+@query("svd_text", "E8")
+def q_svd(spark, d):
+    docs = read_table(spark, d, "documents")
+    vocab, weights = TV.tfidf_fit_transform(docs, "doc_id", "text")
+    scores, s, _ = TV.truncated_svd(weights, vocab, k=10)
+    return scores
+
+
+@query("hyper_search", "M19 M20 W1 T3")
+def q_search(spark, d):
+    from leasekit.operators.search import best_params, random_search
+
+    trials = random_search(_matrix(spark, d), n_trials=3, scale=SMALL)
+    return best_params(trials)
+
+
+@query("importance", "I1 I3 A17")
+def q_importance(spark, d):
+    from leasekit.operators.models import builtin_importance, make_model
+
+    m = _matrix(spark, d)
+    model = make_model("random_forest", scale=SMALL).fit(m.data.filter(F.col("split") == "train"))
+    imp = builtin_importance(model, m.names, spark, top=len(m.names))
+    return R.group_importance(imp)
+
+
+@query("permutation_importance", "I2")
+def q_perm(spark, d):
+    from leasekit.operators.models import make_model, permutation_importance
+
+    m = _matrix(spark, d, use_target_encoding=False)
+    model = make_model("linear_regression").fit(m.data.filter(F.col("split") == "train"))
+    return permutation_importance(model, m, repeats=2)
+
+
+@query("final_model", "M21 A7 U1 S9")
+def q_final(spark, d):
+    from leasekit.operators.models import run_experiment
+
+    m = _matrix(spark, d)
+    return run_experiment("final", "xgboost", m, scale=SMALL, log_target=True, eval_part="test",
+                          train_parts=("train", "val"))

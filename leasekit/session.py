@@ -26,6 +26,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if master and master.startswith("local"):
+        # Local mode: the driver JVM is the only executor.
+        conf.setdefault("spark.driver.memory", os.environ.get("LEASEKIT_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
