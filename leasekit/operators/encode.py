@@ -192,10 +192,13 @@ def fit_target_encoding(df: DataFrame, cat: str, y: str = presets.TARGET, split:
 
 
 def apply_target_encoding(df: DataFrame, enc: DataFrame, cat: str, y: str = presets.TARGET,
-                          train: DataFrame | None = None, out: str | None = None) -> DataFrame:
+                          train: DataFrame | None = None, out: str | None = None,
+                          mean: float | None = None) -> DataFrame:
     """Encoding for any rows; unseen category -> training mean."""
     out = out or f"{cat}_te"
-    mean = F.lit((train if train is not None else df).agg(F.avg(y)).first()[0])
+    if mean is None:
+        mean = (train if train is not None else df).agg(F.avg(y)).first()[0]
+    mean = F.lit(mean)
     e = enc.select(F.col(cat).alias("_cat"), F.col("encoding").alias("_enc"))
     joined = df.join(e, F.col(cat).eqNullSafe(F.col("_cat")), "left")
     return joined.select(*df.columns, F.coalesce(F.col("_enc"), mean).alias(out))

@@ -36,6 +36,82 @@ class Matrix:
     info: dict = field(default_factory=dict)
 
 
+@dataclass
+class Prep:
+    """Fitted preprocessing (E11): statistics learned on the training part, applicable to any rows."""
+
+    num: list[str]
+    low: list[str]
+    high: list[str]
+    medians: dict
+    std: dict | None
+    modes: dict
+    levels: dict
+    te: dict
+    te_mean: float | None
+    names: list[str]
+    target: str = presets.TARGET
+    id_col: str = "id"
+    split: str = "split"
+
+    def columns(self, df: DataFrame, oof_train: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+        """Encoded feature columns (before vector assembly); ``keep`` columns pass through."""
+        base = df.select(self.id_col, self.split, F.col(self.target).cast("double").alias(self.target), *keep,
+                         *[F.col(c).cast("double").alias(c) for c in self.num], *self.low,
+                         *[c for c in self.high if c not in self.low])
+        base = E.apply_fill(base, self.medians, self.num)
+        if self.std is not None:
+            base = E.apply_standard(base, self.std, self.num)
+        if self.low:
+            base = E.apply_fill(base, self.modes, self.low)
+            before = set(base.columns)
+            base = E.apply_onehot(base, self.levels)
+            ren = {c: "low_card__" + c.replace(".", "_") for c in base.columns if c not in before}
+            base = base.select(*[F.col(f"`{c}`").alias(ren.get(c, c)) for c in base.columns])
+        for cat, enc in self.te.items():
+            out = f"high_card__{cat}"
+            rest = base.filter(F.col(self.split) != "train") if oof_train else base
+            rest = E.apply_target_encoding(rest, enc, cat, self.target, out=out, mean=self.te_mean)
+            if oof_train:
+                tr = E.target_encode_oof(base, cat, self.target, self.id_col, out=out, split=self.split).drop("fold")
+                rest = tr.unionByName(rest)
+            base = rest
+        return base
+
+    def transform(self, df: DataFrame, oof_train: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+        base = self.columns(df, oof_train, keep)
+        vec = VectorAssembler(inputCols=self.names, outputCol="features", handleInvalid="keep")
+        return vec.transform(base).select(self.id_col, self.split, F.col(self.target).alias("label"), "features",
+                                          *keep)
+
+
+def fit_preprocessor(df: DataFrame, target: str = presets.TARGET, use_target_encoding: bool = True,
+                     scale: bool = True, numeric: Sequence[str] | None = None,
+                     low_card: Sequence[str] | None = None, split: str = "split", id_col: str = "id") -> Prep:
+    """Learn every statistic on the training part (one small job per statistic group)."""
+    groups = column_groups(df, target)
+    num = [c for c in (numeric if numeric is not None else groups["numeric"]) if c not in (id_col, "fold")]
+    low = list(low_card if low_card is not None else groups["low_card"])
+    high = list(groups["high_card"]) if use_target_encoding else []
+    cast = df.select(id_col, split, target, *[F.col(c).cast("double").alias(c) for c in num], *low,
+                     *[c for c in high if c not in low])
+    medians = E._one_row(E.fit_median(cast, num, split)) if num else {}
+    filled = E.apply_fill(cast, medians, num)
+    std = E._one_row(E.fit_standard(filled, num, split)) if (scale and num) else None
+    modes = E._one_row(E.fit_mode(cast, low, split)) if low else {}
+    levels = E.onehot_levels(E.fit_onehot(E.apply_fill(cast, modes, low), low, split)) if low else {}
+    names = list(num)
+    for c in low:
+        kept, pooled = levels.get(c, ([], False))
+        names += [f"low_card__{c}_{lv}".replace(".", "_") for lv in kept]
+        if pooled:
+            names.append(f"low_card__{c}_{presets.ONEHOT_INFREQUENT_LABEL}")
+    te = {cat: E.fit_target_encoding(cast, cat, target, split) for cat in high}
+    te_mean = cast.filter(F.col(split) == "train").agg(F.avg(target)).first()[0] if high else None
+    names += [f"high_card__{cat}" for cat in high]
+    return Prep(num, low, high, medians, std, modes, levels, te, te_mean, names, target, id_col, split)
+
+
 def prepare_matrix(df: DataFrame, target: str = presets.TARGET, use_target_encoding: bool = True,
                    use_text: bool = False, scale: bool = True, text_components: int = presets.SVD_COMPONENTS,
                    numeric: Sequence[str] | None = None, low_card: Sequence[str] | None = None,
@@ -47,67 +123,33 @@ def prepare_matrix(df: DataFrame, target: str = presets.TARGET, use_target_encod
     on train rows, full-train encoding elsewhere; text: TF-IDF -> truncated SVD.
     The result is materialised so every model fit/trial reuses it (E13).
     """
-    groups = column_groups(df, target)
-    num = list(numeric if numeric is not None else groups["numeric"])
-    num = [c for c in num if c not in (id_col, "fold")]
-    low = list(low_card if low_card is not None else groups["low_card"])
-    names: list[str] = []
-
-    base = df.select(id_col, split, target, *num, *low, *[c for c in groups["high_card"] if c not in low],
-                     *([c for c in ("title_clean", "body_clean") if c in df.columns] if use_text else []))
-    base = base.withColumns({c: F.col(c).cast("double") for c in num})
-    base = E.apply_fill(base, E.fit_median(base, num, split), num)
-    if scale:
-        base = E.apply_standard(base, E.fit_standard(base, num, split), num)
-    names += num
-
-    if low:
-        base = E.apply_fill(base, E.fit_mode(base, low, split), low)
-        levels = E.onehot_levels(E.fit_onehot(base, low, split))
-        before = set(base.columns)
-        base = E.apply_onehot(base, levels)
-        oh = [c for c in base.columns if c not in before]
-        ren = {c: "low_card__" + c.replace(".", "_").replace("`", "") for c in oh}
-        base = base.select(*[F.col(f"`{c}`").alias(ren.get(c, c)) for c in base.columns])
-        names += list(ren.values())
-
-    if use_target_encoding:
-        for cat in groups["high_card"]:
-            out = f"high_card__{cat}"
-            train = base.filter(F.col(split) == "train")
-            tr = E.target_encode_oof(base, cat, target, id_col, out=out, split=split).drop("fold")
-            enc = E.fit_target_encoding(base, cat, target, split)
-            rest = E.apply_target_encoding(base.filter(F.col(split) != "train"), enc, cat, target,
-                                           train=train, out=out)
-            base = tr.unionByName(rest)
-            names.append(out)
+    prep = fit_preprocessor(df, target, use_target_encoding, scale, numeric, low_card, split, id_col)
+    base = prep.columns(df, oof_train=True)
+    names = list(prep.names)
 
     if use_text:
         from leasekit.functions.text import join_text
         from leasekit.operators import text_vectors as TV
 
-        docs = base.select(F.col(id_col).alias("_doc"), join_text("title_clean", "body_clean").alias("_text"),
-                           split)
+        docs = df.select(F.col(id_col).alias("_doc"), join_text("title_clean", "body_clean").alias("_text"),
+                         split)
         tc = TV.term_counts(docs, "_doc", "_text")
-        train_docs = docs.filter(F.col(split) == "train").select("_doc")
-        tc_train = tc.join(train_docs.withColumnRenamed("_doc", "doc"), "doc", "left_semi")
-        vocab = TV.fit_vocabulary(tc_train)
-        n_train = train_docs.agg(F.count(F.lit(1))).scalar()
+        train_docs = docs.filter(F.col(split) == "train").select(F.col("_doc").alias("doc"))
+        vocab = TV.fit_vocabulary(tc.join(train_docs, "doc", "left_semi"))
+        n_train = F.lit(train_docs.count())
         weights = TV.tfidf(tc, vocab, n_train)
-        scores = svd_project(weights, vocab, weights.join(
-            train_docs.withColumnRenamed("_doc", "doc"), "doc", "left_semi"), text_components)
+        scores = svd_project(weights, vocab, weights.join(train_docs, "doc", "left_semi"), text_components)
         comp = [c for c in scores.columns if c != "doc"]
         base = base.join(scores.withColumnRenamed("doc", id_col), id_col, "left").fillna(0.0, subset=comp)
         names += comp
 
     vec = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep")
-    data = vec.transform(base).select(id_col, split, F.col(target).alias("label"), "features",
-                                      *[c for c in groups["high_card"] if c in base.columns])
+    data = vec.transform(base).select(id_col, split, F.col(target).alias("label"), "features")
     if materialize:
         from leasekit.session import materialize as _mat
 
         data = _mat(data)
-    return Matrix(data, names, "label", {"numeric": num, "low_card": low})
+    return Matrix(data, names, "label", {"prep": prep})
 
 
 def svd_project(weights: DataFrame, vocab: DataFrame, train_weights: DataFrame, k: int) -> DataFrame:
