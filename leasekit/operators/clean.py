@@ -43,8 +43,10 @@ def keep_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) ->
     """
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in df.columns if c not in keys]
-    ordering = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest])
-    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), ordering).alias("_first"))
+    # min over struct(order..., rest...) = the row with the smallest order, ties broken by the row itself.
+    tail = [c for c in rest if c not in order]
+    first = F.min(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in tail])).alias("_first")
+    picked = df.groupBy(*keys).agg(first)
     return picked.select(*keys, *[F.col("_first")[c].alias(c) for c in rest]).select(*df.columns)
 
 

@@ -24,8 +24,10 @@ TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 def tokens(text: Column, stop_words: Sequence[str] = presets.ENGLISH_STOP_WORDS) -> Column:
     """Lower-cased, accent-folded tokens of 2+ word characters, stop words removed."""
     toks = F.regexp_extract_all(fold_accents(F.lower(F.coalesce(text, F.lit("")))), F.lit(TOKEN_PATTERN), 0)
-    stop = F.array(*[F.lit(w) for w in stop_words]) if stop_words else None
-    return F.filter(toks, lambda t: ~F.array_contains(stop, t)) if stop is not None else toks
+    if not stop_words:
+        return toks
+    # IN over literals becomes a hash-set lookup (OptimizeIn), not a scan of the list per token.
+    return F.filter(toks, lambda t: ~t.isin(list(stop_words)))
 
 
 def ngrams(toks: Column, n_max: int = 2) -> Column:

@@ -65,10 +65,11 @@ def cleaned(spark: SparkSession, d: str) -> DataFrame:
 
 
 def featured(spark: SparkSession, d: str) -> DataFrame:
+    """Features stay a lazy plan over the materialised cleaned table, so Catalyst
+    prunes every feature a query does not read."""
     from leasekit.operators.features import build_features
-    from leasekit.session import materialize
 
-    return materialize(build_features(cleaned(spark, d)))
+    return build_features(cleaned(spark, d))
 
 
 @lru_cache(maxsize=None)

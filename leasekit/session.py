@@ -65,16 +65,24 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 def materialize(df, mode: str | None = None):
     """Cut lineage at a table that several later steps read.
 
-    ``checkpoint`` (default) writes the rows to the shared folder named by
-    ``spark.checkpoint.dir``, so later stages scan it once instead of
-    re-running joins and shuffles, and a lost executor does not force a
-    recomputation from the source files. ``persist`` keeps it in executor
-    memory/disk instead; ``none`` returns the plan unchanged.
+    ``table`` (default) writes the rows as a parquet table under the shared
+    folder named by ``spark.checkpoint.dir`` and reads it back: later stages
+    scan it (with column pruning, filter pushdown and real size statistics for
+    AQE) instead of re-running joins and shuffles, and a lost executor does not
+    force a recomputation from the source files. ``checkpoint`` uses an RDD
+    checkpoint in the same folder, ``persist`` keeps it in executor
+    memory/disk, ``none`` returns the plan unchanged.
     """
     spark = df.sparkSession
-    mode = mode or spark.conf.get("leasekit.materialize", "checkpoint")
+    mode = mode or spark.conf.get("leasekit.materialize", "table")
     if mode == "none":
         return df
+    if mode == "table":
+        import uuid
+
+        path = ensure_checkpoint_dir(spark).rstrip("/") + f"/tables/{uuid.uuid4().hex}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
     if mode == "persist":
         from pyspark import StorageLevel
 
