@@ -173,10 +173,6 @@ def q_tfidf_weights(spark, d):
     return weights.select(F.col("doc").alias("doc_id"), "term", rnd("weight", 6).alias("weight"))
 
 
-def _listing_text_sql() -> str:
-    return with_split() .replace("WITH ", "WITH ", 1) + ""
-
-
 @query("tfidf_listings", "E7 F18", sql=lambda: with_split(_tfidf_ctes(
         "SELECT id AS doc, coalesce(title_clean, '') || ' ' || coalesce(body_clean, '') AS text FROM fsp "
         "WHERE split = 'train'")) + """
@@ -415,3 +411,43 @@ def q_final(spark, d):
     m = _matrix(spark, d)
     return run_experiment("final", "xgboost", m, scale=SMALL, log_target=True, eval_part="test",
                           train_parts=("train", "val"))
+
+
+@query("leak_audit_models", "G8 M2")
+def q_leak_models(spark, d):
+    """The same linear model on raw numerics with and without the number read from
+    the price text (the leak); the leaky variant scores far better on validation."""
+    from leasekit.functions.text import money_first_number
+    from leasekit.operators import split as SP2
+    from leasekit.operators.models import prepare_matrix, run_experiment
+    from leasekit.plans.registry import cleaned
+
+    df = SP2.group_split(cleaned(spark, d)).withColumn("display_number", money_first_number("price_display"))
+    raw = list(presets.RAW_NUMERIC)
+    out = None
+    for name, cols in [("with_leak", raw + ["display_number"]), ("without_leak", raw)]:
+        m = prepare_matrix(df, numeric=cols, low_card=[], use_target_encoding=False)
+        r = run_experiment(name, "linear_regression", m)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@query("finalists", "M17 T3 E7 E8 M12")
+def q_finalists(spark, d):
+    """Text + log-target finalists, with the arg-min model by validation MAE."""
+    from leasekit.operators.models import prepare_matrix, run_suite
+
+    m = prepare_matrix(split_features(spark, d), use_text=True, text_components=10)
+    runs = run_suite("finalists", ["xgboost", "lightgbm", "random_forest", "extra_trees"], m, scale=SMALL,
+                     log_target=True)
+    best = runs.filter(F.col("metric") == "mae").agg(F.min_by("model", "value").alias("best_model"))
+    return runs.withColumn("best_model", best.scalar())
+
+
+@query("builtin_importance", "I1")
+def q_builtin_importance(spark, d):
+    from leasekit.operators.models import builtin_importance, make_model
+
+    m = _matrix(spark, d)
+    model = make_model("xgboost", scale=SMALL).fit(m.data.filter(F.col("split") == "train"))
+    return builtin_importance(model, m.names, spark, top=25)

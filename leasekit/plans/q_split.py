@@ -174,3 +174,10 @@ def q_city_search(spark, d):
 
     tr = split_features(spark, d).filter(F.col("split") == "train")
     return substring_search(L.city_reference(tr), " 12 ", "cityname", "listings", limit=20)
+
+
+@query("listing_group_dense", "W4 G1", sql=lambda: with_split() + """
+SELECT id, CAST(dense_rank() OVER (ORDER BY listing_key) - 1 AS BIGINT) AS listing_group FROM fs""")
+def q_group_dense(spark, d):
+    df = SP.add_listing_group(featured(spark, d), dense=True)
+    return df.select("id", "listing_group")

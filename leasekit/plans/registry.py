@@ -4,7 +4,6 @@ an SQL meaning, its DuckDB oracle text."""
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,7 +70,3 @@ def featured(spark: SparkSession, d: str) -> DataFrame:
 
     return build_features(cleaned(spark, d))
 
-
-@lru_cache(maxsize=None)
-def _noop():
-    return None

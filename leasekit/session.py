@@ -40,26 +40,27 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Point RDD checkpoints at the shared folder named by ``spark.checkpoint.dir``.
+    """Folder for checkpoints and materialised tables.
 
-    On a cluster that setting names shared storage and is always used. Only when
-    it is unset (local tests) is ``fallback`` (or a fresh temp folder) used.
+    On a cluster ``spark.checkpoint.dir`` names shared storage and is always
+    used. Only when it is unset (local tests) is a folder chosen here: the
+    context's existing checkpoint folder, else ``fallback`` or a fresh temp folder.
     """
+    sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        path = configured
-    else:
-        if fallback is None:
-            import tempfile
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(configured)
+        return configured
+    existing = sc.getCheckpointDir()
+    if existing:
+        return existing
+    if fallback is None:
+        import tempfile
 
-            fallback = tempfile.mkdtemp(prefix="leasekit-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        path = fallback
-        try:
-            spark.conf.set("spark.checkpoint.dir", path)
-        except Exception:  # core conf may be read-only at runtime; the context still gets it
-            pass
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+        fallback = tempfile.mkdtemp(prefix="leasekit-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    sc.setCheckpointDir(fallback)
+    return sc.getCheckpointDir() or fallback
 
 
 def materialize(df, mode: str | None = None):
