@@ -163,23 +163,18 @@ def prepare_matrix(df: DataFrame, target: str = presets.TARGET, use_target_encod
 
 
 def svd_project(weights: DataFrame, vocab: DataFrame, train_weights: DataFrame, k: int) -> DataFrame:
-    """E8 fit on the training documents, applied to all: scores = X · V (not centred)."""
-    from pyspark.mllib.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
-    from pyspark.sql import Window
-
-    idx = vocab.select("term", (F.row_number().over(Window.orderBy(F.desc("cf"), F.asc("term"))) - 1).alias("j"))
-    n_terms = vocab.count()
-    k = max(1, min(k, n_terms - 1))
+    """E8 fit on the training documents (randomized SVD), applied to all: scores = X · V (not centred)."""
+    import numpy as np
+    from pyspark.mllib.linalg import DenseMatrix
 
-    def matrix(w: DataFrame) -> IndexedRowMatrix:
-        rows = (w.join(F.broadcast(idx), "term").groupBy("doc")
-                 .agg(F.sort_array(F.collect_list(F.struct("j", "weight"))).alias("e")))
-        return IndexedRowMatrix(rows.rdd.map(lambda r: IndexedRow(int(r["doc"]), Vectors.sparse(
-            n_terms, [int(x["j"]) for x in r["e"]], [float(x["weight"]) for x in r["e"]]))))
+    from leasekit.operators.text_vectors import _sparse_rows, randomized_svd
 
-    svd = matrix(train_weights).computeSVD(k, computeU=False)
-    proj = matrix(weights).multiply(svd.V)
+    train_mat, n_terms = _sparse_rows(train_weights, vocab)
+    k = max(1, min(k, n_terms - 1))
+    _, v = randomized_svd(train_mat, n_terms, k)
+    train_mat.rows.unpersist()
+    mat, _ = _sparse_rows(weights, vocab)
+    proj = mat.multiply(DenseMatrix(v.shape[0], v.shape[1], np.asarray(v).ravel(order="F").tolist()))
     spark = weights.sparkSession
     cols = ["doc"] + [f"text_svd_{i}" for i in range(k)]
     return spark.createDataFrame(proj.rows.map(lambda r: (int(r.index), *[float(x) for x in r.vector.toArray()])),

@@ -83,17 +83,10 @@ def tfidf_fit_transform(docs: DataFrame, doc_id: str, text: str, min_df: int = p
     return vocab, tfidf(tc, vocab, n_docs)
 
 
-def truncated_svd(weights: DataFrame, vocab: DataFrame, k: int = presets.SVD_COMPONENTS,
-                  prefix: str = "text_svd_"):
-    """Top-k singular triplets of the (doc x term) TF-IDF matrix, not centred.
-
-    Rows become sparse vectors (one per document); ``IndexedRowMatrix.computeSVD``
-    runs distributed Gramian products and keeps document ids; U*S are the
-    component scores. Returns (scores DataFrame, singular values, V).
-    """
+def _sparse_rows(weights: DataFrame, vocab: DataFrame):
+    """(doc x term) TF-IDF matrix as an ``IndexedRowMatrix`` of sparse rows + the number of terms."""
     from pyspark.mllib.linalg import Vectors
     from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
-
     from pyspark.sql import Window
 
     # The vocabulary has at most max_features rows, so a global window over it is cheap.
@@ -101,13 +94,85 @@ def truncated_svd(weights: DataFrame, vocab: DataFrame, k: int = presets.SVD_COM
     n_terms = vocab.count()
     rows = (weights.join(F.broadcast(idx), "term")
             .groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("j", "weight"))).alias("e")))
+    from pyspark import StorageLevel
+
+    # The SVD makes several passes over the rows: keep them (memory, spilling to disk)
+    # instead of re-running tokenisation and weighting for every product.
     rdd = rows.rdd.map(lambda r: IndexedRow(int(r["doc"]), Vectors.sparse(
-        n_terms, [int(x["j"]) for x in r["e"]], [float(x["weight"]) for x in r["e"]])))
-    mat = IndexedRowMatrix(rdd)
-    k = min(k, n_terms - 1) if n_terms > 1 else 1
-    svd = mat.computeSVD(k, computeU=True)
-    s = svd.s.toArray()
-    scores = svd.U.rows.map(lambda r: (int(r.index), *[float(x) * float(sv) for x, sv in zip(r.vector.toArray(), s)]))
+        n_terms, [int(x["j"]) for x in r["e"]], [float(x["weight"]) for x in r["e"]]))
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    return IndexedRowMatrix(rdd), n_terms
+
+
+def _orthonormal(y):
+    """Orthonormal basis of a tall distributed matrix: Y · W Λ^-1/2 from the small Gramian YᵀY."""
+    import numpy as np
+    from pyspark.mllib.linalg import DenseMatrix
+
+    g = y.computeGramianMatrix().toArray()
+    lam, w = np.linalg.eigh(g)
+    keep = lam > lam.max() * 1e-12
+    t = w[:, keep] / np.sqrt(lam[keep])
+    return y.multiply(DenseMatrix(t.shape[0], t.shape[1], t.ravel(order="F").tolist()))
+
+
+def _at_times(a, y):
+    """Aᵀ · Y (n x l, small) with both factors distributed and aligned by row index."""
+    return a.toBlockMatrix().transpose().multiply(y.toBlockMatrix()).toLocalMatrix().toArray()
+
+
+def randomized_svd(a, n_cols: int, k: int, oversample: int = 10, power_iter: int = 4, seed: int = presets.SEED):
+    """Top-k singular triplets by a randomized range finder with power iterations.
+
+    Each step is a distributed product (A·Ω, Aᵀ·Q) or a Gramian of a tall
+    matrix; only l = k + oversample columns ever live on the driver, so the
+    number of passes over the data is 2 * (power_iter + 1), whatever its size.
+    """
+    import numpy as np
+    from pyspark.mllib.linalg import DenseMatrix
+
+    def dm(x):
+        return DenseMatrix(x.shape[0], x.shape[1], x.ravel(order="F").tolist())
+
+    rng = np.random.default_rng(seed)
+    l = min(k + oversample, n_cols)
+    y = a.multiply(dm(rng.standard_normal((n_cols, l))))
+    for _ in range(power_iter):
+        q = _orthonormal(y)
+        z, _ = np.linalg.qr(_at_times(a, q))
+        y = a.multiply(dm(z))
+    q = _orthonormal(y)
+    bt = _at_times(a, q)                        # n x l = (Qᵀ A)ᵀ
+    u_b, s, _ = np.linalg.svd(bt, full_matrices=False)
+    return s[:k], u_b[:, :k]                    # singular values, right singular vectors V (n x k)
+
+
+def truncated_svd(weights: DataFrame, vocab: DataFrame, k: int = presets.SVD_COMPONENTS,
+                  prefix: str = "text_svd_", algorithm: str = "randomized"):
+    """Top-k singular triplets of the (doc x term) TF-IDF matrix, not centred.
+
+    ``randomized`` (default, the reference's algorithm) needs a fixed number of
+    passes; ``arpack`` is exact (``IndexedRowMatrix.computeSVD``) but runs one
+    distributed product per Lanczos iteration. Scores are A·V = U·S with document
+    ids kept. Returns (scores DataFrame, singular values, V as numpy array).
+    """
+    import numpy as np
+    from pyspark.mllib.linalg import DenseMatrix
+
+    mat, n_terms = _sparse_rows(weights, vocab)
+    k = max(1, min(k, n_terms - 1))
+    if algorithm == "arpack":
+        svd = mat.computeSVD(k, computeU=False)
+        s, v = svd.s.toArray(), svd.V.toArray()
+    else:
+        s, v = randomized_svd(mat, n_terms, k)
+    proj = mat.multiply(DenseMatrix(v.shape[0], v.shape[1], np.asarray(v).ravel(order="F").tolist()))
     spark = weights.sparkSession
     cols = ["doc"] + [f"{prefix}{i}" for i in range(k)]
-    return spark.createDataFrame(scores, cols), s, svd.V
+    scores = spark.createDataFrame(proj.rows.map(lambda r: (int(r.index), *[float(x) for x in r.vector.toArray()])),
+                                   cols)
+    from leasekit.session import materialize
+
+    scores = materialize(scores)
+    mat.rows.unpersist()
+    return scores, s, v

@@ -51,7 +51,8 @@ def test_svd_singular_values_match_numpy(spark):
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     vocab, weights = TV.tfidf_fit_transform(docs, "doc_id", "text", min_df=5)
-    scores, s, _ = TV.truncated_svd(weights, vocab, k=5)
+    scores, s, _ = TV.truncated_svd(weights, vocab, k=5, algorithm="arpack")
+    _, s_r, _ = TV.truncated_svd(weights, vocab, k=5, algorithm="randomized")
     terms = sorted(r[0] for r in vocab.select("term").collect())
     idx = {t: i for i, t in enumerate(terms)}
     w = weights.toPandas()
@@ -62,6 +63,8 @@ def test_svd_singular_values_match_numpy(spark):
         M[di[row.doc], idx[row.term]] = row.weight
     ref = np.linalg.svd(M, compute_uv=False)[:5]
     assert np.allclose(np.sort(s)[::-1], ref, rtol=1e-5)
+    assert np.allclose(np.sort(s_r)[::-1], ref, rtol=1e-3)
+    assert scores.count() == len(docs_ids)
 
 
 def test_pca_explained_variance_matches_numpy(spark):
