@@ -71,11 +71,12 @@ def qcut_error_analysis(df: DataFrame, y: str = "y", p: str = "prediction", bins
         b = b + F.coalesce(below, F.lit(False)).cast("int")
     rep = df.select(b.alias("bin"), F.col(y).alias("_y"), F.abs(F.col(y) - F.col(p)).alias("_ae"))
     out = rep.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.avg("_y").alias("mean_price"),
-                                 F.avg("_ae").alias("mae"))
+                                 F.avg("_ae").alias("mae"), F.sum("_y").alias("sum_price"),
+                                 F.sum("_ae").alias("sum_abs_error"))
     # A constant column has a single edge: one bin [v, v].
     out = out.select("bin", F.try_element_at(edges, F.col("bin") + 1).alias("lower"),
                      F.coalesce(F.try_element_at(edges, F.col("bin") + 2), F.element_at(edges, -1)).alias("upper"),
-                     "n", "mean_price", "mae")
+                     "n", "mean_price", "mae", "sum_price", "sum_abs_error")
     if decimals is not None:
         out = out.withColumns({c: F.round(c, decimals) for c in ["mean_price", "mae"]})
     return out
