@@ -178,10 +178,11 @@ def target_encode_oof(df: DataFrame, cat: str, y: str = presets.TARGET, id_col:
     return rows.select(*df.columns, "fold", enc.alias(out))
 
 
-def fit_target_encoding(df: DataFrame, cat: str, y: str = presets.TARGET, split: str | None = "split") -> DataFrame:
-    """E6 fit: per-category encoding from all training rows, plus the global mean row (``_cat`` null, ``_global``)."""
+def fit_target_encoding(df: DataFrame, cat: str, y: str = presets.TARGET, split: str | None = "split",
+                        stats: tuple[float, float] | None = None) -> DataFrame:
+    """E6 fit: per-category encoding from all training rows; ``stats`` = known (mean, population variance) of y."""
     train = _train(df, split)
-    r = train.agg(F.avg(y), F.var_pop(y)).first()
+    r = stats if stats is not None else train.agg(F.avg(y), F.var_pop(y)).first()
     centre, var_y = F.lit(r[0]), F.lit(r[1])
     t = train.withColumn("_yc", F.col(y) - centre)
     per_cat = _te_stats(t, cat, y, None)

@@ -95,10 +95,32 @@ def fit_preprocessor(df: DataFrame, target: str = presets.TARGET, use_target_enc
     high = list(groups["high_card"]) if use_target_encoding else []
     cast = df.select(id_col, split, target, *[F.col(c).cast("double").alias(c) for c in num], *low,
                      *[c for c in high if c not in low])
-    medians = E._one_row(E.fit_median(cast, num, split)) if num else {}
-    filled = E.apply_fill(cast, medians, num)
-    std = E._one_row(E.fit_standard(filled, num, split)) if (scale and num) else None
-    modes = E._one_row(E.fit_mode(cast, low, split)) if low else {}
+    # One pass over the training part for every one-row statistic: medians, modes, the
+    # target's mean/variance and the moments that give the std of the median-filled columns.
+    train = cast.filter(F.col(split) == "train")
+    aggs = [F.count(F.lit(1)).alias("_rows"), F.avg(target).alias("_ymean"), F.var_pop(target).alias("_yvar")]
+    for i, c in enumerate(num):
+        aggs += [F.median(c).alias(f"med{i}"), F.count(c).alias(f"n{i}"), F.avg(c).alias(f"a{i}"),
+                 F.var_pop(c).alias(f"v{i}")]
+    for i, c in enumerate(low):
+        aggs.append(F.mode(c, True).alias(f"mode{i}"))
+    st = train.agg(*aggs).first()
+    rows = st["_rows"]
+    medians = {c: st[f"med{i}"] for i, c in enumerate(num)}
+    modes = {c: st[f"mode{i}"] for i, c in enumerate(low)}
+    std = None
+    if scale and num:
+        std = {}
+        for i, c in enumerate(num):
+            n1, a1, v1, m = st[f"n{i}"], st[f"a{i}"], st[f"v{i}"], medians[c]
+            if not n1:
+                std[f"{c}__mean"], std[f"{c}__std"] = m, 1.0
+                continue
+            n0 = rows - n1
+            mean = (n1 * a1 + n0 * m) / rows
+            m2 = n1 * v1 + n1 * (a1 - mean) ** 2 + n0 * (m - mean) ** 2
+            sd = (m2 / rows) ** 0.5
+            std[f"{c}__mean"], std[f"{c}__std"] = mean, (sd if sd > 0 else 1.0)
     levels = E.onehot_levels(E.fit_onehot(E.apply_fill(cast, modes, low), low, split)) if low else {}
     names = list(num)
     for c in low:
@@ -106,8 +128,8 @@ def fit_preprocessor(df: DataFrame, target: str = presets.TARGET, use_target_enc
         names += [f"low_card__{c}_{lv}".replace(".", "_") for lv in kept]
         if pooled:
             names.append(f"low_card__{c}_{presets.ONEHOT_INFREQUENT_LABEL}")
-    te = {cat: E.fit_target_encoding(cast, cat, target, split) for cat in high}
-    te_mean = cast.filter(F.col(split) == "train").agg(F.avg(target)).first()[0] if high else None
+    te = {cat: E.fit_target_encoding(cast, cat, target, split, stats=(st["_ymean"], st["_yvar"])) for cat in high}
+    te_mean = st["_ymean"] if high else None
     names += [f"high_card__{cat}" for cat in high]
     return Prep(num, low, high, medians, std, modes, levels, te, te_mean, names, target, id_col, split)
 
