@@ -139,7 +139,8 @@ def _shrink(n: Column, s: Column, q: Column, mean_c: Column, var_y: Column, mean
 
 def target_encode_oof(df: DataFrame, cat: str, y: str = presets.TARGET, id_col: str = "id",
                       folds: int = presets.TE_FOLDS, seed: int = presets.SEED,
-                      out: str | None = None, split: str | None = "split") -> DataFrame:
+                      out: str | None = None, split: str | None = "split",
+                      centre: float | None = None) -> DataFrame:
     """E5: cross-fitted target encoding of the training rows.
 
     A row in fold k is encoded with statistics of the training rows outside
@@ -151,7 +152,7 @@ def target_encode_oof(df: DataFrame, cat: str, y: str = presets.TARGET, id_col:
     """
     out = out or f"{cat}_te"
     train = _train(df, split)
-    centre = F.lit(train.agg(F.avg(y)).first()[0])
+    centre = F.lit(centre if centre is not None else train.agg(F.avg(y)).first()[0])
     t = (train.withColumn("fold", bucket(F.col(id_col), f"{seed}|fold", folds))
               .withColumn("_yc", F.col(y) - centre))
 

@@ -73,7 +73,8 @@ class Prep:
             rest = base.filter(F.col(self.split) != "train") if oof_train else base
             rest = E.apply_target_encoding(rest, enc, cat, self.target, out=out, mean=self.te_mean)
             if oof_train:
-                tr = E.target_encode_oof(base, cat, self.target, self.id_col, out=out, split=self.split).drop("fold")
+                tr = E.target_encode_oof(base, cat, self.target, self.id_col, out=out, split=self.split,
+                                         centre=self.te_mean).drop("fold")
                 rest = tr.unionByName(rest)
             base = rest
         return base
