@@ -40,3 +40,10 @@ def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     from leasekit.llm.records import token_records
 
     return token_records(spark, table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=2)
+
+
+@query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from leasekit.llm.transducer import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), limit=1024)
