@@ -47,3 +47,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from leasekit.llm.transducer import token_counts
 
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), limit=1024)
+
+
+@query
+def op8_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from leasekit.llm.simhash import hex_print, near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return found.select("doc_id", hex_print(found.fp).alias("fingerprint"), "component_id")
