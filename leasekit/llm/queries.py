@@ -55,3 +55,18 @@ def op8_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
     return found.select("doc_id", hex_print(found.fp).alias("fingerprint"), "component_id")
+
+
+@query
+def op3_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from leasekit.llm.contamination import contaminated
+
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=5, containment_percent=80)
+    return found.select("doc_id", "item_id", "n_shared", "n_shingles", (found.n_shared / found.n_shingles).alias("containment"))
+
+
+@query
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from leasekit.llm.secrets import scan_secrets
+
+    return scan_secrets(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"))
