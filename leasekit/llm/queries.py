@@ -78,3 +78,11 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), quantile=0.99, fence=1.0)
     return found.select("doc_id", "lang", found.lm_perplexity.alias("perplexity"), found.lm_threshold.alias("threshold"), found.lm_kept.alias("kept"))
+
+
+@query
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from leasekit.llm.quality_rules import quality_rules
+
+    found = quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), least_score=0.5)
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
