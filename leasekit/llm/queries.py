@@ -86,3 +86,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), least_score=0.5)
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
+
+
+@query
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from leasekit.llm.main_text import extract
+
+    return extract(table(spark, sf_dir, "pages"))
