@@ -93,3 +93,21 @@ def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from leasekit.llm.main_text import extract
 
     return extract(table(spark, sf_dir, "pages"))
+
+
+#: The rules of op6, longest fitting one decides.
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+
+
+@query
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's labels are those of the document whose number ends its path; bad: low quality or toxic."""
+    from pyspark.sql import functions as F
+
+    from leasekit.llm.url_filter import filter_urls, host_and_path
+
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    number = F.regexp_extract(host_and_path(F.col("url"))[1], r"/([0-9]{1,18})(?:\.[A-Za-z]+)?/?$", 1)
+    marked = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max((F.col("quality") == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).alias("bad"))
+    judged = pages.select("url", number.try_cast("long").alias("doc_id"))
+    return filter_urls(pages, judged.join(marked, "doc_id").select("url", "bad"), URL_RULES)
