@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from leasekit.session import ensure_checkpoint_dir
 
@@ -41,6 +42,14 @@ def drop_written(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def hidden(df: DataFrame, used: list[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with only the columns ``used`` under their names and all others under neutral ones, so that no name can
+    clash with an operator's own; and a function that gives a result the columns of ``df`` again."""
+    names = {c: c if c in used else f"extra_{k}" for k, c in enumerate(df.columns)}
+    quoted = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    return df.select(*(quoted(c).alias(n) for c, n in names.items())), lambda out: out.select(*(F.col(n).alias(c) for c, n in names.items()))
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts one after another, and n + 1 offsets into them (null: empty)."""
     if isinstance(column, pa.ChunkedArray):

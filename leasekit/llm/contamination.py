@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from leasekit.llm.common import slices, utf8, written
+from leasekit.llm.common import hidden, slices, utf8, written
 from leasekit.llm.words import split_words, windows
 
 _WORD = bytes(int(b >= 128 or chr(b).isalnum()) for b in range(256))
@@ -124,3 +124,12 @@ def contaminated(docs: DataFrame, items: DataFrame, size: int = 5, containment_p
     # Equal rows emit each shingle once each: count different ones.
     found = shared.agg(F.count_distinct("shingle").alias("n_shared"), F.max("in_sketch").alias("met"))
     return found.where("met and n_shared >= needed").select("doc_id", "text_hash", "item_id", "n_shared", "n_shingles")
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, size: int = 5, containment_percent: int = 80) -> DataFrame:
+    """``docs`` without the documents that contain an item."""
+    inner, restore = hidden(docs, ["doc_id", "text"])
+    found = contaminated(inner, items, size, containment_percent).select("doc_id", "text_hash").distinct()
+    found = found.select(F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash"))
+    keyed = inner.withColumn("text_hash", F.xxhash64("text"))
+    return restore(keyed.join(found, F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("text_hash") == F.col("found_hash")), "left_anti"))

@@ -28,8 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from leasekit.llm.common import slices, utf8, written
+from leasekit.llm.common import hidden, slices, utf8, written
 
 ORDER = 4
 #: Contexts of a shard; trusted ids up to which the training join broadcasts them (beyond, it is a shuffle join).
@@ -172,10 +173,10 @@ class Model:
 
     def score(self, docs: DataFrame) -> DataFrame:
         """``docs`` with ``lm_bits`` and ``lm_bytes`` (null or empty text: 0 and 0). No shuffle."""
-        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+        schema = T.StructType([*docs.schema.fields, T.StructField("lm_bits", T.DoubleType()), T.StructField("lm_bytes", T.LongType())])
         out = docs.withColumns({"lm_bits": F.lit(0.0), "lm_bytes": F.lit(0).cast("long")})
         for shard, part in enumerate(self.parts):
-            out = out.mapInArrow(_scorer(part, shard, self.shards), f"{fields}, lm_bits double, lm_bytes long")
+            out = out.mapInArrow(_scorer(part, shard, self.shards), schema)
         return out
 
 
@@ -235,3 +236,9 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, fence:
     bits = F.try_divide("lm_bits", "lm_bytes")
     out = out.withColumns({"lm_perplexity": F.pow(F.lit(2.0), bits), "lm_threshold": F.pow(F.lit(2.0), F.coalesce("lm_limit", overall)), "lm_kept": F.coalesce(bits <= F.coalesce("lm_limit", overall), F.lit(False))})
     return out.drop("lm_bits", "lm_bytes", "lm_lang", "lm_limit")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, fence: float = 1.0) -> DataFrame:
+    """``docs`` without the documents that :func:`classify` does not keep."""
+    inner, restore = hidden(docs, ["doc_id", "lang", "text"])
+    return restore(classify(inner, labels, quantile, fence).where("lm_kept"))

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from leasekit.llm.common import slices, utf8, written
+from leasekit.llm.common import hidden, slices, utf8, written
 from leasekit.llm.graph import components
 
 REFERENCES = [random.Random(f"pivot {k}").getrandbits(64) for k in range(16)]
@@ -150,5 +150,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> Dat
     return prints.join(rooted.select("fp", "root").join(smallest, "root"), "fp")
 
 
+def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """``docs`` without near-duplicates: of each class the row with the smallest doc_id stays (one without doc_id only if
+    the class has no other; of rows with one doc_id the smallest text hash; of equal rows one)."""
+    inner, restore = hidden(docs, ["doc_id", "text"])
+    key = [F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.coalesce("text_hash", F.lit(0)).alias("hash")]
+    found = near_duplicates(inner, shingle, max_bits)
+    first = found.groupBy("root").agg(F.min(F.struct(*key)).alias("first")).select("first.*")
+    keyed = inner.withColumn("text_hash", F.xxhash64("text")).select("*", *key)
+    return restore(keyed.join(first, ["no_id", "id", "hash"], "left_semi").dropDuplicates(["no_id", "id", "hash"]))
+
+
 def hex_print(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
