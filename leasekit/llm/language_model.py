@@ -16,7 +16,8 @@ each byte of text.)
 
 *Thresholds.* For each language, from the held-out trusted documents: the ``quantile`` of bits per byte plus ``fence``
 times its distance to the median. Bits are counted in buckets of 1/1000, so quantiles are exact on buckets, and no task
-holds a language's documents. A language with no held-out document takes the threshold over all languages.
+holds a language's documents. A language with under ``LEAST_HELD_OUT`` such documents, too few for its quantile to
+mean much, takes the threshold over all languages.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ CONTEXTS, BROADCAST_IDS = 32_768, 1_000_000
 #: Different n-grams that a task gathers before it passes them on.
 GATHER = 2_000_000
 START = 10
+LEAST_HELD_OUT = 50
 
 
 def _padded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -201,15 +203,16 @@ def _scorer(part, shard: int, shards: int):
 
 
 def thresholds(scored: DataFrame, quantile: float, fence: float) -> DataFrame:
-    """``lang, threshold`` (bits per byte) from scored documents; the row ``every`` true holds for all languages."""
+    """``lang, every, threshold, n`` (bits per byte) from n scored documents; the row ``every`` true holds for all
+    languages."""
     bucket = F.floor(1000 * F.col("lm_bits") / F.col("lm_bytes"))
     count = scored.where("lm_bytes > 0").groupBy("lang", bucket.alias("bucket")).agg(F.count("*").alias("n"))
     count = count.select("lang", F.lit(False).alias("every"), "bucket", "n").union(count.groupBy("bucket").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string"), F.lit(True), "bucket", "n"))
     group = Window.partitionBy("lang", "every")
     ranked = count.withColumn("upto", F.sum("n").over(group.orderBy("bucket"))).withColumn("all", F.sum("n").over(group))
     at = lambda q: F.min(F.when(F.col("upto") >= q * F.col("all"), F.col("bucket") + 1)) / 1000
-    found = ranked.groupBy("lang", "every").agg(at(0.5).alias("middle"), at(quantile).alias("high"))
-    return found.select("lang", "every", (F.col("high") + fence * (F.col("high") - F.col("middle"))).alias("threshold"))
+    found = ranked.groupBy("lang", "every").agg(at(0.5).alias("middle"), at(quantile).alias("high"), F.max("all").alias("n"))
+    return found.select("lang", "every", "n", (F.col("high") + fence * (F.col("high") - F.col("middle"))).alias("threshold"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, fence: float = 1.0) -> DataFrame:
@@ -231,7 +234,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, fence:
     overall = limits.where("every").select("threshold").first()
     overall = F.lit(overall.threshold if overall else float("inf"))
     scored = model.score(docs)
-    limits = limits.where("not every").select(F.col("lang").alias("lm_lang"), F.col("threshold").alias("lm_limit"))
+    limits = limits.where((~F.col("every")) & (F.col("n") >= LEAST_HELD_OUT)).select(F.col("lang").alias("lm_lang"), F.col("threshold").alias("lm_limit"))
     out = scored.join(F.broadcast(limits) if limits.count() <= 10_000 else limits, F.col("lang").eqNullSafe(F.col("lm_lang")), "left")
     bits = F.try_divide("lm_bits", "lm_bytes")
     out = out.withColumns({"lm_perplexity": F.pow(F.lit(2.0), bits), "lm_threshold": F.pow(F.lit(2.0), F.coalesce("lm_limit", overall)), "lm_kept": F.coalesce(bits <= F.coalesce("lm_limit", overall), F.lit(False))})
