@@ -2,8 +2,7 @@
 
 Each operator is a ``DataFrame -> DataFrame`` function that takes column
 names, so ``df.transform(...)`` chains them. Nothing here runs a job except
-where a statistic is needed (medians), and those are scalar subqueries that
-Catalyst plans into the same query.
+where a statistic is needed (medians).
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 from leasekit import presets
 from leasekit.functions.numeric import to_number, unix_seconds_to_timestamp
 from leasekit.functions.text import trim_all
+from leasekit.operators.ranking import exact_quantiles
 
 
 # --------------------------------------------------------------------------- S2
@@ -50,10 +50,9 @@ def keep_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) ->
     return picked.select(*keys, *[F.col("_first")[c].alias(c) for c in rest]).select(*df.columns)
 
 
-def drop_duplicates(df: DataFrame, key: str = "id", order: Sequence[str] | None = None) -> DataFrame:
-    """Full-row dedupe then keep-first per id (the reference's two steps in one pass)."""
-    if order is None:
-        return df.dropDuplicates().dropDuplicates([key])
+def drop_duplicates(df: DataFrame, key: str = "id", order: Sequence[str] = ()) -> DataFrame:
+    """Full-row dedupe then keep-first per id, in one pass. Rows have no order of their own on a cluster: ``order`` names
+    the columns that give it (none: the smallest row by its columns)."""
     return keep_first(df, key, order)
 
 
@@ -111,16 +110,17 @@ def fill_empty(df: DataFrame, columns: Sequence[str] = presets.MULTI_SELECT_COLU
 # ----------------------------------------------------------------------- P8
 def fill_median(df: DataFrame, columns: Sequence[str] = presets.MEDIAN_FILL_COLUMNS,
                 approx: bool = False, accuracy: int = 10000) -> DataFrame:
-    """Fill nulls with the column's table median (exact, interpolated by default).
+    """Fill nulls with the column's table median (exact, interpolated).
 
-    The median is a scalar subquery: one partial/final aggregate, no join and no
-    driver round trip. ``approx=True`` uses ``percentile_approx`` (bounded
-    memory for columns with very many distinct values).
+    The medians come from range-sorted value counts (``ranking.exact_quantiles``), so no task holds a column;
+    ``approx=True`` takes ``percentile_approx`` in one aggregate instead.
     """
-    stats = df.agg(*[
-        (F.percentile_approx(c, 0.5, accuracy) if approx else F.median(c)).cast("double").alias(c)
-        for c in columns])
-    return df.withColumns({c: F.coalesce(F.col(c), stats.select(c).scalar()) for c in columns})
+    if approx:
+        row = df.agg(*[F.percentile_approx(c, 0.5, accuracy).cast("double").alias(c) for c in columns]).first()
+        medians = {c: row[c] for c in columns}
+    else:
+        medians = {c: v[0] for c, v in exact_quantiles(df, columns, [0.5]).items()}
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(medians[c])) for c in columns if medians[c] is not None})
 
 
 # ---------------------------------------------------------------------- P9 P11
@@ -143,7 +143,7 @@ DEFAULT_BOUNDS = {"price": (presets.PRICE_MIN, presets.PRICE_MAX),
 
 
 # ----------------------------------------------------------------------- P15
-def clean_data(df: DataFrame, key: str = "id", order: Sequence[str] | None = None,
+def clean_data(df: DataFrame, key: str = "id", order: Sequence[str] = (),
                target: str = presets.TARGET, bounds: dict | None = None,
                approx_median: bool = False, materialize: bool = False) -> DataFrame:
     """Whole cleaning chain in the fixed order
@@ -170,7 +170,7 @@ def clean_data(df: DataFrame, key: str = "id", order: Sequence[str] | None = Non
 
 
 # ----------------------------------------------------------------------- P14
-def clean_audit(df: DataFrame, key: str = "id", order: Sequence[str] | None = None,
+def clean_audit(df: DataFrame, key: str = "id", order: Sequence[str] = (),
                 target: str = presets.TARGET, bounds: dict | None = None) -> DataFrame:
     """Rows removed by every cleaning step, from two aggregations instead of a job per step.
 
@@ -179,7 +179,7 @@ def clean_audit(df: DataFrame, key: str = "id", order: Sequence[str] | None = No
     bounds = bounds or DEFAULT_BOUNDS
     raw = df.agg(F.count(F.lit(1)).alias("n_raw"),
                  F.count_distinct(F.struct(*df.columns)).alias("n_distinct"),
-                 F.count_distinct(F.col(key)).alias("n_ids"))
+                 (F.count_distinct(F.col(key)) + F.max(F.col(key).isNull().cast("int"))).alias("n_ids"))
     typed = (drop_duplicates(df, key, order).transform(cast_types)
              .transform(normalize_price_units))
     no_target = F.col(target).isNull()

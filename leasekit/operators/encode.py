@@ -80,32 +80,29 @@ def fit_onehot(df: DataFrame, columns: Sequence[str], split: str | None = "split
 
 
 def onehot_levels(levels: DataFrame) -> dict[str, tuple[list[str], bool]]:
-    """Collect the (vocabulary-sized) level table: kept levels and whether a pooled level exists."""
+    """Kept levels of each column and whether a pooled one exists. Only kept levels come to the driver (each has at
+    least ``min_frequency`` rows and makes a column of the result); rare ones are told apart by a join."""
     out: dict[str, tuple[list[str], bool]] = {}
-    for r in levels.orderBy("column", "level").collect():
-        kept, pooled = out.get(r["column"], ([], False))
-        if r["kept"]:
-            kept = kept + [r["level"]]
-        else:
-            pooled = True
-        out[r["column"]] = (kept, pooled)
+    summary = levels.groupBy("column").agg(F.sort_array(F.collect_list(F.when(F.col("kept"), F.col("level")))).alias("kept"),
+                                           F.coalesce(F.bool_or(~F.col("kept") & F.col("level").isNotNull()), F.lit(False)).alias("pooled"))
+    for r in summary.orderBy("column").collect():
+        out[r["column"]] = (list(r["kept"]), r["pooled"])
     return out
 
 
-def apply_onehot(df: DataFrame, levels: dict[str, tuple[list[str], bool]],
-                 infrequent: str = presets.ONEHOT_INFREQUENT_LABEL, drop_input: bool = False) -> DataFrame:
-    """Explicit 0/1 columns ``<col>_<level>`` (+ ``<col>_<infrequent>``); unknown levels -> all zeros."""
+def apply_onehot(df: DataFrame, levels: DataFrame, infrequent: str = presets.ONEHOT_INFREQUENT_LABEL,
+                 drop_input: bool = False, names: dict[str, tuple[list[str], bool]] | None = None) -> DataFrame:
+    """Explicit 0/1 columns ``<col>_<level>`` (+ ``<col>_<infrequent>``) from the level table. A level that training
+    had too rarely is pooled; one that it never had (or null) is all zeros."""
+    names = onehot_levels(levels) if names is None else names
+    out = df
     new: dict[str, Column] = {}
-    for c, (kept, pooled) in levels.items():
-        x = F.col(c).cast("string")
-        for lv in kept:
-            new[f"{c}_{lv}"] = (x == lv).cast("int")
-        if pooled:
-            rare = ~x.isin(kept) & x.isNotNull()
-            # A level seen in training but rare is pooled; a level never seen is unknown -> zeros.
-            new[f"{c}_{infrequent}"] = F.coalesce(rare, F.lit(False)).cast("int")
-    out = df.withColumns(new)
-    return out.drop(*levels.keys()) if drop_input else out
+    for c, (kept, pooled) in names.items():
+        out = onehot_pooled_level(out, levels, c, infrequent, f"_{c}_level")
+        for lv in [*kept, *([infrequent] if pooled else [])]:
+            new[f"{c}_{lv}"] = F.coalesce(F.col(f"_{c}_level") == lv, F.lit(False)).cast("int")
+    out = out.withColumns(new).drop(*[f"_{c}_level" for c in names])
+    return out.drop(*names) if drop_input else out
 
 
 def onehot_pooled_level(df: DataFrame, levels_df: DataFrame, column: str,
@@ -130,8 +127,8 @@ def _shrink(n: Column, s: Column, q: Column, mean_c: Column, var_y: Column, mean
     lambda = n*V / (n*V + s2), V = variance of y on the fitting rows,
     s2 = within-category population variance; unseen category -> global mean.
     """
-    cat_mean = s / n
-    within = q / n - cat_mean * cat_mean
+    cat_mean = F.try_divide(s, n)
+    within = F.try_divide(q, n) - cat_mean * cat_mean
     lam = F.try_divide(n * var_y, n * var_y + within)
     enc = lam * (cat_mean + mean_c) + (F.lit(1.0) - lam) * mean_y
     return F.when((n.isNull()) | (n == 0) | lam.isNull() | F.isnan(lam), mean_y).otherwise(enc)
@@ -179,6 +176,46 @@ def target_encode_oof(df: DataFrame, cat: str, y: str = presets.TARGET, id_col:
     return rows.select(*df.columns, "fold", enc.alias(out))
 
 
+def target_encoding_table(df: DataFrame, cat: str, y: str, split: str | None, id_col: str, mean: float,
+                          folds: int = presets.TE_FOLDS, seed: int = presets.SEED) -> DataFrame:
+    """E5 and E6 in one table ``_cat, _fold, _enc``: the encoding of a training row of each fold (from the other
+    folds), and under fold -1 that of any other row (from all folds).
+
+    One pass counts (category, fold); a category's total and what is left without one fold follow from these sums, so
+    rows are joined once for each category column, training rows and others alike.
+    """
+    rows = _train(df, split).select(F.col(cat).alias("_cat"), bucket(F.col(id_col), f"{seed}|fold", folds).alias("_fold"),
+                                    (F.col(y) - F.lit(mean)).alias("_yc"))
+    sums = [F.count("_yc").alias("_n"), F.sum("_yc").alias("_s"), F.sum(F.col("_yc") * F.col("_yc")).alias("_q")]
+    per_fold = rows.groupBy("_cat", "_fold").agg(*sums)
+    fold_sums = {r["_fold"]: r for r in per_fold.groupBy("_fold").agg(*[F.sum(c).alias(c) for c in ("_n", "_s", "_q")]).collect()}
+    whole = [sum(r[c] or 0 for r in fold_sums.values()) for c in ("_n", "_s", "_q")]
+    left = {-1: whole, **{k: [w - (r[c] or 0) for w, c in zip(whole, ("_n", "_s", "_q"))] for k, r in fold_sums.items()}}
+    shape = [(k, s / n if n else None, q / n - (s / n) ** 2 if n else None) for k, (n, s, q) in left.items()]
+    base = df.sparkSession.createDataFrame(shape, "_fold int, _gm double, _gv double")  # one row for each fold
+    total = per_fold.groupBy("_cat").agg(*[F.sum(c).alias(f"{c}t") for c in ("_n", "_s", "_q")])
+    # Every category with every fold (own sums 0 where it has no row there) and with fold -1.
+    every = total.withColumn("_fold", F.explode(F.array(*[F.lit(k) for k in left])))
+    own = every.join(per_fold.withColumnRenamed("_cat", "_c").withColumnRenamed("_fold", "_f"),
+                     F.col("_cat").eqNullSafe(F.col("_c")) & (F.col("_fold") == F.col("_f")), "left")
+    n, s, q = (F.col(f"{c}t") - F.coalesce(F.col(c), F.lit(0)) for c in ("_n", "_s", "_q"))
+    centre = F.lit(mean)
+    enc = _shrink(n, s, q, centre, F.col("_gv"), F.coalesce(F.col("_gm"), F.lit(0.0)) + centre)
+    return own.join(F.broadcast(base), "_fold").select("_cat", "_fold", enc.alias("_enc"))
+
+
+def join_target_encoding(df: DataFrame, table: DataFrame, cat: str, fold: str | None, mean: float, out: str) -> DataFrame:
+    """Rows with their encoding: training rows by their ``fold``, others (fold -1, or no fold column) by all folds; a
+    category not seen there gets the training mean (without the row's own fold, if it has one)."""
+    if fold is None:
+        hit = F.col(cat).eqNullSafe(F.col("_cat"))
+        joined = df.join(table.where("_fold = -1").drop("_fold"), hit, "left")
+    else:
+        hit = F.col(cat).eqNullSafe(F.col("_cat")) & (F.col(fold) == F.col("_tfold"))
+        joined = df.join(table.withColumnRenamed("_fold", "_tfold"), hit, "left")
+    return joined.select(*df.columns, F.coalesce(F.col("_enc"), F.lit(mean)).alias(out))
+
+
 def fit_target_encoding(df: DataFrame, cat: str, y: str = presets.TARGET, split: str | None = "split",
                         stats: tuple[float, float] | None = None) -> DataFrame:
     """E6 fit: per-category encoding from all training rows; ``stats`` = known (mean, population variance) of y."""

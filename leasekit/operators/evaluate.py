@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leasekit.operators.ranking import exact_quantiles
+
 METRICS = ["mae", "rmse", "mape", "r2", "median_ae"]
 
 
@@ -29,9 +31,19 @@ def metric_columns(y: str | Column, p: str | Column, approx_median: bool = False
 
 
 def compute_metrics(df: DataFrame, y: str = "y", p: str = "prediction",
-                    group: str | Sequence[str] | None = None) -> DataFrame:
-    """MAE, RMSE, MAPE %, R², median absolute error (one row, or one per group)."""
-    cols = metric_columns(y, p)
+                    group: str | Sequence[str] | None = None, approx_median: bool = False) -> DataFrame:
+    """MAE, RMSE, MAPE %, R², median absolute error (one row, or one per group).
+
+    Without groups the median is exact and no task holds the errors; the predictions are written once for it. Grouped
+    exact medians hold a group's different errors in one task: ``approx_median`` bounds that.
+    """
+    cols = metric_columns(y, p, approx_median)
+    if group is None and not approx_median:
+        from leasekit.session import materialize
+
+        rows = materialize(df.select(F.col(y).alias("y"), F.col(p).alias("p")))
+        median = exact_quantiles(rows.select(F.abs(F.col("y") - F.col("p")).alias("e")), ["e"], [0.5])["e"][0]
+        return rows.agg(*metric_columns("y", "p", True)[:-1], F.lit(median).cast("double").alias("median_ae"))
     if group is None:
         return df.agg(*cols)
     groups = [group] if isinstance(group, str) else list(group)
@@ -57,14 +69,12 @@ def qcut_error_analysis(df: DataFrame, y: str = "y", p: str = "prediction", bins
 
     Edges are exact linear-interpolated quantiles (duplicates dropped), bins are
     right-closed (e_i, e_i+1] with the first bin closed on the left, as a
-    quantile cut does. The edges are one small array (scalar subquery), so
-    binning is a projection and the report one aggregation.
+    quantile cut does. The edges are one small array, so binning is a projection and
+    the report one aggregation.
     """
-    probs = F.array(*[F.lit(i / bins) for i in range(bins + 1)])
-    edges_df = df.agg(F.array_sort(F.array_distinct(F.percentile(F.col(y).cast("double"), probs))).alias("e"))
-    edges = edges_df.scalar()
+    found = exact_quantiles(df.select(F.col(y).alias("y")), ["y"], [i / bins for i in range(bins + 1)])["y"]
+    edges = F.array(*[F.lit(e) for e in sorted({e for e in found if e is not None})]).cast("array<double>")
     # bin = number of inner edges strictly below y (positions 2 .. size-1 of the edge array);
-    # written without a lambda because subqueries cannot sit inside higher-order functions.
     b = F.lit(0)
     for i in range(2, bins + 1):
         below = (F.lit(i) <= F.size(edges) - 1) & (F.try_element_at(edges, F.lit(i)) < F.col(y))

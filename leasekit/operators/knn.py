@@ -18,39 +18,40 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-CAND_SCHEMA = "qid long, rid long, dist double, label double"
+CAND_SCHEMA = "qid long, rid long, dist double, label double, near double"
 
 
-def _block_topk(k: int, chunk: int = 64):
+def _block_topk(k: int, decimals: int, chunk: int = 64):
     def fn(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         if q.empty or r.empty:
             return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "rid": pd.Series([], dtype="int64"),
-                                 "dist": pd.Series([], dtype="float64"), "label": pd.Series([], dtype="float64")})
+                                 "dist": pd.Series([], dtype="float64"), "label": pd.Series([], dtype="float64"), "near": pd.Series([], dtype="float64")})
         Q = np.stack(q["qv"].to_numpy()).astype(np.float64)
         R = np.stack(r["rv"].to_numpy()).astype(np.float64)
         rid = r["rid"].to_numpy(np.int64)
         lab = r["label"].to_numpy(np.float64)
         qid = q["qid"].to_numpy(np.int64)
         kk = min(k, len(R))
-        out_q, out_r, out_d, out_l = [], [], [], []
+        out_q, out_r, out_d, out_l, out_n = [], [], [], [], []
         for s in range(0, len(Q), chunk):
             diff = Q[s:s + chunk, None, :] - R[None, :, :]
             d = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
+            rounded = np.round(d, decimals)
             for i in range(d.shape[0]):
-                # Exact order by (distance, reference id); keep all ties at the k-th distance
-                # so the global ranking can break them by id.
-                row = d[i]
+                # The k first by (rounded distance, reference id), the order that ranks them in the end.
+                row, near = d[i], rounded[i]
+                idx = np.arange(len(row))
                 if kk < len(row):
-                    kth = np.partition(row, kk - 1)[kk - 1]
-                    idx = np.nonzero(row <= kth)[0]
-                else:
-                    idx = np.arange(len(row))
+                    idx = np.nonzero(near <= np.partition(near, kk - 1)[kk - 1])[0]
+                    idx = idx[np.lexsort((rid[idx], near[idx]))[:kk]]
                 out_q.append(np.full(len(idx), qid[s + i], dtype=np.int64))
                 out_r.append(rid[idx])
                 out_d.append(row[idx])
+                out_n.append(near[idx])
                 out_l.append(lab[idx])
         return pd.DataFrame({"qid": np.concatenate(out_q), "rid": np.concatenate(out_r),
-                             "dist": np.concatenate(out_d), "label": np.concatenate(out_l)})
+                             "dist": np.concatenate(out_d), "label": np.concatenate(out_l),
+                             "near": np.concatenate(out_n)})
     return fn
 
 
@@ -75,8 +76,8 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int = 10, q_id: str = "id",
          .withColumn("rb", F.pmod(F.xxhash64("rid"), F.lit(br)))
          .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(bq - 1)))))
     cand = (q.groupBy("qb", "rb").cogroup(r.groupBy("qb", "rb"))
-              .applyInPandas(_block_topk(k), CAND_SCHEMA))
-    w = Window.partitionBy("qid").orderBy(F.round("dist", order_decimals), "rid")
+              .applyInPandas(_block_topk(k, order_decimals), CAND_SCHEMA))
+    w = Window.partitionBy("qid").orderBy("near", "rid")
     ranked = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     cols = ["qid", "rid", "rank", "dist"] + (["label"] if label else [])
     return ranked.select(*cols)
@@ -88,8 +89,3 @@ def knn_regress(queries: DataFrame, refs: DataFrame, k: int = 10, q_id: str = "i
     nn = knn_join(queries, refs, k, q_id, r_id, vec, label, **kw)
     return nn.groupBy("qid").agg(F.avg("label").alias("prediction"), F.count(F.lit(1)).alias("n_neighbors"))
 
-
-def vector_to_array(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array as v2a
-
-    return df.withColumn(out or col, v2a(F.col(col)))

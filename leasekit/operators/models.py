@@ -9,8 +9,10 @@ exact k-NN, voting/stacking assembly and the log-target wrapper.
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
@@ -22,7 +24,13 @@ from leasekit import presets
 from leasekit.functions.hashing import bucket
 from leasekit.operators import encode as E
 from leasekit.operators.evaluate import METRICS, compute_metrics
-from leasekit.operators.features import column_groups
+from leasekit.operators.features import column_roles
+from leasekit.operators.ranking import exact_quantiles
+
+
+def _plain(name: str) -> str:
+    """A column name without dots (the assembler reads them as fields), different for different names."""
+    return name.replace("%", "%25").replace(".", "%2E")
 
 
 # ------------------------------------------------------------------ E11 E12 E13
@@ -46,6 +54,7 @@ class Prep:
     medians: dict
     std: dict | None
     modes: dict
+    level_table: DataFrame | None
     levels: dict
     te: dict
     te_mean: float | None
@@ -65,18 +74,16 @@ class Prep:
         if self.low:
             base = E.apply_fill(base, self.modes, self.low)
             before = set(base.columns)
-            base = E.apply_onehot(base, self.levels)
-            ren = {c: "low_card__" + c.replace(".", "_") for c in base.columns if c not in before}
+            base = E.apply_onehot(base, self.level_table, names=self.levels)
+            ren = {c: _plain(f"low_card__{c}") for c in base.columns if c not in before}
             base = base.select(*[F.col(f"`{c}`").alias(ren.get(c, c)) for c in base.columns])
         for cat, enc in self.te.items():
-            out = f"high_card__{cat}"
-            rest = base.filter(F.col(self.split) != "train") if oof_train else base
-            rest = E.apply_target_encoding(rest, enc, cat, self.target, out=out, mean=self.te_mean)
-            if oof_train:
-                tr = E.target_encode_oof(base, cat, self.target, self.id_col, out=out, split=self.split,
-                                         centre=self.te_mean).drop("fold")
-                rest = tr.unionByName(rest)
-            base = rest
+            fold = "_fold" if oof_train else None
+            if oof_train and fold not in base.columns:
+                train_fold = bucket(F.col(self.id_col), f"{presets.SEED}|fold", presets.TE_FOLDS)
+                base = base.withColumn(fold, F.when(F.col(self.split) == "train", train_fold).otherwise(-1))
+            base = E.join_target_encoding(base, enc, cat, fold, self.te_mean, f"high_card__{cat}")
+        base = base.drop("_fold")
         return base
 
     def transform(self, df: DataFrame, oof_train: bool = False, keep: Sequence[str] = ()) -> DataFrame:
@@ -90,24 +97,24 @@ def fit_preprocessor(df: DataFrame, target: str = presets.TARGET, use_target_enc
                      scale: bool = True, numeric: Sequence[str] | None = None,
                      low_card: Sequence[str] | None = None, split: str = "split", id_col: str = "id") -> Prep:
     """Learn every statistic on the training part (one small job per statistic group)."""
-    groups = column_groups(df, target)
+    groups = column_roles(df, target)
     num = [c for c in (numeric if numeric is not None else groups["numeric"]) if c not in (id_col, "fold")]
     low = list(low_card if low_card is not None else groups["low_card"])
     high = list(groups["high_card"]) if use_target_encoding else []
     cast = df.select(id_col, split, target, *[F.col(c).cast("double").alias(c) for c in num], *low,
                      *[c for c in high if c not in low])
-    # One pass over the training part for every one-row statistic: medians, modes, the
-    # target's mean/variance and the moments that give the std of the median-filled columns.
+    # One pass over the training part for modes, the target's mean/variance and the moments that give the std of the
+    # median-filled columns; the medians from range-sorted value counts.
     train = cast.filter(F.col(split) == "train")
     aggs = [F.count(F.lit(1)).alias("_rows"), F.avg(target).alias("_ymean"), F.var_pop(target).alias("_yvar")]
     for i, c in enumerate(num):
-        aggs += [F.median(c).alias(f"med{i}"), F.count(c).alias(f"n{i}"), F.avg(c).alias(f"a{i}"),
+        aggs += [F.count(c).alias(f"n{i}"), F.avg(c).alias(f"a{i}"),
                  F.var_pop(c).alias(f"v{i}")]
     for i, c in enumerate(low):
         aggs.append(F.mode(c, True).alias(f"mode{i}"))
     st = train.agg(*aggs).first()
     rows = st["_rows"]
-    medians = {c: st[f"med{i}"] for i, c in enumerate(num)}
+    medians = {c: v[0] for c, v in exact_quantiles(train, num, [0.5]).items()}
     modes = {c: st[f"mode{i}"] for i, c in enumerate(low)}
     std = None
     if scale and num:
@@ -122,17 +129,20 @@ def fit_preprocessor(df: DataFrame, target: str = presets.TARGET, use_target_enc
             m2 = n1 * v1 + n1 * (a1 - mean) ** 2 + n0 * (m - mean) ** 2
             sd = (m2 / rows) ** 0.5
             std[f"{c}__mean"], std[f"{c}__std"] = mean, (sd if sd > 0 else 1.0)
-    levels = E.onehot_levels(E.fit_onehot(E.apply_fill(cast, modes, low), low, split)) if low else {}
+    from leasekit.session import materialize
+
+    level_table = materialize(E.fit_onehot(E.apply_fill(cast, modes, low), low, split)) if low else None
+    levels = E.onehot_levels(level_table) if low else {}
     names = list(num)
     for c in low:
         kept, pooled = levels.get(c, ([], False))
-        names += [f"low_card__{c}_{lv}".replace(".", "_") for lv in kept]
+        names += [_plain(f"low_card__{c}_{lv}") for lv in kept]
         if pooled:
             names.append(f"low_card__{c}_{presets.ONEHOT_INFREQUENT_LABEL}")
-    te = {cat: E.fit_target_encoding(cast, cat, target, split, stats=(st["_ymean"], st["_yvar"])) for cat in high}
+    te = {cat: materialize(E.target_encoding_table(cast, cat, target, split, id_col, st["_ymean"])) for cat in high}
     te_mean = st["_ymean"] if high else None
     names += [f"high_card__{cat}" for cat in high]
-    return Prep(num, low, high, medians, std, modes, levels, te, te_mean, names, target, id_col, split)
+    return Prep(num, low, high, medians, std, modes, level_table, levels, te, te_mean, names, target, id_col, split)
 
 
 def prepare_matrix(df: DataFrame, target: str = presets.TARGET, use_target_encoding: bool = True,
@@ -148,7 +158,7 @@ def prepare_matrix(df: DataFrame, target: str = presets.TARGET, use_target_encod
     """
     # Fit-once (E13): the feature table is materialised once with only the columns the
     # encoders read, so each statistic below scans it instead of recomputing the features.
-    groups = column_groups(df, target)
+    groups = column_roles(df, target)
     need = {id_col, split, target, *(numeric if numeric is not None else groups["numeric"]),
             *(low_card if low_card is not None else groups["low_card"]), *groups["high_card"],
             *(["title_clean", "body_clean"] if use_text else [])}
@@ -195,13 +205,18 @@ def svd_project(weights: DataFrame, vocab: DataFrame, train_weights: DataFrame,
     train_mat, n_terms = _sparse_rows(train_weights, vocab)
     k = max(1, min(k, n_terms - 1))
     _, v = randomized_svd(train_mat, n_terms, k)
-    train_mat.rows.unpersist()
+    train_mat.kept.unpersist()
     mat, _ = _sparse_rows(weights, vocab)
     proj = mat.multiply(DenseMatrix(v.shape[0], v.shape[1], np.asarray(v).ravel(order="F").tolist()))
     spark = weights.sparkSession
     cols = ["doc"] + [f"text_svd_{i}" for i in range(k)]
-    return spark.createDataFrame(proj.rows.map(lambda r: (int(r.index), *[float(x) for x in r.vector.toArray()])),
-                                 cols)
+    scores = spark.createDataFrame(proj.rows.map(lambda r: (int(r.index), *[float(x) for x in r.vector.toArray()])),
+                                   cols)
+    from leasekit.session import materialize
+
+    scores = materialize(scores)
+    mat.kept.unpersist()
+    return scores
 
 
 # ------------------------------------------------------------------ M1–M9
@@ -212,7 +227,7 @@ class MedianDummy:
         self.labelCol, self.predictionCol = labelCol, predictionCol
 
     def fit(self, df: DataFrame):
-        med = df.agg(F.median(self.labelCol)).first()[0]
+        med = exact_quantiles(df.select(self.labelCol), [self.labelCol], [0.5])[self.labelCol][0]
         return _Const(float(med), self.predictionCol)
 
 
@@ -257,23 +272,44 @@ def ridge(alpha: float, n: int, label_std: float) -> LinearRegression:
 
 def lasso(alpha: float) -> LinearRegression:
     """M5: (1/2n)||y - Xw||² + alpha||w||₁."""
-    return LinearRegression(elasticNetParam=1.0, regParam=alpha, standardization=False, maxIter=200)
+    return LinearRegression(elasticNetParam=1.0, regParam=alpha, standardization=False, maxIter=5000)
 
 
+TREES = 300
 GBT_PRESETS = {
-    # one boosted-tree operator; presets map each library's shared knobs
-    "hist_gb": dict(maxIter=100, stepSize=0.1, maxDepth=6, subsamplingRate=1.0),
-    "xgboost": dict(maxIter=300, stepSize=0.05, maxDepth=6, subsamplingRate=0.8,
-                    featureSubsetStrategy="0.8"),
-    "lightgbm": dict(maxIter=300, stepSize=0.05, maxDepth=8, subsamplingRate=0.8,
-                     featureSubsetStrategy="0.8"),
-    "catboost": dict(maxIter=300, stepSize=0.05, maxDepth=6, subsamplingRate=1.0),
+    # one boosted-tree operator; presets map each library's shared knobs (leaf-wise libraries: by depth)
+    "hist_gb": dict(maxDepth=6),
+    "xgboost": dict(maxDepth=8, subsamplingRate=0.8, featureSubsetStrategy="0.8"),
+    "lightgbm": dict(maxDepth=6),
+    "catboost": dict(maxDepth=8),
 }
+# Parameters of the final model when no search has been run.
+FINAL_PARAMS = dict(maxIter=1200, stepSize=0.03, maxDepth=10, minInstancesPerNode=13, subsamplingRate=0.65,
+                    featureSubsetStrategy="0.74")
+ZOO = ["ridge", "lasso", "knn_10", "decision_tree", "random_forest", "extra_trees", "hist_gb", "xgboost",
+       "lightgbm", "catboost", "voting_lgbm_xgb_rf", "stacking_lgbm_rf_ridge"]
+FINALISTS = ["xgboost", "lightgbm", "random_forest", "extra_trees", "voting_lgbm_xgb_rf"]
+#: Fits that run at the same time (each is a chain of small jobs, so one alone leaves executors idle).
+PARALLEL_FITS = 4
+
+
+def at_once(jobs: Sequence[Callable]) -> list:
+    """Results of independent fits, a few of which run at the same time."""
+    with ThreadPoolExecutor(min(PARALLEL_FITS, max(1, len(jobs)))) as pool:
+        return list(pool.map(lambda job: job(), jobs))
+
+
+def boosted(seed: int = presets.SEED, **params) -> GBTRegressor:
+    return GBTRegressor(seed=seed, maxBins=64, **params)
 
 
-def make_model(name: str, scale: float = 1.0, seed: int = presets.SEED, n_train: int = 0, label_std: float = 1.0):
-    """Model zoo by name; ``scale`` shrinks tree counts / iterations for quick runs."""
-    trees = lambda n: max(2, int(n * scale))
+def extra_trees(seed: int = presets.SEED, **params) -> RandomForestRegressor:
+    """Approximation: no bootstrap and coarse bins (MLlib has no random thresholds)."""
+    return RandomForestRegressor(bootstrap=False, maxBins=16, seed=seed, **params)
+
+
+def make_model(name: str, seed: int = presets.SEED, n_train: int = 0, label_std: float = 1.0):
+    """Model zoo by name. MLlib trees go down to depth 30 at most."""
     if name == "dummy_median":
         return MedianDummy()
     if name == "linear_regression":
@@ -287,21 +323,24 @@ def make_model(name: str, scale: float = 1.0, seed: int = presets.SEED, n_train:
     if name == "decision_tree":
         return DecisionTreeRegressor(maxDepth=16, minInstancesPerNode=5, maxBins=64, seed=seed)
     if name == "random_forest":
-        return RandomForestRegressor(numTrees=trees(300), minInstancesPerNode=2, maxDepth=min(30, 16),
+        return RandomForestRegressor(numTrees=TREES, minInstancesPerNode=2, maxDepth=30,
                                      featureSubsetStrategy="all", maxBins=64, seed=seed)
     if name == "extra_trees":
-        # Approximation: no bootstrap, random feature subsets, coarse bins (MLlib has no random thresholds).
-        return RandomForestRegressor(numTrees=trees(300), bootstrap=False, featureSubsetStrategy="onethird",
-                                     maxBins=16, maxDepth=16, minInstancesPerNode=1, seed=seed)
+        return extra_trees(seed, numTrees=TREES, minInstancesPerNode=2, maxDepth=30, featureSubsetStrategy="all")
     if name in GBT_PRESETS:
-        p = dict(GBT_PRESETS[name])
-        p["maxIter"] = trees(p["maxIter"])
-        return GBTRegressor(seed=seed, maxBins=64, **p)
+        return boosted(seed, maxIter=TREES, stepSize=0.05, **GBT_PRESETS[name])
+    if name == "final":
+        return boosted(seed, **FINAL_PARAMS)
     raise KeyError(name)
 
 
 # ------------------------------------------------------------------ M10 M11 M12
-def fit_predict(name: str, train: DataFrame, test: DataFrame, scale: float = 1.0, log_target: bool = False,
+def voting(preds: DataFrame, members: Sequence[str], out: str = "prediction") -> DataFrame:
+    """The mean of the members' prediction columns."""
+    return preds.withColumn(out, sum(F.col(m) for m in members) / len(members))
+
+
+def fit_predict(name: str, train: DataFrame, test: DataFrame, log_target: bool = False,
                 seed: int = presets.SEED) -> tuple[DataFrame, float]:
     """Fit on ``train`` and predict ``test``; returns (test with ``prediction``, fit seconds).
 
@@ -311,28 +350,26 @@ def fit_predict(name: str, train: DataFrame, test: DataFrame, scale: float = 1.0
     t0 = time.time()
     if name.startswith("voting"):
         members = ["lightgbm", "xgboost", "random_forest"]
-        preds = test
-        for i, m in enumerate(members):
-            model = _fit(m, tr, scale, seed)
-            preds = _predict(model, preds, f"_p{i}")
-        out = preds.withColumn("prediction", sum(F.col(f"_p{i}") for i in range(len(members))) / len(members))
-        out = out.drop(*[f"_p{i}" for i in range(len(members))])
+        preds, columns = test, [f"_p{i}" for i in range(len(members))]
+        for column, model in zip(columns, at_once([partial(_fit, m, tr, seed) for m in members])):
+            preds = _predict(model, preds, column)
+        out = voting(preds, columns).drop(*columns)
     elif name.startswith("stacking"):
-        out = stacking(tr, test, ["lightgbm", "random_forest", "ridge"], scale=scale, seed=seed)
+        out = stacking(tr, test, ["lightgbm", "random_forest", "ridge"], seed=seed)
     else:
-        out = _fit(name, tr, scale, seed).transform(test)
+        out = _fit(name, tr, seed).transform(test)
     secs = time.time() - t0
     if log_target:
         out = out.withColumn("prediction", F.expm1("prediction"))
     return out, secs
 
 
-def _fit(name, train, scale, seed):
+def _fit(name, train, seed):
     n, sd = 0, 1.0
     if name == "ridge":
         r = train.agg(F.count("label"), F.stddev_samp("label")).first()
         n, sd = int(r[0]), float(r[1] or 1.0)
-    return make_model(name, scale, seed, n, sd).fit(train)
+    return make_model(name, seed, n, sd).fit(train)
 
 
 def _predict(model, df, col):
@@ -340,36 +377,39 @@ def _predict(model, df, col):
     return out.withColumnRenamed("prediction", col)
 
 
-def stacking(train: DataFrame, test: DataFrame, bases: Sequence[str], folds: int = 3, scale: float = 1.0,
+def stacking(train: DataFrame, test: DataFrame, bases: Sequence[str], folds: int = 3,
              seed: int = presets.SEED, id_col: str = "id") -> DataFrame:
     """Out-of-fold base predictions -> ridge meta-model; bases refit on all training rows."""
     tr = train.withColumn("_fold", bucket(F.col(id_col), f"{seed}|stack", folds))
+    columns = [f"_b{i}" for i in range(len(bases))]
+    parts = [tr.filter(F.col("_fold") != k) for k in range(folds)] + [train]
+    models = at_once([partial(_fit, base, part, seed) for part in parts for base in bases])
+
+    def predictions(k: int, rows: DataFrame) -> DataFrame:
+        for column, model in zip(columns, models[k * len(bases):(k + 1) * len(bases)]):
+            rows = _predict(model, rows, column)
+        return rows
+
     oof = None
     for k in range(folds):
-        fit_part, pred_part = tr.filter(F.col("_fold") != k), tr.filter(F.col("_fold") == k)
-        p = pred_part.select(id_col, "label", "features")
-        for i, b in enumerate(bases):
-            p = _predict(_fit(b, fit_part, scale, seed), p, f"_b{i}")
-        p = p.select(id_col, "label", *[f"_b{i}" for i in range(len(bases))])
+        p = predictions(k, tr.filter(F.col("_fold") == k).select(id_col, "label", "features"))
+        p = p.select(id_col, "label", *columns)
         oof = p if oof is None else oof.unionByName(p)
-    meta_in = VectorAssembler(inputCols=[f"_b{i}" for i in range(len(bases))], outputCol="_meta").transform(oof)
+    assemble = VectorAssembler(inputCols=columns, outputCol="_meta")
+    meta_in = assemble.transform(oof)
     r = meta_in.agg(F.count("label"), F.stddev_samp("label")).first()
     meta = ridge(1.0, int(r[0]), float(r[1] or 1.0)).setFeaturesCol("_meta").fit(meta_in)
-    out = test
-    for i, b in enumerate(bases):
-        out = _predict(_fit(b, train, scale, seed), out, f"_b{i}")
-    out = VectorAssembler(inputCols=[f"_b{i}" for i in range(len(bases))], outputCol="_meta").transform(out)
-    return meta.transform(out).drop("_meta", *[f"_b{i}" for i in range(len(bases))])
+    return meta.transform(assemble.transform(predictions(folds, test))).drop("_meta", *columns)
 
 
 # ------------------------------------------------------------------ M13–M18 M21
-def run_experiment(name: str, model: str, m: Matrix, scale: float = 1.0, log_target: bool = False,
+def run_experiment(name: str, model: str, m: Matrix, log_target: bool = False,
                    eval_part: str = "val", train_parts: Sequence[str] = ("train",)) -> DataFrame:
     """Fit on the training part(s), score ``eval_part``; long rows (run, model, metric, value)."""
     d = m.data
     train = d.filter(F.col("split").isin(list(train_parts)))
     test = d.filter(F.col("split") == eval_part)
-    pred, secs = fit_predict(model, train, test, scale=scale, log_target=log_target)
+    pred, secs = fit_predict(model, train, test, log_target=log_target)
     wide = compute_metrics(pred, "label", "prediction")
     spark = d.sparkSession
     row = wide.first()
@@ -380,8 +420,7 @@ def run_experiment(name: str, model: str, m: Matrix, scale: float = 1.0, log_tar
 
 def run_suite(name: str, models: Sequence[str], m: Matrix, **kw) -> DataFrame:
     out = None
-    for mdl in models:
-        r = run_experiment(name, mdl, m, **kw)
+    for r in at_once([partial(run_experiment, name, mdl, m, **kw) for mdl in models]):
         out = r if out is None else out.unionByName(r)
     return out
 
@@ -397,32 +436,27 @@ def builtin_importance(model, names: Sequence[str], spark, top: int = 25) -> Dat
 
 
 def permutation_importance(model, m: Matrix, part: str = "val", repeats: int = 5, seed: int = presets.SEED,
-                           bucket_rows: int = 4096, features: Sequence[str] | None = None) -> DataFrame:
+                           features: Sequence[str] | None = None) -> DataFrame:
     """MAE increase when one feature is shuffled, mean/std over ``repeats``.
 
-    The shuffle is a cyclic shift in hash order inside random buckets of about
-    ``bucket_rows`` rows (a window with a bounded partition, never a global
-    sort). All (feature, repeat) variants are one DataFrame scored in one pass.
+    A repeat numbers all rows in the order of a hash, and each row takes the value of the next (the last of the
+    first): a permutation of the whole part, found by a range sort and one join on the number. All (feature, repeat)
+    variants are one DataFrame scored in one pass, without a further shuffle.
     """
     from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.sql import Window
+
+    from leasekit.operators.ranking import numbered
 
     names = list(features or m.names)
     d = m.data.filter(F.col("split") == part).select("id", "label", vector_to_array("features").alias("_x"))
-    n = d.count()
-    nb = max(1, n // bucket_rows)
     base_mae = compute_metrics(model.transform(m.data.filter(F.col("split") == part)), "label",
                                "prediction").select("mae")
     variants = None
     for r in range(repeats):
-        b = F.pmod(F.xxhash64(F.col("id"), F.lit(seed), F.lit(r)), F.lit(nb))
-        h = F.xxhash64(F.col("id"), F.lit(seed + 1), F.lit(r))
-        w = Window.partitionBy("_b").orderBy("_h", "id")
-        shifted = (d.withColumn("_b", b).withColumn("_h", h)
-                    .withColumn("_src", F.coalesce(F.lead("_x").over(w),
-                                                   F.first("_x").over(w.rowsBetween(Window.unboundedPreceding,
-                                                                                    Window.unboundedFollowing)))))
-        # One row per (row, feature): replace element j by the shifted row's element j.
+        rows, n = numbered(d.withColumn("_h", F.xxhash64(F.col("id"), F.lit(seed), F.lit(r))), ["_h", "id"], "_n")
+        following = rows.select(F.pmod(F.col("_n") - 1, F.lit(max(n, 1))).alias("_n"), F.col("_x").alias("_src"))
+        shifted = rows.join(following, "_n")
+        # One row per (row, feature): replace element j by the following row's element j.
         v = shifted.select("id", "label", F.lit(r).alias("repeat"), "_x", "_src",
                            F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1))).alias("_j"))
         v = v.select("id", "label", "repeat",
@@ -437,6 +471,6 @@ def permutation_importance(model, m: Matrix, part: str = "val", repeats: int = 5
                .select("feature", (F.col("mae_perm") - base_mae.scalar()).alias("mae_increase"), "std"))
 
 
-def residuals(pred: DataFrame, y: str = "label", p: str = "prediction") -> DataFrame:
-    """I4: (y, p, residual) rows."""
-    return pred.select(F.col(y).alias("y"), F.col(p).alias("p"), (F.col(y) - F.col(p)).alias("residual"))
+def residuals(pred: DataFrame, y: str = "label", p: str = "prediction", keep: Sequence[str] = ()) -> DataFrame:
+    """I4: (y, p, residual) rows, after the columns ``keep``."""
+    return pred.select(*keep, F.col(y).alias("y"), F.col(p).alias("p"), (F.col(y) - F.col(p)).alias("residual"))

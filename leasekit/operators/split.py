@@ -37,16 +37,15 @@ def add_listing_group(df: DataFrame, keys: Sequence[str] = presets.DEDUP_KEYS,
                       dense: bool = False) -> DataFrame:
     """Add the key string and a 64-bit group id (``xxhash64`` of the key).
 
-    ``dense=True`` gives dense 0..n-1 codes instead; that needs a global order
-    of the distinct keys, so it is computed on the aggregated key table.
+    ``dense=True`` gives dense 0..n-1 codes instead, in key order: the distinct keys are range-sorted and numbered
+    range by range, in no single task.
     """
     out = df.withColumn(key_col, listing_key(keys))
     if not dense:
         return out.withColumn(group_col, F.xxhash64(key_col))
-    from pyspark.sql import Window
+    from leasekit.operators.ranking import numbered
 
-    codes = (out.select(key_col).distinct()
-             .withColumn(group_col, (F.dense_rank().over(Window.orderBy(key_col)) - 1).cast("bigint")))
+    codes, _ = numbered(out.select(key_col).distinct(), [key_col], group_col)
     return out.join(codes, key_col, "left")
 
 
@@ -107,19 +106,28 @@ def shared_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.select(key).intersect(right.select(key))
 
 
-def semi(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Rows of ``left`` whose key occurs in ``right``."""
-    return left.join(right.select(key), key, "left_semi")
-
-
 # ----------------------------------------------------------------------- G6
 def split_profile(df: DataFrame, split: str = "split", target: str = presets.TARGET) -> DataFrame:
+    """Size, share and the target's describe of each part. Percentiles are exact, from value counts of all parts at once
+    (as many columns as parts), so no task holds a part."""
+    from leasekit.operators.ranking import exact_quantiles
+
     total = df.agg(F.count(F.lit(1)).alias("t")).scalar()
-    return df.groupBy(split).agg(
+    out = df.groupBy(split).agg(
         F.count(F.lit(1)).alias("n"), F.avg(target).alias("mean_price"),
         F.stddev_samp(target).alias("std_price"), F.min(target).alias("min_price"),
         F.max(target).alias("max_price"),
     ).withColumn("pct", 100.0 * F.col("n") / total)
+    names = [r[0] for r in df.select(split).distinct().collect()]
+    by_part = df.select(*[F.when(F.col(split).eqNullSafe(F.lit(n)), F.col(target)).alias(f"part{i}")
+                          for i, n in enumerate(names)])
+    found = exact_quantiles(by_part, by_part.columns, [0.25, 0.5, 0.75]) if names else {}
+    for k, column in enumerate(("p25_price", "p50_price", "p75_price")):
+        value = F.lit(None).cast("double")
+        for i, n in enumerate(names):
+            value = F.when(F.col(split).eqNullSafe(F.lit(n)), F.lit(found[f"part{i}"][k])).otherwise(value)
+        out = out.withColumn(column, value)
+    return out
 
 
 # ----------------------------------------------------------------------- U1

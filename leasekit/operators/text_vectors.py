@@ -101,7 +101,9 @@ def _sparse_rows(weights: DataFrame, vocab: DataFrame):
     rdd = rows.rdd.map(lambda r: IndexedRow(int(r["doc"]), Vectors.sparse(
         n_terms, [int(x["j"]) for x in r["e"]], [float(x["weight"]) for x in r["e"]]))
     ).persist(StorageLevel.MEMORY_AND_DISK)
-    return IndexedRowMatrix(rdd), n_terms
+    matrix = IndexedRowMatrix(rdd)
+    matrix.kept = rdd  # matrix.rows is another wrapper each time; this one can be freed
+    return matrix, n_terms
 
 
 def _orthonormal(y):
@@ -174,5 +176,5 @@ def truncated_svd(weights: DataFrame, vocab: DataFrame, k: int = presets.SVD_COM
     from leasekit.session import materialize
 
     scores = materialize(scores)
-    mat.rows.unpersist()
+    mat.kept.unpersist()
     return scores, s, v

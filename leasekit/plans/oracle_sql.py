@@ -9,7 +9,6 @@ by hand-written SQL, not by translating the Spark plan.
 from __future__ import annotations
 
 from leasekit import presets
-from leasekit.functions.text import slug_name
 
 WEEKS = "(CAST(52 AS DOUBLE) / 12)"
 
@@ -64,6 +63,7 @@ def raw_lv_cte() -> str:
     def tok(c: str) -> str:
         return (f"CASE WHEN id % 37 = 0 THEN 'null' WHEN id % 41 = 0 THEN 'None' "
                 f"WHEN id % 43 = 0 THEN '' WHEN id % 47 = 0 THEN 'n/a' "
+                f"WHEN id % 59 = 0 THEN '#N/A' WHEN id % 61 = 0 THEN 'NA' "
                 f"ELSE CAST({c} AS VARCHAR) END AS {c}")
 
     def pad(c: str) -> str:
@@ -144,8 +144,8 @@ def word_count_sql(c: str) -> str:
 def features_ctes() -> str:
     """P16 chain over ``c`` -> CTE ``f``."""
     flags = ",\n    ".join(
-        f"CAST(contains(lower(amenities), '{name.lower()}') AS INTEGER) AS am_{slug_name(name)}"
-        for name in presets.AMENITIES_VOCAB)
+        f"CAST(contains(lower(amenities), '{name.lower()}') AS INTEGER) AS {flag}"
+        for flag, name in presets.AMENITY_FLAGS.items())
     pets = ",\n    ".join(
         f"CAST(contains(lower(pets_allowed), '{p.lower()}') AS INTEGER) AS pets_{p.lower()}"
         for p in presets.PETS_VOCAB)

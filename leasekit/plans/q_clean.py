@@ -15,11 +15,15 @@ from leasekit.plans.registry import ORDER, cleaned, featured, lv, query, raw_lv,
 
 
 # ------------------------------------------------------------------ S2 P1–P3
-@query("null_tokens", "S2", sql=lambda: S.with_lv(S.raw_lv_cte()) + """
+MISSING = """('null', 'NULL', '', 'none', 'None', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan',
+  '1.#IND', '1.#QNAN', '<NA>', 'N/A', 'NA', 'NaN', 'n/a', 'nan')"""
+
+
+@query("null_tokens", "S2", sql=lambda: S.with_lv(S.raw_lv_cte()) + f"""
 SELECT id,
-  CASE WHEN price IN ('null','NULL','','none','None') THEN NULL ELSE price END AS price,
-  CASE WHEN state IN ('null','NULL','','none','None') THEN NULL ELSE state END AS state,
-  CASE WHEN "time" IN ('null','NULL','','none','None') THEN NULL ELSE "time" END AS "time"
+  CASE WHEN price IN {MISSING} THEN NULL ELSE price END AS price,
+  CASE WHEN state IN {MISSING} THEN NULL ELSE state END AS state,
+  CASE WHEN "time" IN {MISSING} THEN NULL ELSE "time" END AS "time"
 FROM raw_lv""")
 def q_null_tokens(spark, d):
     df = C.normalize_null_tokens(raw_lv(spark, d))

@@ -108,8 +108,7 @@ def q_onehot_cols(spark, d):
     """Explicit one-hot columns, reported as the (row, active column) pairs."""
     df = lv_split(spark, d)
     cols = ["category", "price_type"]
-    levels = E.onehot_levels(E.fit_onehot(df, cols))
-    wide = E.apply_onehot(df.select("id", *cols), levels, drop_input=True)
+    wide = E.apply_onehot(df.select("id", *cols), E.fit_onehot(df, cols), drop_input=True)
     feats = [c for c in wide.columns if c != "id"]
     pairs = wide.select("id", F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("v")) for c in feats])).alias("p"))

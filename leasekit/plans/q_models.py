@@ -13,6 +13,7 @@ from leasekit.operators import text_vectors as TV
 from leasekit.plans import oracle_sql as S
 from leasekit.plans.q_split import split_features, with_split
 from leasekit.plans.registry import query, rnd
+from leasekit.session import materialize
 from leasekit.sources.tables import read_table
 
 # y = l_extendedprice, p = a deterministic function of the row.
@@ -246,7 +247,9 @@ def q_voting(spark, d):
                       (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("p1"),
                       (F.col("l_extendedprice") * (1 + F.col("l_tax"))).alias("p2"),
                       (F.col("l_quantity") * 1000).alias("p3"))
-    avg = preds.withColumn("prediction", (F.col("p1") + F.col("p2") + F.col("p3")) / 3)
+    from leasekit.operators.models import voting
+
+    avg = voting(preds, ["p1", "p2", "p3"])
     return avg.agg(rnd(F.avg(F.abs(F.col("y") - F.col("prediction"))), 4).alias("mae"),
                    F.count(F.lit(1)).alias("n"))
 
@@ -259,15 +262,10 @@ def q_residuals(spark, d):
 
     df = split_features(spark, d).select("id", "split", F.col("price").alias("label"))
     pred = MedianDummy().fit(df.filter(F.col("split") == "train")).transform(df.filter(F.col("split") == "val"))
-    r = residuals(pred.withColumnRenamed("label", "label"))
-    return pred.select("id", F.col("label").alias("y"), rnd("prediction", 4).alias("p"),
-                       rnd(F.col("label") - F.col("prediction"), 4).alias("residual")) if r is not None else r
+    return residuals(pred, keep=["id"]).select("id", "y", rnd("p", 4).alias("p"), rnd("residual", 4).alias("residual"))
 
 
 # ------------------------------------------------------------------ rows-only model stages
-SMALL = 0.05  # tree/iteration scale for the per-query runs; full presets with scale=1.0
-
-
 def _matrix(spark, d, **kw):
     from leasekit.operators.models import prepare_matrix
 
@@ -278,7 +276,7 @@ def _model_query(name):
     def fn(spark, d):
         from leasekit.operators.models import run_experiment
 
-        return run_experiment(name, name, _matrix(spark, d), scale=SMALL)
+        return run_experiment(name, name, _matrix(spark, d))
     return fn
 
 
@@ -291,14 +289,14 @@ for _m, _ops in [("ridge", "M4"), ("lasso", "M5"), ("decision_tree", "M6"), ("ra
 def q_stacking(spark, d):
     from leasekit.operators.models import run_experiment
 
-    return run_experiment("stacking", "stacking_lgbm_rf_ridge", _matrix(spark, d), scale=SMALL)
+    return run_experiment("stacking", "stacking_lgbm_rf_ridge", _matrix(spark, d))
 
 
 @query("model_voting", "M10")
 def q_voting_models(spark, d):
     from leasekit.operators.models import run_experiment
 
-    return run_experiment("voting", "voting_lgbm_xgb_rf", _matrix(spark, d), scale=SMALL)
+    return run_experiment("voting", "voting_lgbm_xgb_rf", _matrix(spark, d))
 
 
 @query("baseline_suite", "M14 E12 M1 M2 M3")
@@ -336,11 +334,11 @@ def q_ablation(spark, d):
 
     df = split_features(spark, d)
     runs = [("no_te", dict(use_target_encoding=False), False), ("te", dict(), False),
-            ("te_text", dict(use_text=True, text_components=10), False),
-            ("te_text_log", dict(use_text=True, text_components=10), True)]
+            ("te_text", dict(use_text=True), False),
+            ("te_text_log", dict(use_text=True), True)]
     out = None
     for name, kw, log in runs:
-        r = run_experiment(name, "lightgbm", prepare_matrix(df, **kw), scale=SMALL, log_target=log)
+        r = run_experiment(name, "lightgbm", prepare_matrix(df, **kw), log_target=log)
         out = r if out is None else out.unionByName(r)
     return out
 
@@ -348,9 +346,9 @@ def q_ablation(spark, d):
 @query("model_zoo", "M15 M13 A20")
 def q_zoo(spark, d):
     from leasekit.operators.evaluate import metrics_table
-    from leasekit.operators.models import run_suite
+    from leasekit.operators.models import ZOO, run_suite
 
-    runs = run_suite("zoo", ["ridge", "lasso", "decision_tree", "hist_gb"], _matrix(spark, d), scale=SMALL)
+    runs = run_suite("zoo", ZOO, _matrix(spark, d))
     return metrics_table(runs.filter(F.col("metric") != "fit_seconds"))
 
 
@@ -358,8 +356,8 @@ def q_zoo(spark, d):
 def q_pca(spark, d):
     from leasekit.operators.dimred import explained_variance_table, fit_pca
 
-    m = _matrix(spark, d, use_target_encoding=False)
-    model = fit_pca(m.data.filter(F.col("split") == "train"), k=min(20, len(m.names)))
+    m = _matrix(spark, d)
+    model = fit_pca(m.data.filter(F.col("split") == "train"), k=0.95)
     return explained_variance_table(model, spark)
 
 
@@ -367,15 +365,14 @@ def q_pca(spark, d):
 def q_dimred(spark, d):
     from leasekit.operators.dimred import pca_knn_sweep
 
-    m = _matrix(spark, d, use_target_encoding=False)
-    return pca_knn_sweep(m, grid=[2, 5, 10])
+    return pca_knn_sweep(_matrix(spark, d), presets.PCA_GRID)
 
 
 @query("svd_text", "E8")
 def q_svd(spark, d):
     docs = read_table(spark, d, "documents")
     vocab, weights = TV.tfidf_fit_transform(docs, "doc_id", "text")
-    scores, s, _ = TV.truncated_svd(weights, vocab, k=10)
+    scores, s, _ = TV.truncated_svd(weights, vocab, k=presets.SVD_COMPONENTS)
     return scores
 
 
@@ -383,7 +380,7 @@ def q_svd(spark, d):
 def q_search(spark, d):
     from leasekit.operators.search import best_params, random_search
 
-    trials = random_search(_matrix(spark, d), n_trials=3, scale=SMALL)
+    trials = random_search(_matrix(spark, d, use_text=True))
     return best_params(trials)
 
 
@@ -392,7 +389,7 @@ def q_importance(spark, d):
     from leasekit.operators.models import builtin_importance, make_model
 
     m = _matrix(spark, d)
-    model = make_model("random_forest", scale=SMALL).fit(m.data.filter(F.col("split") == "train"))
+    model = make_model("random_forest").fit(m.data.filter(F.col("split") == "train"))
     imp = builtin_importance(model, m.names, spark, top=len(m.names))
     return R.group_importance(imp)
 
@@ -403,16 +400,26 @@ def q_perm(spark, d):
 
     m = _matrix(spark, d, use_target_encoding=False)
     model = make_model("linear_regression").fit(m.data.filter(F.col("split") == "train"))
-    return permutation_importance(model, m, repeats=2)
+    return permutation_importance(model, m)
 
 
-@query("final_model", "M21 A7 U1 S9")
+@query("final_model", "M21 A7 U1")
 def q_final(spark, d):
-    from leasekit.operators.models import run_experiment
-
-    m = _matrix(spark, d)
-    return run_experiment("final", "xgboost", m, scale=SMALL, log_target=True, eval_part="test",
-                          train_parts=("train", "val"))
+    """Encoders and model fitted on train + val (default final parameters, text, log target), scored once on test:
+    the metrics, and the error analysis by price quartile."""
+    from leasekit.operators.models import fit_predict, prepare_matrix
+
+    df = split_features(spark, d).withColumn("split", F.when(F.col("split") == "val", "train").otherwise(F.col("split")))
+    m = prepare_matrix(df, use_text=True)
+    pred, _ = fit_predict("final", m.data.filter("split = 'train'"), m.data.filter("split = 'test'"), log_target=True)
+    pred = materialize(pred.select("label", "prediction"))
+    row = EV.compute_metrics(pred, "label", "prediction").first()
+    rows = [("all", k, float(row[k]) if row[k] is not None else None) for k in EV.METRICS]
+    bins = EV.qcut_error_analysis(pred.withColumnRenamed("label", "y"))
+    names = [c for c, kind in bins.dtypes if kind in ("double", "bigint", "int")]
+    for b in bins.collect():
+        rows += [(str(b[0]), c, float(b[c]) if b[c] is not None else None) for c in names]
+    return spark.createDataFrame(rows, "part string, metric string, value double")
 
 
 @query("leak_audit_models", "G8 M2")
@@ -437,11 +444,10 @@ def q_leak_models(spark, d):
 @query("finalists", "M17 T3 E7 E8 M12")
 def q_finalists(spark, d):
     """Text + log-target finalists, with the arg-min model by validation MAE."""
-    from leasekit.operators.models import prepare_matrix, run_suite
+    from leasekit.operators.models import FINALISTS, prepare_matrix, run_suite
 
-    m = prepare_matrix(split_features(spark, d), use_text=True, text_components=10)
-    runs = run_suite("finalists", ["xgboost", "lightgbm", "random_forest", "extra_trees"], m, scale=SMALL,
-                     log_target=True)
+    m = prepare_matrix(split_features(spark, d), use_text=True)
+    runs = run_suite("finalists", FINALISTS, m, log_target=True)
     best = runs.filter(F.col("metric") == "mae").agg(F.min_by("model", "value").alias("best_model"))
     return runs.withColumn("best_model", best.scalar())
 
@@ -451,5 +457,5 @@ def q_builtin_importance(spark, d):
     from leasekit.operators.models import builtin_importance, make_model
 
     m = _matrix(spark, d)
-    model = make_model("xgboost", scale=SMALL).fit(m.data.filter(F.col("split") == "train"))
+    model = make_model("xgboost").fit(m.data.filter(F.col("split") == "train"))
     return builtin_importance(model, m.names, spark, top=25)

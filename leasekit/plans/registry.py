@@ -53,18 +53,16 @@ ORDER = ["row_ord_price", "row_ord_part"]
 
 
 def cleaned(spark: SparkSession, d: str) -> DataFrame:
-    """LV after the cleaning chain, materialized once (the dedupe shuffle feeds
-    the median statistics and every later step)."""
+    """LV after the cleaning chain, written once after its dedupe shuffle; what follows is a projection and a filter
+    over that table, which Catalyst prunes."""
     from leasekit.operators.clean import clean_data
-    from leasekit.session import materialize
 
-    out = clean_data(lv(spark, d), key="id", order=ORDER, materialize=True)
     # The ordering columns only exist to make keep-first deterministic on the fixture.
-    return materialize(out.drop(*ORDER))
+    return clean_data(lv(spark, d), key="id", order=ORDER, materialize=True).drop(*ORDER)
 
 
 def featured(spark: SparkSession, d: str) -> DataFrame:
-    """Features stay a lazy plan over the materialised cleaned table, so Catalyst
+    """Features stay a lazy plan over the cleaned table, so Catalyst
     prunes every feature a query does not read."""
     from leasekit.operators.features import build_features
 

@@ -6,8 +6,6 @@ below are only defaults that reproduce the rental-listings workflow.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 # ---------------------------------------------------------------------------
 # These must stay exactly as written for results to agree with
 # the original listings workflow (vocabularies, bounds, patterns, keys).
@@ -21,8 +19,12 @@ TARGET = "price"
 CSV_SEP = ";"
 CSV_ENCODING = "windows-1252"
 
-# Tokens read as missing in the raw export.
-NULL_TOKENS = ["null", "NULL", "", "none", "None"]
+# Tokens read as missing in the raw export: its own, and the usual defaults of CSV readers.
+NULL_TOKENS = [
+    "null", "NULL", "", "none", "None",
+    "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NaN", "n/a", "nan",
+]
 
 # Columns that restate the target in another form.
 LEAKY_COLUMNS = ["price_display", "price_type", "currency"]
@@ -59,36 +61,37 @@ MEDIAN_FILL_COLUMNS = ["bathrooms", "bedrooms"]
 
 SPARSE_COLUMNS = ["address"]
 
-# Amenity vocabulary (27 values, in this order).
-AMENITIES_VOCAB = [
-    "Parking",
-    "Pool",
-    "Gym",
-    "Patio/Deck",
-    "Washer Dryer",
-    "Storage",
-    "Clubhouse",
-    "Dishwasher",
-    "AC",
-    "Refrigerator",
-    "Fireplace",
-    "Cable or Satellite",
-    "Playground",
-    "Internet Access",
-    "Wood Floors",
-    "Gated",
-    "Tennis",
-    "TV",
-    "Elevator",
-    "Basketball",
-    "Hot Tub",
-    "Garbage Disposal",
-    "View",
-    "Alarm",
-    "Doorman",
-    "Luxury",
-    "Golf",
-]
+# Amenities: flag column -> the value looked for (27, in this order).
+AMENITY_FLAGS = {
+    "am_parking": "Parking",
+    "am_pool": "Pool",
+    "am_gym": "Gym",
+    "am_patio_deck": "Patio/Deck",
+    "am_washer_dryer": "Washer Dryer",
+    "am_storage": "Storage",
+    "am_clubhouse": "Clubhouse",
+    "am_dishwasher": "Dishwasher",
+    "am_ac": "AC",
+    "am_refrigerator": "Refrigerator",
+    "am_fireplace": "Fireplace",
+    "am_cable_or_satellite": "Cable or Satellite",
+    "am_playground": "Playground",
+    "am_internet_access": "Internet Access",
+    "am_wood_floors": "Wood Floors",
+    "am_gated": "Gated",
+    "am_tennis": "Tennis",
+    "am_tv": "TV",
+    "am_elevator": "Elevator",
+    "am_basketball": "Basketball",
+    "am_hot_tub": "Hot Tub",
+    "am_garbage_disposal": "Garbage Disposal",
+    "am_view": "View",
+    "am_alarm": "Alarm",
+    "am_doorman": "Doorman",
+    "am_luxury": "Luxury",
+    "am_golf": "Golf",
+}
+AMENITIES_VOCAB = list(AMENITY_FLAGS.values())
 
 PETS_VOCAB = ["Cats", "Dogs"]
 
@@ -117,6 +120,16 @@ LOW_CARD_CATEGORICAL = ["category", "fee", "has_photo", "source", "state"]
 HIGH_CARD_CATEGORICAL = ["cityname", "state"]
 TEXT_COLUMNS = ["title_clean", "body_clean"]
 
+# How a model uses a column; columns not named here are numeric if their type is.
+COLUMN_ROLES = {
+    "category": ("low_card",),
+    "fee": ("low_card",),
+    "has_photo": ("low_card",),
+    "source": ("low_card",),
+    "state": ("low_card", "high_card"),
+    "cityname": ("high_card",),
+}
+
 # Columns never fed to a model directly.
 NON_FEATURE_COLUMNS = [
     "id",
@@ -195,25 +208,4 @@ ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇ
 UNACCENTED = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY"
 
 
-@dataclass(frozen=True)
-class ListingPreset:
-    """Bundle of the defaults above, handy to pass around or override."""
-
-    target: str = TARGET
-    price_min: float = PRICE_MIN
-    price_max: float = PRICE_MAX
-    sqft_min: float = SQFT_MIN
-    sqft_max: float = SQFT_MAX
-    test_size: float = TEST_SIZE
-    val_size: float = VAL_SIZE
-    seed: int = SEED
-    amenities: tuple[str, ...] = tuple(AMENITIES_VOCAB)
-    pets: tuple[str, ...] = tuple(PETS_VOCAB)
-    dedup_keys: tuple[str, ...] = tuple(DEDUP_KEYS)
-    leaky: tuple[str, ...] = tuple(LEAKY_COLUMNS)
-    extra: dict = field(default_factory=dict)
-
-
-DEFAULT = ListingPreset()
-
 assert len(ACCENTED) == len(UNACCENTED)

@@ -44,7 +44,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is always
     used. Only when it is unset (local tests) is a folder chosen here: the
-    context's existing checkpoint folder, else ``fallback`` or a fresh temp folder.
+    context's existing checkpoint folder, else ``fallback``, else (only if the driver is the one executor) a fresh temp
+    folder.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -56,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if existing:
         return existing
     if fallback is None:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         import tempfile
 
         fallback = tempfile.mkdtemp(prefix="leasekit-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
@@ -63,6 +66,17 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return sc.getCheckpointDir() or fallback
 
 
+def _tables(spark: SparkSession) -> str:
+    """Folder of this application's materialised tables."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}"
+
+
+def drop_materialized(spark: SparkSession) -> None:
+    """Delete all tables that this application materialised; call it when no DataFrame made from them is used any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_tables(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialize(df, mode: str | None = None):
     """Cut lineage at a table that several later steps read.
 
@@ -81,7 +95,7 @@ def materialize(df, mode: str | None = None):
     if mode == "table":
         import uuid
 
-        path = ensure_checkpoint_dir(spark).rstrip("/") + f"/tables/{uuid.uuid4().hex}"
+        path = f"{_tables(spark)}/{uuid.uuid4().hex}"
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
     if mode == "persist":

@@ -108,6 +108,8 @@ def raw_listings_view(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .when(k % 41 == 0, F.lit("None"))
                  .when(k % 43 == 0, F.lit(""))
                  .when(k % 47 == 0, F.lit("n/a"))
+                 .when(k % 59 == 0, F.lit("#N/A"))
+                 .when(k % 61 == 0, F.lit("NA"))
                  .otherwise(s))
 
     cols = []

@@ -79,7 +79,7 @@ def test_pca_explained_variance_matches_numpy(spark):
         spark.createDataFrame(pd.DataFrame(X, columns=list("abcd"))))
     model = fit_pca(df, 4)
     ev = np.linalg.eigvalsh(np.cov(X.T))[::-1]
-    assert np.allclose(model.explainedVariance.toArray(), ev / ev.sum(), atol=1e-8)
+    assert np.allclose(model.stages[-1].explainedVariance.toArray(), ev / ev.sum(), atol=1e-8)
     table = explained_variance_table(model, spark).toPandas()
     assert table.cumulative.iloc[-1] == pytest.approx(1.0, abs=1e-4)
 
@@ -133,3 +133,90 @@ def test_qcut_matches_numpy(spark, ys, bins):
     b = np.clip(np.searchsorted(edges, y, side="left") - 1, 0, max(len(edges) - 2, 0))
     want = pd.Series(b).value_counts().sort_index()
     assert list(got.sort_values("bin").n) == list(want.to_numpy())
+
+
+def test_onehot_pools_rare_levels_and_leaves_unseen_ones_zero(spark):
+    from leasekit.operators import encode as E
+
+    rows = [("train", "a")] * 60 + [("train", "rare.1")] * 3 + [("train", None)] * 2 + [("val", x) for x in ("a", "rare.1", "never", None)]
+    df = spark.createDataFrame(rows, "split string, c string")
+    out = E.apply_onehot(df, E.fit_onehot(df, ["c"])).where("split = 'val'")
+    got = {r["c"]: (r["c_a"], r["c_infrequent_sklearn"]) for r in out.collect()}
+    assert got == {"a": (1, 0), "rare.1": (0, 1), "never": (0, 0), None: (0, 0)}
+
+
+def test_knn_ranks_near_ties_by_id(spark):
+    from leasekit.operators.knn import knn_join
+
+    refs = [(5, [1.0]), (1, [1.0 + 1e-12]), *[(k, [1.0]) for k in range(20, 40)], (9, [3.0])]
+    got = knn_join(spark.createDataFrame([(0, [0.0])], "id long, features array<double>"),
+                   spark.createDataFrame(refs, "id long, features array<double>"), k=3).collect()
+    assert sorted((r["rank"], r.rid) for r in got) == [(1, 1), (2, 5), (3, 20)]
+
+
+def test_numbering_and_quantiles_over_ranges(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from leasekit.operators.ranking import exact_quantiles, numbered
+
+    rng = np.random.default_rng(7)
+    data = [(float(a), None if b < 0.1 else float(round(b, 2)), None) for a, b in rng.uniform(0, 1, (997, 2))]
+    df = spark.createDataFrame(data, "a double, b double, c double").repartition(7)
+    rows, n = numbered(df, ["a"], "k")
+    got = [r.a for r in rows.orderBy("k").collect()]
+    assert n == 997 and got == sorted(x[0] for x in data)
+    assert rows.agg(F.min("k"), F.max("k"), F.count_distinct("k")).first()[:] == (0, 996, 997)
+    assert numbered(df.limit(0), ["a"], "k")[1] == 0
+    shares = [0, 0.1, 0.25, 0.5, 0.75, 0.999, 1]
+    found = exact_quantiles(df, ["a", "b", "c"], shares)
+    for i, c in enumerate("ab"):
+        assert found[c] == pytest.approx(list(np.quantile([x[i] for x in data if x[i] is not None], shares)))
+    assert found["c"] == [None] * len(shares)
+
+
+def test_pca_standardises_and_takes_a_share_of_variance(spark):
+    import numpy as np
+    from pyspark.ml.linalg import Vectors
+
+    from leasekit.operators.dimred import explained_variance_table, fit_pca
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 4)) @ np.diag([1, 1, 1000, 1]) + [0, 5, 70_000, 0]
+    x[:, 3] = x[:, 0] + 0.1 * x[:, 3]
+    df = spark.createDataFrame([(Vectors.dense(r),) for r in x.tolist()], ["features"])
+    want = np.sort(np.linalg.eigvalsh(np.corrcoef(x.T)))[::-1] / 4
+    assert fit_pca(df, 4).stages[-1].explainedVariance.toArray() == pytest.approx(want, abs=1e-9)
+    assert len(fit_pca(df, 0.95).stages[-1].explainedVariance) == int(np.argmax(want.cumsum() >= 0.95)) + 1
+    table = explained_variance_table(fit_pca(df, 4), spark).collect()
+    assert [r.cumulative for r in table] == pytest.approx(want.cumsum().round(4))
+    with pytest.raises(ValueError):
+        fit_pca(df, 5)
+
+
+def test_target_encoding_table_equals_leave_out_statistics(spark):
+    import numpy as np
+
+    from leasekit.functions.hashing import bucket
+    from leasekit.operators import encode as E
+
+    rng = np.random.default_rng(11)
+    rows = [(k, "train" if k % 4 else "val", [None, "a", "b", "c", "d"][rng.integers(0, 5)], float(rng.normal(1000, 200))) for k in range(400)]
+    rows += [(1000, "train", "once", 5.0), (1001, "val", "never", 6.0)]
+    df = spark.createDataFrame(rows, "id long, split string, cat string, price double")
+    df = df.withColumn("f", F.when(F.col("split") == "train", bucket(F.col("id"), "42|fold", 5)).otherwise(-1))
+    train = [r for r in df.collect() if r.split == "train"]
+    mean = float(np.mean([r.price for r in train]))
+    table = E.target_encoding_table(df, "cat", "price", "split", "id", mean)
+    got = {r.id: r.e for r in E.join_target_encoding(df, table, "cat", "f", mean, "e").collect()}
+    for r in df.collect():
+        rest = [t for t in train if t.f != r.f]
+        mine = [t.price for t in rest if t.cat == r.cat]
+        ym, yv = np.mean([t.price for t in rest]), np.var([t.price for t in rest])
+        want = ym
+        if mine:
+            lam = len(mine) * yv / (len(mine) * yv + np.var(mine))
+            want = lam * np.mean(mine) + (1 - lam) * ym
+        elif r.cat == "never":
+            want = mean
+        assert got[r.id] == pytest.approx(want, rel=1e-9), r
