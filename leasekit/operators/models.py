@@ -289,6 +289,9 @@ FINAL_PARAMS = dict(maxIter=1200, stepSize=0.03, maxDepth=10, minInstancesPerNod
 ZOO = ["ridge", "lasso", "knn_10", "decision_tree", "random_forest", "extra_trees", "hist_gb", "xgboost",
        "lightgbm", "catboost", "voting_lgbm_xgb_rf", "stacking_lgbm_rf_ridge"]
 FINALISTS = ["xgboost", "lightgbm", "random_forest", "extra_trees", "voting_lgbm_xgb_rf"]
+#: Memory for the statistics of the nodes that a forest splits in one pass over the data (MLlib's default of 256 MB makes
+#: hundreds of passes for deep trees).
+NODE_MB = 768
 #: Fits that run at the same time (each is a chain of small jobs, so one alone leaves executors idle).
 PARALLEL_FITS = 4
 
@@ -305,7 +308,7 @@ def boosted(seed: int = presets.SEED, **params) -> GBTRegressor:
 
 def extra_trees(seed: int = presets.SEED, **params) -> RandomForestRegressor:
     """Approximation: no bootstrap and coarse bins (MLlib has no random thresholds)."""
-    return RandomForestRegressor(bootstrap=False, maxBins=16, seed=seed, **params)
+    return RandomForestRegressor(bootstrap=False, maxBins=16, seed=seed, maxMemoryInMB=NODE_MB, **params)
 
 
 def make_model(name: str, seed: int = presets.SEED, n_train: int = 0, label_std: float = 1.0):
@@ -324,7 +327,7 @@ def make_model(name: str, seed: int = presets.SEED, n_train: int = 0, label_std:
         return DecisionTreeRegressor(maxDepth=16, minInstancesPerNode=5, maxBins=64, seed=seed)
     if name == "random_forest":
         return RandomForestRegressor(numTrees=TREES, minInstancesPerNode=2, maxDepth=30,
-                                     featureSubsetStrategy="all", maxBins=64, seed=seed)
+                                     featureSubsetStrategy="all", maxBins=64, seed=seed, maxMemoryInMB=NODE_MB)
     if name == "extra_trees":
         return extra_trees(seed, numTrees=TREES, minInstancesPerNode=2, maxDepth=30, featureSubsetStrategy="all")
     if name in GBT_PRESETS:

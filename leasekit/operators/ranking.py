@@ -71,5 +71,5 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[floa
                 continue
             x = q * (total[i] - 1)
             low, high = found[i, int(x)], found[i, min(int(x) + 1, total[i] - 1)]
-            out[c].append(low + (high - low) * (x - int(x)))
+            out[c].append(low * (int(x) + 1 - x) + high * (x - int(x)) if high != low else low)
     return out

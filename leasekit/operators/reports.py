@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from leasekit import presets
 from leasekit.functions.numeric import skewness_unbiased
 from leasekit.functions.text import split_multi
+from leasekit.operators.ranking import exact_quantiles
 
 
 def safe_corr(x: Column, y: Column) -> Column:
@@ -66,8 +67,7 @@ def missing_report(df: DataFrame, columns: Sequence[str] | None = None,
 # ------------------------------------------------------------------------ A3
 def iqr_bounds(df: DataFrame, column: str, k: float = 1.5) -> DataFrame:
     """Linear-interpolated quartiles of non-nulls, IQR fences and the count outside."""
-    q = df.agg(F.percentile(column, F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
-    q1, q3 = q.select(F.col("q")[0]).scalar(), q.select(F.col("q")[1]).scalar()
+    q1, q3 = (F.lit(q).cast("double") for q in exact_quantiles(df.select(column), [column], [0.25, 0.75])[column])
     lo, hi = q1 - F.lit(k) * (q3 - q1), q3 + F.lit(k) * (q3 - q1)
     return df.agg(F.count_if((F.col(column) < lo) | (F.col(column) > hi)).alias("n_outside")).select(
         q1.alias("q1"), q3.alias("q3"), (q3 - q1).alias("iqr"), lo.alias("lower"), hi.alias("upper"),
@@ -82,14 +82,14 @@ def describe(df: DataFrame, columns: Sequence[str],
     for i, c in enumerate(columns):
         x = F.col(c)
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"a{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).cast("double").alias(f"lo{i}"), F.max(x).cast("double").alias(f"hi{i}"),
-                 F.percentile(x, F.array(*[F.lit(p) for p in percentiles])).alias(f"p{i}")]
+                 F.min(x).cast("double").alias(f"lo{i}"), F.max(x).cast("double").alias(f"hi{i}")]
+    found = exact_quantiles(df.select(*columns), columns, percentiles)
     wide = df.agg(*aggs)
     names = [f"p{int(round(p * 100))}" for p in percentiles]
     return _rows(wide, [
         F.struct(F.lit(c).alias("column"), F.col(f"n{i}").cast("bigint").alias("count"),
                  F.col(f"a{i}").alias("mean"), F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"),
-                 *[F.col(f"p{i}")[j].alias(nm) for j, nm in enumerate(names)],
+                 *[F.lit(found[c][j]).cast("double").alias(nm) for j, nm in enumerate(names)],
                  F.col(f"hi{i}").alias("max"))
         for i, c in enumerate(columns)])
 
@@ -110,15 +110,13 @@ def group_median_top(df: DataFrame, group: str = "state", value: str = presets.T
 def flag_effect(df: DataFrame, flags: Sequence[str], value: str = presets.TARGET,
                 min_support: int = 100, strip_prefix: str = "am_") -> DataFrame:
     """median(value | flag = 1) - overall median, for flags with support >= min_support."""
-    aggs = [F.median(value).alias("_all")]
-    for i, fl in enumerate(flags):
-        aggs += [F.median(F.when(F.col(fl) == 1, F.col(value))).alias(f"m{i}"),
-                 F.sum(F.col(fl)).alias(f"s{i}")]
-    wide = df.agg(*aggs)
+    by_flag = df.select(F.col(value).alias("all"), *[F.when(F.col(fl) == 1, F.col(value)).alias(f"m{i}") for i, fl in enumerate(flags)])
+    medians = {c: F.lit(v[0]).cast("double") for c, v in exact_quantiles(by_flag, by_flag.columns, [0.5]).items()}
+    wide = df.agg(*[F.sum(F.col(fl)).alias(f"s{i}") for i, fl in enumerate(flags)])
     rows = _rows(wide, [
         F.struct(F.lit(fl[len(strip_prefix):] if fl.startswith(strip_prefix) else fl).alias("flag"),
                  F.col(f"s{i}").cast("bigint").alias("support"),
-                 (F.col(f"m{i}") - F.col("_all")).alias("effect"))
+                 (medians[f"m{i}"] - medians["all"]).alias("effect"))
         for i, fl in enumerate(flags)])
     return rows.filter(F.col("support") >= min_support)
 
@@ -210,8 +208,8 @@ def pattern_coverage(df: DataFrame, column: str, pattern: str = presets.PRICE_PA
 
 # ----------------------------------------------------------------------- A19
 def quantile_clip(df: DataFrame, column: str, lo: float = 0.05, hi: float = 0.95) -> DataFrame:
-    return df.agg(F.percentile(column, F.array(F.lit(lo), F.lit(hi))).alias("q")).select(
-        F.col("q")[0].alias("q_low"), F.col("q")[1].alias("q_high"))
+    low, high = exact_quantiles(df.select(column), [column], [lo, hi])[column]
+    return df.sparkSession.range(1).select(F.lit(low).cast("double").alias("q_low"), F.lit(high).cast("double").alias("q_high"))
 
 
 # ----------------------------------------------------------------------- A21

@@ -12,11 +12,16 @@ def _load():
         importlib.import_module(f"leasekit.plans.{m}")
 
 
+#: Full fits of hundreds of trees, many at once: listed after all others, the longest last.
+LONG = ["model_random_forest", "model_extra_trees", "model_xgboost", "importance", "builtin_importance", "model_voting",
+        "feature_ablation", "model_stacking", "final_model", "finalists", "model_zoo", "hyper_search"]
+
+
 def queries():
     _load()
     from leasekit.plans.registry import QUERIES
 
-    return dict(QUERIES)
+    return {k: v for k, v in QUERIES.items() if k not in LONG} | {k: QUERIES[k] for k in LONG}
 
 
 def oracle_sql():

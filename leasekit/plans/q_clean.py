@@ -108,13 +108,13 @@ def q_range_filter(spark, d):
 
 
 # ------------------------------------------------------------- P15 P14 P9 P11
-CLEAN_COLS = ["id", "category", "amenities", "bathrooms", "bedrooms", "fee", "has_photo",
+CLEAN_COLS = ["id", "category", "title", "body", "currency", "price_display", "time", "amenities", "bathrooms", "bedrooms", "fee", "has_photo",
               "pets_allowed", "price", "price_type", "square_feet", "cityname", "state",
               "latitude", "longitude", "source", "posted_at"]
 
 
 @query("clean_listings", "P15 P9", sql=lambda: S.with_clean() + """
-SELECT id, category, amenities, bathrooms, bedrooms, fee, has_photo, pets_allowed, round(price, 4) AS price,
+SELECT id, category, title, body, currency, price_display, "time", amenities, bathrooms, bedrooms, fee, has_photo, pets_allowed, round(price, 4) AS price,
   price_type, square_feet, cityname, state, latitude, longitude, source, posted_at FROM c""")
 def q_clean(spark, d):
     df = cleaned(spark, d)
@@ -162,7 +162,7 @@ def q_clean_audit(spark, d):
 
 
 # ---------------------------------------------------------------- F1–F4
-AM_COLS = [f"am_{n}" for n in ["parking", "pool", "ac", "fireplace", "internet_access", "gym"]]
+AM_COLS = list(presets.AMENITY_FLAGS)
 
 
 @query("amenity_flags", "F1 F2 F3", sql=lambda: S.with_features() + f"""
@@ -172,16 +172,15 @@ def q_amenity_flags(spark, d):
     return df.select("id", *AM_COLS, "amenities_count", "has_amenities")
 
 
-@query("amenity_flags_token", "F1 (token mode)", sql=lambda: S.with_clean() + """
-SELECT id,
-  CAST(list_contains(list_filter(string_split(amenities, ','), lambda x: x <> ''), 'AC') AS INTEGER) AS am_ac,
-  CAST(list_contains(list_filter(string_split(amenities, ','), lambda x: x <> ''), 'Fireplace') AS INTEGER) AS am_fireplace,
-  CAST(list_contains(list_filter(string_split(amenities, ','), lambda x: x <> ''), 'Internet Access') AS INTEGER)
-    AS am_internet_access
-FROM c""")
+def _token_sql():
+    has = "list_contains(list_filter(string_split(amenities, ','), lambda x: x <> ''), '{}')"
+    return S.with_clean() + "SELECT id, " + ",\n  ".join(
+        f"CAST({has.format(value)} AS INTEGER) AS {flag}" for flag, value in presets.AMENITY_FLAGS.items()) + " FROM c"
+
+
+@query("amenity_flags_token", "F1 (token mode)", sql=_token_sql)
 def q_amenity_token(spark, d):
-    df = FE.amenity_flags(cleaned(spark, d), match="token")
-    return df.select("id", "am_ac", "am_fireplace", "am_internet_access")
+    return FE.amenity_flags(cleaned(spark, d), match="token").select("id", *AM_COLS)
 
 
 @query("pets_flags", "F4", sql=lambda: S.with_features() + """
@@ -270,20 +269,27 @@ def q_counts(spark, d):
 
 
 # ---------------------------------------------------------------- P16 P11 P12
-FEATURE_SAMPLE = ["id", "am_ac", "amenities_count", "pets_dogs", "body_word_count", "text_luxury",
-                  "sqft_per_room", "city_listing_count", "month", "dayofweek"]
-
-
-@query("build_features", "P16 P11 P12", sql=lambda: S.with_features() + """
-SELECT id, am_ac, amenities_count, pets_dogs, body_word_count, text_luxury, round(sqft_per_room, 6) AS sqft_per_room,
-  city_listing_count, CAST(month AS INTEGER) AS month, CAST(dayofweek AS INTEGER) AS dayofweek FROM f""")
+WHOLE_FEATURES = [*presets.AMENITY_FLAGS, "amenities_count", "has_amenities", "pets_cats", "pets_dogs", "pets_not_specified",
+                  "title_len", "body_len", "body_word_count", "title_word_count", "text_luxury", "text_renovated",
+                  "is_studio", "city_listing_count", "state_listing_count", "month", "quarter", "dayofweek"]
+REAL_FEATURES = ["price", "bathrooms", "bedrooms", "square_feet", "latitude", "longitude", "sqft_per_bedroom",
+                 "bath_per_bedroom", "total_rooms", "sqft_per_room", "log_square_feet", "lat_lon_interaction"]
+TEXT_FEATURES = ["category", "title", "body", "amenities", "fee", "has_photo", "pets_allowed", "cityname", "state", "source",
+                 "time", "posted_at", "title_clean", "body_clean"]
+
+
+@query("build_features", "P16 P11 P12", sql=lambda: S.with_features() + "SELECT id, " + ", ".join(
+    [f"CAST({c} AS BIGINT) AS {c}" for c in WHOLE_FEATURES] + [f"round({c}, 6) AS {c}" for c in REAL_FEATURES]
+    + TEXT_FEATURES) + " FROM f")
 def q_features(spark, d):
     df = featured(spark, d)
     for leaky in presets.LEAKY_COLUMNS:
         assert leaky not in df.columns
     numeric, categorical = FE.feature_columns(df)
     assert "id" not in numeric and "listing_group" not in numeric
-    return df.select(*[rnd(c, 6).alias(c) if c == "sqft_per_room" else F.col(c) for c in FEATURE_SAMPLE])
+    assert {"id", *WHOLE_FEATURES, *REAL_FEATURES, *TEXT_FEATURES} == set(df.columns), sorted(df.columns)
+    return df.select("id", *[F.col(c).cast("bigint").alias(c) for c in WHOLE_FEATURES],
+                     *[rnd(c, 6).alias(c) for c in REAL_FEATURES], *TEXT_FEATURES)
 
 
 # ---------------------------------------------------------------- F16 G8

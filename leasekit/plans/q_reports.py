@@ -36,15 +36,18 @@ def q_value_counts_top(spark, d):
 
 
 # ------------------------------------------------------------------ A2
-MISSING_COLS = ["price", "bathrooms", "bedrooms", "amenities", "pets_allowed", "address", "cityname", "state"]
+MISSING_TYPES = {"id": "bigint", **dict.fromkeys(["bathrooms", "bedrooms", "price", "square_feet", "latitude", "longitude"], "double"),
+                 **dict.fromkeys(["category", "title", "body", "amenities", "currency", "fee", "has_photo", "pets_allowed",
+                                  "price_display", "price_type", "address", "cityname", "state", "source"], "string"),
+                 "time": "bigint"}
+MISSING_COLS = list(MISSING_TYPES)
 
 
 def _missing_sql():
-    dtypes = {"price": "double", "bathrooms": "double", "bedrooms": "double", "amenities": "string",
-              "pets_allowed": "string", "address": "string", "cityname": "string", "state": "string"}
-    parts = [f"""SELECT '{c}' AS "column", CAST(count_if({c} IS NULL) AS BIGINT) AS n_missing,
-  round_even(100.0 * count_if({c} IS NULL) / count(*), 2) AS pct_missing, '{dtypes[c]}' AS dtype,
-  CAST(count(DISTINCT {c}) AS BIGINT) AS n_unique FROM lv""" for c in MISSING_COLS]
+    dtypes = MISSING_TYPES
+    parts = [f"""SELECT '{c}' AS "column", CAST(count_if("{c}" IS NULL) AS BIGINT) AS n_missing,
+  round_even(100.0 * count_if("{c}" IS NULL) / count(*), 2) AS pct_missing, '{dtypes[c]}' AS dtype,
+  CAST(count(DISTINCT "{c}") AS BIGINT) AS n_unique FROM lv""" for c in MISSING_COLS]
     return S.with_lv() + "\nUNION ALL\n".join(parts)
 
 
@@ -84,7 +87,7 @@ def q_describe(spark, d):
 
 
 # ------------------------------------------------------------------ A10 A11 A12 A13
-AM_FLAGS = ["am_parking", "am_pool", "am_ac", "am_fireplace", "am_internet_access", "am_gym", "am_tv"]
+AM_FLAGS = list(presets.AMENITY_FLAGS)
 
 
 def _effect_sql():
@@ -100,11 +103,11 @@ def q_effect(spark, d):
     return out.select("flag", "support", rnd("effect", 4).alias("effect"))
 
 
-CORR_COLS = ["bathrooms", "bedrooms", "square_feet", "latitude", "longitude", "am_pool", "am_ac",
-             "am_fireplace", "amenities_count", "pets_cats", "body_len", "body_word_count", "text_luxury",
-             "text_renovated", "is_studio", "sqft_per_bedroom", "bath_per_bedroom", "total_rooms",
-             "sqft_per_room", "log_square_feet", "city_listing_count", "state_listing_count",
-             "lat_lon_interaction", "month", "quarter", "dayofweek", "am_gym"]
+CORR_COLS = [*AM_FLAGS, "amenities_count", "has_amenities", "pets_cats", "pets_dogs", "pets_not_specified", "title_len",
+             "body_len", "body_word_count", "title_word_count", "text_luxury", "text_renovated", "is_studio",
+             "bathrooms", "bedrooms", "square_feet", "latitude", "longitude", "sqft_per_bedroom", "bath_per_bedroom",
+             "total_rooms", "sqft_per_room", "log_square_feet", "city_listing_count", "state_listing_count",
+             "lat_lon_interaction", "month", "quarter", "dayofweek"]
 
 
 def _corr_sql():
