@@ -189,7 +189,11 @@ def quality_rules(docs: DataFrame, labels: DataFrame, least_score: float = 0.5,
     """
     stats = written(document_statistics(docs), "statistics")
     marked = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    some = stats.where("doc_id is not null").join(marked, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", *STATISTICS).limit(sample).toPandas()
+    marked = written(stats.where("doc_id is not null").join(marked, "doc_id"), "labelled")
+    # The smallest hashes, by a threshold first: otherwise every partition would send as many rows as the whole sample has.
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) * 2.0 ** -53
+    near = marked.withColumn("place", place).where(F.col("place") <= 1.5 * sample / max(marked.count(), 1))
+    some = near.orderBy("place", "doc_id", *STATISTICS).limit(sample).toPandas()
     forest = fit(features({c: some[c].to_numpy() for c in STATISTICS}), some["quality"].to_numpy(np.float64), list(FEATURES.values()))
     if not len(some):
         forest.base = np.inf
