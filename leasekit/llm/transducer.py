@@ -35,8 +35,8 @@ from leasekit.llm.common import slices, utf8
 
 #: Bounds of a worker's memo and of its counter; beyond them they are compiled afresh.
 MEMO_WORDS, MAX_TRANSITIONS = 800_000, 1_500_000
-#: Characters in a chunk of the splitter.
-CHUNK = 512
+#: Characters in a chunk of the splitter, and those after which most chunks' states have become one.
+CHUNK, HEAD = 512, 24
 
 CLASSES = ("LETTER", "STMD", "R", "E", "V", "L", "NUMBER", "SPACE", "WHITE", "QUOTE", "OTHER", "END")
 STATES = ("FRESH", "LETTERS", "NUMBERS", "OTHERS", "SPACE1", "WHITE1", "SPACES", "WHITES", "Q", "QR", "QV", "QL")
@@ -105,11 +105,20 @@ def marks(classes: np.ndarray, chunk: int = CHUNK) -> np.ndarray:
     stream[:n] = classes
     stream = np.ascontiguousarray(stream.reshape(rows, chunk).T)
     flat = step.ravel()
-    # The map of each chunk, for all entry states.
+    # The map of each chunk, for all entry states. After some characters nearly all chunks are in one state, whatever
+    # they began in; from there one state stands for all, and only the other chunks go on with the whole map.
     maps = np.repeat(np.arange(states, dtype=np.uint8)[:, None], rows, 1)
-    for column in stream:
+    for column in stream[:HEAD]:
+        maps = flat[column.astype(np.uint16) * states + maps]
+    open_ = np.flatnonzero((maps != maps[0]).any(0))
+    one, rest = maps[0], maps[:, open_]
+    for column in stream[HEAD:]:
         base = column.astype(np.uint16) * states
-        maps = flat[base + maps]
+        one = flat[base + one]
+        if len(open_):
+            rest = flat[base[open_] + rest]
+    maps = np.repeat(one[None], states, 0)
+    maps[:, open_] = rest
     # Inclusive prefix scan by composition.
     distance = 1
     while distance < rows:
@@ -135,6 +144,8 @@ class Counter:
         to_bytes = lambda token: bytes(char_byte[c] for c in token)
         merges = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
         self.rank = {(to_bytes(a), to_bytes(b)): k for k, (a, b) in enumerate(merges)}
+        self.made = {a + b: (k, (a, b)) for (a, b), k in reversed(self.rank.items())}  # by its first merge
+        self.whole: dict[bytes, bool] = {}
         self.root: dict = {}
         for token in spec["model"]["vocab"]:
             node = self.root
@@ -176,13 +187,42 @@ class Counter:
             parts = out
         return parts
 
+    def _whole(self, token: bytes) -> bool:
+        """Does BPE make one token of these bytes?"""
+        known = self.whole.get(token)
+        if known is None:
+            known = self.whole[token] = self._bpe(token) == [token]
+        return known
+
     def _pair(self, before: bytes, token: bytes) -> bool:
-        """Does BPE leave these two tokens as they are?"""
+        """Does BPE leave these two tokens as they are? (Nothing before: does it leave the one?)
+
+        The merges that made them are undone from the last to the first, on whichever side is later (on the right if
+        both are the same merge, for BPE merges from the left); two parts that meet at the border must not have a merge
+        that comes before the one just undone.
+        """
+        if not self._whole(token):
+            return False
+        if not before:
+            return True
         known = self.stable.get((before, token))
-        if known is None:
-            if len(self.stable) > MAX_TRANSITIONS:
-                self.stable.clear()
-            known = self.stable[before, token] = self._bpe(before + token) == ([before, token] if before else [token])
+        if known is not None:
+            return known
+        if len(self.stable) > MAX_TRANSITIONS:
+            self.stable.clear()
+        left, right, undone, known = before, token, 1 << 60, True
+        while True:
+            if self.rank.get((left, right), 1 << 60) < undone:
+                known = False
+                break
+            of_left, of_right = self.made.get(left), self.made.get(right)
+            if of_left is None and of_right is None:
+                break
+            if of_right is None or of_left is not None and of_left[0] > of_right[0]:
+                undone, left = of_left[0], of_left[1][1]
+            else:
+                undone, right = of_right[0] + 1, of_right[1][0]
+        self.stable[before, token] = known
         return known
 
     def _compile(self, state: int, byte: int) -> int:
@@ -290,7 +330,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int) -> DataFrame:
         if tokenizer_path not in _COUNTERS:
             _COUNTERS[tokenizer_path] = TokenCounter(tokenizer_path)
         counter = _COUNTERS[tokenizer_path]
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text"):
             data, offsets = utf8(batch.column("text"))
             yield pa.record_batch([batch.column("doc_id"), pa.array(np.diff(offsets)), pa.array(counter.counts(data, offsets))], names=["doc_id", "n_bytes", "n_tokens"])
 
