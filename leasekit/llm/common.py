@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from leasekit.session import ensure_checkpoint_dir
 
 #: Text handled at once inside a task (UTF-8 bytes); a longer single text makes a batch of its own.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -38,6 +38,8 @@ ORDER = 4
 CONTEXTS, BROADCAST_IDS = 32_768, 1_000_000
 #: Different n-grams that a task gathers before it passes them on.
 GATHER = 2_000_000
+#: Text handled at once; positions take some 60 bytes each meanwhile.
+STEP_BYTES = 1 << 20
 START = 10
 LEAST_HELD_OUT = 50
 
@@ -58,7 +60,7 @@ def ngram_counts(texts: DataFrame) -> DataFrame:
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", STEP_BYTES):
             padded, own = _padded(*utf8(batch.column("text")))
             key = np.zeros(len(own), np.uint32)
             for k in range(ORDER):
@@ -193,7 +195,7 @@ def _scorer(part, shard: int, shards: int):
             _READY.clear()  # a worker holds one shard at a time
             _READY[key] = Shard(*part.value, shard, shards)
         ready = _READY[key]
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", STEP_BYTES):
             data, offsets = utf8(batch.column("text"))
             bits = batch.column("lm_bits").to_numpy() + ready.bits(data, offsets)
             arrays = [*batch.columns[:-2], pa.array(bits), pa.array(np.diff(offsets))]

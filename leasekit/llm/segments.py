@@ -20,7 +20,7 @@ import pyarrow as pa
 from tokenizers import Tokenizer
 
 #: Different pieces kept by a worker; beyond it the memo starts afresh (memory stays bounded, results do not change).
-MEMO_PIECES = 800_000
+MEMO_PIECES = 400_000
 _SIZE_BITS = 28
 
 _VISIBLE, _LEAD, _LETTER, _PUNCTUATION, _SPACE, _NEWLINE = 1, 2, 4, 8, 16, 32
