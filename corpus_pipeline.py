@@ -19,7 +19,7 @@ from leasekit.llm.simhash import keep_one
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the language model rejects go."""
-    return keep_good(docs, table(spark, sf_dir, "labels"), quantile=0.99, fence=1.0)
+    return keep_good(docs, table(spark, sf_dir, "labels"), quantile=0.99)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

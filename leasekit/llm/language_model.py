@@ -14,8 +14,8 @@ it is broadcast, and documents pass it where they are: each task adds the log-pr
 in the shard. Nothing of the documents is shuffled. (Joining each text position as a row would shuffle some 20 bytes for
 each byte of text.)
 
-*Thresholds.* For each language, from the held-out trusted documents: the ``quantile`` of bits per byte plus ``fence``
-times its distance to the median. Bits are counted in buckets of 1/1000, so quantiles are exact on buckets, and no task
+*Thresholds.* For each language, from the held-out trusted documents: the ``quantile`` of bits per byte (plus ``fence``
+times its distance to the median, by default none). Bits are counted in buckets of 1/1000, so quantiles are exact on buckets, and no task
 holds a language's documents. A language with under ``LEAST_HELD_OUT`` such documents, too few for its quantile to
 mean much, takes the threshold over all languages.
 """
@@ -204,7 +204,7 @@ def _scorer(part, shard: int, shards: int):
     return add
 
 
-def thresholds(scored: DataFrame, quantile: float, fence: float) -> DataFrame:
+def thresholds(scored: DataFrame, quantile: float, fence: float = 0.0) -> DataFrame:
     """``lang, every, threshold, n`` (bits per byte) from n scored documents; the row ``every`` true holds for all
     languages."""
     bucket = F.floor(1000 * F.col("lm_bits") / F.col("lm_bytes"))
@@ -217,7 +217,7 @@ def thresholds(scored: DataFrame, quantile: float, fence: float) -> DataFrame:
     return found.select("lang", "every", "n", (F.col("high") + fence * (F.col("high") - F.col("middle"))).alias("threshold"))
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, fence: float = 1.0) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, fence: float = 0.0) -> DataFrame:
     """``docs`` (with text, lang, doc_id and any further columns) plus ``lm_perplexity`` (2 ** bits per byte),
     ``lm_threshold`` and ``lm_kept``.
 
@@ -243,7 +243,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, fence:
     return out.drop("lm_bits", "lm_bytes", "lm_lang", "lm_limit")
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, fence: float = 1.0) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, fence: float = 0.0) -> DataFrame:
     """``docs`` without the documents that :func:`classify` does not keep."""
     inner, restore = hidden(docs, ["doc_id", "lang", "text"])
     return restore(classify(inner, labels, quantile, fence).where("lm_kept"))

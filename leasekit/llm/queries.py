@@ -76,7 +76,7 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from leasekit.llm.language_model import classify
 
-    found = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), quantile=0.99, fence=1.0)
+    found = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), quantile=0.99)
     return found.select("doc_id", "lang", found.lm_perplexity.alias("perplexity"), found.lm_threshold.alias("threshold"), found.lm_kept.alias("kept"))
 
 
