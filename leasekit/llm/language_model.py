@@ -14,10 +14,12 @@ it is broadcast, and documents pass it where they are: each task adds the log-pr
 in the shard. Nothing of the documents is shuffled. (Joining each text position as a row would shuffle some 20 bytes for
 each byte of text.)
 
-*Thresholds.* For each language, from the held-out trusted documents: the ``quantile`` of bits per byte (plus ``fence``
-times its distance to the median, by default none). Bits are counted in buckets of 1/1000, so quantiles are exact on buckets, and no task
-holds a language's documents. A language with under ``LEAST_HELD_OUT`` such documents, too few for its quantile to
-mean much, takes the threshold over all languages.
+*Thresholds.* For each language, the ``quantile`` of bits per byte over its n held-out trusted documents, with the weight
+n / (n + ``SHRINK``); the rest of the weight is on what is expected of the language without them: the median over all its
+own N documents but those trained on (a minority of bad ones hardly moves it; it is itself drawn to the trusted median, its
+weight being N / (N + ``SHRINK``)) plus the distance from median to quantile over the held-out documents of all languages. One rule holds from no
+trusted document to any number, also for a language of another script. Bits are counted in buckets of 1/1000, so quantiles
+are exact on buckets, and no task holds a language's documents.
 """
 
 from __future__ import annotations
@@ -41,7 +43,8 @@ GATHER = 2_000_000
 #: Text handled at once; positions take some 60 bytes each meanwhile.
 STEP_BYTES = 1 << 20
 START = 10
-LEAST_HELD_OUT = 50
+#: Held-out documents at which a language's own quantile has half of the weight.
+SHRINK = 50
 
 
 def _padded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -205,8 +208,8 @@ def _scorer(part, shard: int, shards: int):
 
 
 def thresholds(scored: DataFrame, quantile: float, fence: float = 0.0) -> DataFrame:
-    """``lang, every, threshold, n`` (bits per byte) from n scored documents; the row ``every`` true holds for all
-    languages."""
+    """``lang, every, threshold, n`` (bits per byte) from n scored documents: the quantile, plus ``fence`` times its distance
+    to the median; the row ``every`` true holds for all languages."""
     bucket = F.floor(1000 * F.col("lm_bits") / F.col("lm_bytes"))
     count = scored.where("lm_bytes > 0").groupBy("lang", bucket.alias("bucket")).agg(F.count("*").alias("n"))
     count = count.select("lang", F.lit(False).alias("every"), "bucket", "n").union(count.groupBy("bucket").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string"), F.lit(True), "bucket", "n"))
@@ -217,6 +220,22 @@ def thresholds(scored: DataFrame, quantile: float, fence: float = 0.0) -> DataFr
     return found.select("lang", "every", "n", (F.col("high") + fence * (F.col("high") - F.col("middle"))).alias("threshold"))
 
 
+def limits(every: DataFrame, held_out: DataFrame, quantile: float, fence: float = 0.0) -> DataFrame:
+    """``lm_lang, lm_limit`` (bits per byte) of each language of ``every``, all scored documents that the model was not
+    trained on, by the scored trusted documents ``held_out``; no rows without such."""
+    high, middle = (written(thresholds(held_out, *how), "thresholds") for how in ((quantile, fence), (0.5,)))
+    pooled = [found.where("every").select("threshold").first() for found in (high, middle)]
+    if not all(pooled):
+        return every.select(F.col("lang").alias("lm_lang"), F.lit(0.0).alias("lm_limit")).limit(0)
+    top, centre = (F.lit(r.threshold) for r in pooled)
+    own = thresholds(every, 0.5).where(~F.col("every")).select(F.col("lang").alias("lm_lang"), F.col("n").alias("own_n"), F.col("threshold").alias("own"))
+    trusted = high.where(~F.col("every")).select("lang", "n", "threshold")
+    found = own.join(trusted, F.col("lang").eqNullSafe(F.col("lm_lang")), "left").fillna(0, ["n"])
+    drawn = lambda value, n, to: to + n / (n + SHRINK) * (value - to)
+    expected = drawn(F.col("own"), F.col("own_n"), centre) + top - centre
+    return found.select("lm_lang", drawn(F.coalesce("threshold", expected), F.col("n"), expected).alias("lm_limit"))
+
+
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, fence: float = 0.0) -> DataFrame:
     """``docs`` (with text, lang, doc_id and any further columns) plus ``lm_perplexity`` (2 ** bits per byte),
     ``lm_threshold`` and ``lm_kept``.
@@ -232,14 +251,15 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, fence:
     good = docs.select("doc_id", "lang", "text").join(ids, F.col("doc_id") == F.col("lm_id"), "left_semi")
     held_out = F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0
     model = Model(spark, *train(good.where(~held_out)))
-    limits = written(thresholds(model.score(good.where(held_out).select("lang", "text")), quantile, fence), "thresholds")
-    overall = limits.where("every").select("threshold").first()
-    overall = F.lit(overall.threshold if overall else float("inf"))
-    scored = model.score(docs)
-    limits = limits.where((~F.col("every")) & (F.col("n") >= LEAST_HELD_OUT)).select(F.col("lang").alias("lm_lang"), F.col("threshold").alias("lm_limit"))
-    out = scored.join(F.broadcast(limits) if limits.count() <= 10_000 else limits, F.col("lang").eqNullSafe(F.col("lm_lang")), "left")
+    bits_of = lambda some: written(model.score(some.select("lang", "text")).drop("text"), "lm-bits")
+    unseen = docs.select("doc_id", "lang", "text").join(ids, (F.col("doc_id") == F.col("lm_id")) & ~held_out, "left_anti")
+    limit = written(limits(bits_of(unseen), bits_of(good.where(held_out)), quantile, fence), "limits")
+    languages = limit.count()
+    out = model.score(docs).join(F.broadcast(limit) if languages <= 10_000 else limit, F.col("lang").eqNullSafe(F.col("lm_lang")), "left")
     bits = F.try_divide("lm_bits", "lm_bytes")
-    out = out.withColumns({"lm_perplexity": F.pow(F.lit(2.0), bits), "lm_threshold": F.pow(F.lit(2.0), F.coalesce("lm_limit", overall)), "lm_kept": F.coalesce(bits <= F.coalesce("lm_limit", overall), F.lit(False))})
+    # Without held-out texts there is no limit; with them, a language without one has no text but what was trained on.
+    most = F.coalesce("lm_limit", F.lit(float("inf")))
+    out = out.withColumns({"lm_perplexity": F.pow(F.lit(2.0), bits), "lm_threshold": F.pow(F.lit(2.0), most), "lm_kept": F.coalesce(bits <= most, F.lit(False))})
     return out.drop("lm_bits", "lm_bytes", "lm_lang", "lm_limit")
 
 

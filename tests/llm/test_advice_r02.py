@@ -22,3 +22,21 @@ def test_op2_threshold_is_the_quantile_without_a_fence(spark):
     labels = spark.createDataFrame([(k, 1, 0) for k in range(300)], "doc_id long, quality int, toxic int")
     plain, bare = ({r.doc_id: r.lm_threshold for r in lm.classify(docs, labels, *how).collect()} for how in ((), (0.99, 0.0)))
     assert plain == bare
+
+
+def test_op2_limits_move_smoothly_with_held_out_documents(spark):
+    """Up to two trusted documents more never move a limit far, also from none and across the former switch at 50."""
+    base = [("en", 2 + k / 1000 + 0.0005) for k in range(1000)]
+    every = scored(spark, [*base, *[("el", 4 + k / 1000 + 0.0005) for k in range(1000)], *[("xx", 7.0)], *[(None, 2.3)] * 3])
+    at = []
+    for n in (0, 2, 49, 50, 51, 1000):
+        held = scored(spark, [*base, *[("el", 3.5 + 0.0005) for _ in range(n)]])
+        found = {r.lm_lang: r.lm_limit for r in lm.limits(every, held, 0.99).collect()}
+        assert set(found) == {"en", "el", "xx", None} and 2.9 < found["en"] < 3.05
+        assert found["xx"] < 7  # one document alone does not set its own limit
+        at.append(found["el"])
+    # A language of another script without trusted text: its own median and the others' distance, so 4.99 within the pull of SHRINK.
+    assert at[0] == pytest.approx(4.9, abs=0.1)
+    assert abs(at[1] - at[0]) < 0.1 and abs(at[3] - at[2]) < 0.02 and abs(at[4] - at[3]) < 0.02
+    assert at[5] == pytest.approx(3.501, abs=0.08) and at == sorted(at, reverse=True)
+    assert lm.limits(every, scored(spark, [("en", 1.0)]).limit(0), 0.99).count() == 0
