@@ -7,9 +7,15 @@ that fits decides.
 hexadecimal ids, also before a file ending). URLs are then counted by (host, typed path) with their labels, and all
 work goes on over that table, level by level for all hosts at once:
 
-* a node with more than ``MAX_BRANCHES`` different segments has a variable segment: they become the wildcard ``*``;
-* else branches whose share of bad labels does not differ significantly from the node's (two-proportion z-test) are merged
-  into one branch ``~``; a branch that differs keeps its name.
+* a branch whose share of bad labels differs significantly from the rest of its node's (two-proportion z-test) keeps its
+  name, whatever the number of branches;
+* all others are merged: into the wildcard ``*`` in a node with more than ``MAX_BRANCHES`` different segments (a variable
+  segment), else into one branch ``~``. With so many branches some differ by chance, and few labels each make the z-test
+  rough, so there a branch must also pass an exact bound on the tail of its count of bad labels (Chernoff), divided by the
+  number of branches.
+
+The tree has as many levels as the longest path. A path that is alone in its node has no branches further on, so it gets
+the rest of its template at once and takes no part in deeper levels.
 
 Counts are sums by (host, prefix, segment), so a host with a third of all URLs is never gathered in one task.
 
@@ -22,11 +28,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leasekit.llm.common import drop_written, written
+from leasekit.llm.common import written
 
 MAX_BRANCHES, Z, SMOOTHING, BLOCK_AT = 12, 1.96, 10.0, 0.5
-#: Levels of the tree; what is deeper stays together in one last segment, typed as a whole.
-LEVELS = 8
+#: Chance that a node with more than MAX_BRANCHES keeps any branch that does not really differ.
+FALSE_BRANCHES = 0.05
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -51,34 +57,50 @@ def typed_segments(path: Column) -> Column:
     """Segments of a path, with numbers as ``<n>`` and ids as ``<id>`` (a file ending stays)."""
     number = lambda s: F.regexp_replace(s, r"^[0-9]+(?=$|\.[A-Za-z0-9]{1,8}$)", "<n>")
     ident = lambda s: F.regexp_replace(s, r"^(?=.*[0-9])[0-9a-fA-F-]{8,}(?=$|\.[A-Za-z0-9]{1,8}$)", "<id>")
-    parts = F.split(path, "/")
-    deep = F.concat(F.slice(parts, 1, LEVELS), F.array(F.array_join(F.slice(parts, LEVELS + 1, 1 << 30), "/")))
-    return F.transform(F.when(F.size(parts) > LEVELS, deep).otherwise(parts), lambda s: ident(number(s)))
+    return F.transform(F.split(path, "/"), lambda s: ident(number(s)))
+
+
+def _differs(branches: Column, bl: Column, bb: Column, nl: Column, nb: Column) -> Column:
+    """Does a branch with ``bb`` bad of ``bl`` labels differ from the rest of its node (``nb`` of ``nl`` with it)?"""
+    rest_l, rest_b = nl - bl, nb - bb
+    pooled = F.try_divide(nb, nl)
+    spread = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1.0), bl) + F.try_divide(F.lit(1.0), rest_l)))
+    z = F.abs(F.try_divide(F.try_divide(bb, bl) - F.try_divide(rest_b, rest_l), spread))
+    # The rest's share is kept off 0 and 1, as by one label more of each kind.
+    rest = (rest_b + 1) / (rest_l + 2)
+    part = lambda k, p: F.when(k > 0, k * F.log(k / (bl * p))).otherwise(0.0)
+    sure = part(bb, rest) + part(bl - bb, 1 - rest) >= F.log(2 * branches / FALSE_BRANCHES)
+    return F.coalesce((z >= Z) & ((branches <= MAX_BRANCHES) | sure), F.lit(False))
 
 
 def templates(counted: DataFrame) -> DataFrame:
     """``host, typed, template`` of the different typed paths in ``counted`` (host, typed, n, labelled, bad)."""
     depth = counted.agg(F.max(F.size("typed"))).first()[0] or 0
-    now = counted.select("*", F.lit("").alias("template"))
+    now, done = counted.select("*", F.lit("").alias("template")), []
     for level in range(depth):
-        now = written(now.withColumn("segment", F.get("typed", F.lit(level))), "template-tree")
-        branch = now.where("segment is not null").groupBy("host", "template", "segment").agg(F.sum("labelled").alias("bl"), F.sum("bad").alias("bb"))
+        now = now.withColumn("segment", F.get("typed", F.lit(level)))
+        branch = now.groupBy("host", "template", "segment").agg(F.sum("labelled").alias("bl"), F.sum("bad").alias("bb"), F.count("*").alias("paths"))
         node = branch.groupBy("host", "template").agg(F.count("*").alias("branches"), F.sum("bl").alias("nl"), F.sum("bb").alias("nb"))
-        # The branch against the rest of its node.
-        rest_l, rest_b = F.col("nl") - F.col("bl"), F.col("nb") - F.col("bb")
-        pooled = F.try_divide("nb", "nl")
-        spread = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1.0), "bl") + F.try_divide(F.lit(1.0), rest_l)))
-        z = F.abs(F.try_divide(F.try_divide("bb", "bl") - F.try_divide(rest_b, rest_l), spread))
-        name = F.when(F.col("branches") > MAX_BRANCHES, "*").when((F.col("branches") == 1) | (z >= Z), F.col("segment")).otherwise("~")
-        named = branch.join(node, ["host", "template"]).select("host", "template", "segment", name.alias("name"))
-        joined = now.join(named, ["host", "template", "segment"], "left")
+        differs = _differs(*map(F.col, ("branches", "bl", "bb", "nl", "nb")))
+        name = F.when((F.col("branches") == 1) | differs, F.col("segment")).when(F.col("branches") > MAX_BRANCHES, "*").otherwise("~")
+        named = branch.join(node, ["host", "template"]).select("host", "template", "segment", name.alias("name"), "paths")
+        # Paths by node of the next level.
+        named = named.join(named.groupBy("host", "template", "name").agg(F.sum("paths").alias("together")), ["host", "template", "name"]).drop("paths")
+        joined = now.join(named, ["host", "template", "segment"])
         before = F.col("template") if level == 0 else F.concat("template", F.lit("/"))
-        after = joined.withColumn("template", F.when(F.col("segment").isNull(), F.col("template")).otherwise(F.concat(before, "name")))
-        last, now = now, after.select(*counted.columns, "template")
-        if level + 1 == depth:
-            now = written(now, "templates")
-            drop_written(last)
-    return now
+        rest = F.slice("typed", level + 2, F.greatest(F.size("typed") - (level + 1), F.lit(0)))
+        here = F.concat(before, "name")
+        alone = (F.col("together") == 1) & (F.size(rest) > 0)
+        after = joined.withColumn("template", F.when(alone, F.concat_ws("/", here, F.array_join(rest, "/"))).otherwise(here))
+        after = written(after.withColumn("ended", alone | (F.size(rest) == 0)).select(*counted.columns, "template", "ended"), "templates")
+        done.append(after.where("ended").drop("ended"))
+        now = after.where("not ended").drop("ended")
+        if now.isEmpty():
+            break
+    out = done[0] if done else now
+    for more in done[1:]:
+        out = out.union(more)
+    return out
 
 
 def filter_urls(pages: DataFrame, labelled: DataFrame, rules: list[tuple[str, str]], block_at: float = BLOCK_AT) -> DataFrame:

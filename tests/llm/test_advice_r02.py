@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leasekit.llm import language_model as lm
+from leasekit.llm import url_filter as uf
 
 SCORED = "lang string, lm_bits double, lm_bytes long"
 
@@ -40,3 +41,24 @@ def test_op2_limits_move_smoothly_with_held_out_documents(spark):
     assert abs(at[1] - at[0]) < 0.1 and abs(at[3] - at[2]) < 0.02 and abs(at[4] - at[3]) < 0.02
     assert at[5] == pytest.approx(3.501, abs=0.08) and at == sorted(at, reverse=True)
     assert lm.limits(every, scored(spark, [("en", 1.0)]).limit(0), 0.99).count() == 0
+
+
+@pytest.mark.parametrize("sections", [12, 13, 60])
+def test_op6_bad_section_is_blocked_whatever_the_number_of_sections(spark, sections):
+    rows = [(f"http://a.org/s{s:c}/{k}.html", s == 97) for s in range(97, 97 + sections) for k in range(40)]
+    rows += [(f"http://b.org/slug{'x' * (k % 50)}{k}", k % 10 == 0) for k in range(400)]
+    pages = spark.createDataFrame([(k, u) for k, (u, _) in enumerate(rows)], "page_id long, url string")
+    got = uf.filter_urls(pages, spark.createDataFrame(rows, "url string, bad boolean"), []).collect()
+    verdicts = {(r.host, r.path.split("/")[1], r.verdict) for r in got if r.host == "a.org"}
+    assert {s for _, s, v in verdicts if v == "block"} == {"sa"} and len(verdicts) == sections
+    assert {r.template for r in got if r.host == "b.org"} == {"/*"}  # slugs with a label each do not differ
+
+
+def test_op6_paths_are_followed_to_their_end(spark):
+    deep = "/".join("abcdefghijkl")
+    rows = [(f"http://a.org/{deep}/{s}/{k}.html", s == "casino") for s in ("news", "casino", "sport") for k in range(50)]
+    rows += [("http://a.org/" + "/".join(map(str, range(200))), False), ("http://b.org/" + "x/" * 300, None)]
+    pages = spark.createDataFrame([(k, u) for k, (u, _) in enumerate(rows)], "page_id long, url string")
+    got = uf.filter_urls(pages, spark.createDataFrame(rows, "url string, bad boolean"), []).collect()
+    assert {("casino" in r.path) == (r.verdict == "block") for r in got} == {True} and len(got) == len(rows)
+    assert next(r.template for r in got if r.host == "b.org") == "/" + "x/" * 300
