@@ -57,21 +57,24 @@ def word_blocks(text: bytes, keep: int) -> Iterator[list[bytes]]:
 
 
 def fingerprint(text: bytes, shingle: int, seed: int = 42) -> int:
-    """SimHash of a text's word shingles (repeats count): bit k is set if it is in over half of the shingles' XXH64."""
+    """SimHash of a text's word shingles (repeats count): bit k is set if it is in over half of the shingles' XXH64.
+
+    A text with fewer words than a shingle has one shingle, all its words, whatever its size."""
     counts, total = np.zeros(64, np.int64), 0
     text = text.lower()  # bytes: A-Z only
+    few: list[bytes] = []
     for words in word_blocks(text, shingle - 1):
         if len(words) < shingle:
-            if len(text) > BLOCK or not words:
-                continue
-            joined, starts, ends = b" ".join(words), [0], [None]
-        else:
-            joined = b" ".join(words)
-            ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-            starts, ends = [0, *ends[:len(words) - shingle].tolist()], (ends[shingle - 1:] - 1).tolist()
+            few = words  # with fewer words than a shingle so far, a block starts with all of them
+            continue
+        joined = b" ".join(words)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+        starts, ends = [0, *ends[:len(words) - shingle].tolist()], (ends[shingle - 1:] - 1).tolist()
         hashes = np.array([xxh64_intdigest(joined[s:e], seed) for s, e in zip(starts, ends)], np.uint64)
         counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
         total += len(hashes)
+    if not total and few:  # the whole sequence is the shingle
+        return xxh64_intdigest(b" ".join(few), seed)
     return int(_WEIGHTS[2 * counts > total].sum()) if total else 0
 
 

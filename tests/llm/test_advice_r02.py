@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leasekit.llm import language_model as lm
+from leasekit.llm import simhash
 from leasekit.llm import url_filter as uf
 
 SCORED = "lang string, lm_bits double, lm_bytes long"
@@ -62,3 +63,10 @@ def test_op6_paths_are_followed_to_their_end(spark):
     got = uf.filter_urls(pages, spark.createDataFrame(rows, "url string, bad boolean"), []).collect()
     assert {("casino" in r.path) == (r.verdict == "block") for r in got} == {True} and len(got) == len(rows)
     assert next(r.template for r in got if r.host == "b.org") == "/" + "x/" * 300
+
+
+@pytest.mark.parametrize("text", [b"oneverylongwordofbase64", b"   first" + b" " * 50 + b"Second  ", b" " * 40 + b"word" + b"\n" * 40, b"", b" " * 40, b"a b c" + b" " * 40 + b"d"])
+def test_op8_few_words_in_many_blocks(monkeypatch, text):
+    whole = simhash.fingerprint(text, 3)
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    assert simhash.fingerprint(text, 3) == whole and (whole != 0) == bool(text.split())
