@@ -3,8 +3,8 @@
 Three base kinds are found by fixed patterns. The method adds a fourth, ``random``: a run of at least ``MIN_RUN`` key
 characters that a tiktoken vocabulary needs many tokens for (under ``MAX_RATIO`` characters a token) is a random string,
 since ordinary words, numbers and names merge into longer tokens. Not counted: known digests (hexadecimal of the usual
-digest lengths, UUIDs), identifiers (parts between separators that are plain words or numbers, also in camel case), runs of
-few different characters, and what a base span covers.
+digest lengths, UUIDs), identifiers (runs with under half of ``MIN_RUN`` characters in parts between separators that are themselves inefficient
+under the vocabulary; a part of one token is efficient), runs of few different characters, and what a base span covers.
 """
 
 from __future__ import annotations
@@ -36,7 +36,6 @@ DIGESTS = (32, 40, 56, 64, 96, 128)
 _HEX_ONLY = re.compile(r"[0-9a-fA-F]+")
 _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 _SEPARATORS = re.compile(r"[+/_=-]+")
-_PLAIN = re.compile(r"[A-Za-z]*[a-z]{2}[a-z]*|[A-Z]+|[0-9]+|(?:[A-Z]?[a-z]{2,}|[A-Z]+)+[0-9]*")
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 
 
@@ -53,10 +52,11 @@ def _tokens(path: str):
 def is_random(run: str, tokens) -> bool:
     if _HEX_ONLY.fullmatch(run) and len(run) in DIGESTS or _UUID.fullmatch(run) or len(set(run)) < 8:
         return False
-    odd = [part for part in _SEPARATORS.split(run) if part and not _PLAIN.fullmatch(part)]
-    if sum(map(len, odd)) < MIN_RUN // 2:  # words, numbers and names between separators
-        return False
-    if not (re.search(r"[0-9]", run) and re.search(r"[A-Za-z]", run)) and not (re.search(r"[a-z]", run) and re.search(r"[A-Z].*[A-Z].*[A-Z]", run)):
+    odd = 0
+    for part in _SEPARATORS.split(run):
+        if part and (n := tokens(part)) > 1 and len(part) < MAX_RATIO * n:
+            odd += len(part)
+    if odd < MIN_RUN // 2:  # words, numbers and names between separators
         return False
     return len(run) < MAX_RATIO * tokens(run)
 

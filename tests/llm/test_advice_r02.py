@@ -1,11 +1,17 @@
 """Cases of the second review: whole thresholds, templates, articles, runs and short texts."""
 
+import random
+import string
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from leasekit.llm import language_model as lm
+from leasekit.llm import secrets as sec
 from leasekit.llm import simhash
 from leasekit.llm import url_filter as uf
+from leasekit.llm.queries import tokenizer_file
 
 SCORED = "lang string, lm_bits double, lm_bytes long"
 
@@ -70,3 +76,22 @@ def test_op8_few_words_in_many_blocks(monkeypatch, text):
     whole = simhash.fingerprint(text, 3)
     monkeypatch.setattr(simhash, "BLOCK", 8)
     assert simhash.fingerprint(text, 3) == whole and (whole != 0) == bool(text.split())
+
+
+def test_op7_random_runs_of_any_alphabet():
+    tokens, rng = sec._tokens(tokenizer_file("byte_bpe_50k.tiktoken")), random.Random(4)
+    for letters in (string.ascii_lowercase, string.ascii_uppercase, string.ascii_uppercase + "234567", string.ascii_letters):
+        runs = ["".join(rng.choices(letters, k=40)) for _ in range(200)]
+        assert sum(sec.is_random(run, tokens) for run in runs) >= 190, letters
+    for run in ("qzxkvjwpqtrmnbvcxhgd",):
+        assert [k for *_, k in sec.scan(f"key {run} end", tokens)] == [3]
+    for run in ("INTERNATIONAL_BUSINESS_MACHINES", "ThisIsACamelCaseIdentifierName", "2024-01-01-12-00-00-000", "20240101120000000000",
+                "donaudampfschifffahrtsgesellschaft", "some-article-name-about-things", "a-b-c-d-e-f-g-h-i-j-k-l-m"):
+        assert not sec.is_random(run, tokens), run
+
+
+def test_op7_long_runs_take_linear_time():
+    tokens = sec._tokens(tokenizer_file("byte_bpe_50k.tiktoken"))
+    start = time.time()
+    sec.is_random(string.ascii_uppercase * 1000 + "1x", tokens)
+    assert time.time() - start < 20
