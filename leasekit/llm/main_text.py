@@ -52,8 +52,10 @@ WORDS = frozenset(
 COMMENTS = frozenset("comment comments reply replies respond disqus".split())
 HEADER = frozenset(("header", "masthead", "head"))
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>"']|"[^"]{0,4096}"|'[^']{0,4096}')*|[^>]*)(>|\Z)""", re.S)
-_NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+)(>|\Z)""", re.S)
+#: A quote that follows = and is never closed in the page opens no value: the tag ends at the next >.
+_NAMES = re.compile(r"""([^\s=>/]+)\s*+(?:=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]+)))?""")
+_MARKING = re.compile(r"class|id|role", re.I)
 _PIECES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：]")
 #: Of the paths' standard deviation; weights of a block, its neighbours and theirs; share of score in the content node.
@@ -64,17 +66,19 @@ def _marked(tag: str, attributes: str) -> tuple[bool, bool, str]:
     """Is the element boilerplate by itself; is it a header; its label in paths."""
     label = tag
     bad, header = tag in BOILERPLATE, tag == "header"
-    if attributes and "=" in attributes:
+    if attributes and "=" in attributes and _MARKING.search(attributes):
         for m in _NAMES.finditer(attributes):
-            value = m[2] or m[3] or m[4] or ""
-            if m[1].lower() == "role":
+            kind, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+            if kind not in ("class", "id", "role"):
+                continue
+            if kind == "role":
                 bad |= value.lower() in ROLES
                 continue
             for k, name in enumerate(value.split()):
                 pieces = [p.lower() for p in _PIECES.findall(name)]
                 if not pieces:
                     continue
-                if k == 0 and m[1].lower() == "class":
+                if k == 0 and kind == "class":
                     label = f"{tag}.{pieces[0]}"
                 negated = len(pieces) > 1 and pieces[0] in ("no", "has", "with", "without", "is")
                 ends = set() if negated else {pieces[0], pieces[-1]}

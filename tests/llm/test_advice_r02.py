@@ -11,6 +11,7 @@ from leasekit.llm import language_model as lm
 from leasekit.llm import secrets as sec
 from leasekit.llm import simhash
 from leasekit.llm import url_filter as uf
+from leasekit.llm.main_text import main_text
 from leasekit.llm.queries import tokenizer_file
 
 SCORED = "lang string, lm_bits double, lm_bytes long"
@@ -95,3 +96,16 @@ def test_op7_long_runs_take_linear_time():
     start = time.time()
     sec.is_random(string.ascii_uppercase * 1000 + "1x", tokens)
     assert time.time() - start < 20
+
+
+BODY = "".join(f"<p>Paragraph {k}, which says a good deal, and goes on for a while, as articles do.</p>" for k in range(10))
+WORDS = " ".join(f"Paragraph {k}, which says a good deal, and goes on for a while, as articles do." for k in range(10))
+
+
+@pytest.mark.parametrize("quote", ['"', "'"])
+def test_op1_long_attribute_values(quote):
+    value = "<p>not text</p> class=ad a>b " * 400
+    page = f"<div class=a><div data-x={quote}{value}{quote} class=sidebar>Side, text.</div><article data-y = {quote}{value}{quote}>{BODY}</article></div>"
+    assert main_text(page) == WORDS
+    assert main_text(f"<div title={quote}open>{BODY}</div>") == WORDS  # never closed
+    assert main_text(f"<div data-class='ad' data-x=5{quote}>{BODY}</div>") == WORDS
