@@ -5,8 +5,10 @@ tags and first class names. For every path, text length, punctuation and linked
 text ratio and punctuation ratio are these sums per node. Both are smoothed over the page's blocks in order (neighbours
 weigh less with distance), averaged back per path, scaled, and fused as text x punctuation x unlinked share. Paths whose
 fused score reaches ``THRESHOLD`` times the standard deviation of all paths' scores are content paths. The content node is
-the deepest element that holds nearly all the score of content blocks; its blocks are the article (if that is the whole
-body, only its blocks on content paths).
+the deepest element that holds nearly all the score of content blocks. The article is all of the outermost ``article`` around
+it, and what is in ``main`` besides; without those, what is around it up to the body. Blocks outside the content node or
+``article`` are left out only if their path is mostly links, and, without ``main``, if they lie in a ``div`` at the top of the
+page with neither a content path nor a sentence's punctuation.
 
 Elements that are never article text are left out first: scripts, styles, forms, navigation and the like by their tag
 or role, and menus, sidebars, notices, adverts or reader comments by the words of their class or id.
@@ -42,6 +44,8 @@ ENDS = {
 }
 #: Elements that may be the content node; elements, roles, and words of class names or ids that mark what is not article text.
 CONTAINERS = frozenset("body main article section div center td".split())
+#: What a container's number says of it, in its last two bits: its own text counts like the page's (section, td), main, article.
+KINDS = {"section": 1, "td": 1, "main": 2, "article": 3}
 BOILERPLATE = frozenset("head nav aside footer form menu dialog fieldset search".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 WORDS = frozenset(
@@ -91,7 +95,7 @@ def _marked(tag: str, attributes: str) -> tuple[bool, bool, str]:
 
 def blocks(html: str) -> list[tuple[str, tuple[int, ...], int, int]]:
     """(text, open containers by number, path number, linked characters) of all blocks outside boilerplate, in page order.
-    The page's body (or what stands for it) is container 0."""
+    The page's body (or what stands for it) is container 0; the others are numbered in page order, four apart, plus ``KINDS``."""
     out: list[tuple[str, tuple[int, ...], int, int]] = []
     paths: dict[tuple[int, str], int] = {}
     stack: list[tuple[str, int, int, bool]] = []  # tag, container (0: none), path, inside boilerplate
@@ -158,7 +162,7 @@ def blocks(html: str) -> list[tuple[str, tuple[int, ...], int, int]]:
         parent = stack[-1] if stack else ("", -1, -1, False)
         path = paths.setdefault((parent[2], label), len(paths))
         container = tag in CONTAINERS and tag != "body"
-        stack.append((tag, elements if container else 0, path, parent[3] or bad))
+        stack.append((tag, 4 * elements + KINDS.get(tag, 0) if container else 0, path, parent[3] or bad))
         elements += container
         links = 0
     flush()
@@ -191,11 +195,24 @@ def content(found: list[tuple[str, tuple[int, ...], int, int]]) -> list[str]:
         for c in containers:
             inside[c] = inside.get(c, 0.0) + w
     node = max(c for c, w in inside.items() if w >= SHARE * weight.sum())  # numbered in page order: the deepest
-    mine = [k for k, b in enumerate(found) if node in b[1]]
-    if node:
-        return [found[k][0] for k in mine]
-    # No element sets the article apart: leave out link lists, and unlinked paths that score too low.
-    return [found[k][0] for k in mine if chosen[path[k]] and unlinked[path[k]] >= 0.5]
+    around = next(b[1] for b in found if node in b[1])
+    around = around[:around.index(node) + 1]
+    core = next((c for c in around if c & 3 == 3), node)
+    # The article without main stands alone; else climb to main, or the body.
+    top = next((c for c in around if c & 3 == 2), core if core & 3 == 3 else 0)
+    # Elements at the top of the page that have a block on a content path, or with a sentence's punctuation.
+    worth = {b[1][1] for k, b in enumerate(found) if len(b[1]) > 1 and (chosen[path[k]] or marks[k])}
+
+    def belongs(k: int) -> bool:
+        inside = found[k][1]
+        if core and core in inside:
+            return True
+        if top not in inside or unlinked[path[k]] < 0.5:
+            return False
+        apart = top == 0 and len(inside) > 1 and inside[1] & 3 == 0 and inside[1] not in around
+        return not apart or inside[1] in worth
+
+    return [b[0] for k, b in enumerate(found) if belongs(k)]
 
 
 def main_text(html: str | None) -> str:

@@ -109,3 +109,19 @@ def test_op1_long_attribute_values(quote):
     assert main_text(page) == WORDS
     assert main_text(f"<div title={quote}open>{BODY}</div>") == WORDS  # never closed
     assert main_text(f"<div data-class='ad' data-x=5{quote}>{BODY}</div>") == WORDS
+
+
+LINKS = "<ul>" + "".join(f"<li><a href={k}>Entry {k}</a></li>" for k in range(5)) + "</ul>"
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<article><h1>Title</h1><div class=body>{BODY}</div></article>", f"Title {WORDS}"),
+    (f"<article><h1>Title</h1><p class=lead>Lead</p><section>{BODY * 3}</section><section><p>Short end</p></section></article>", f"Title Lead {WORDS} {WORDS} {WORDS} Short end"),
+    (f"<main><h1>Title</h1>{LINKS}<article><div>{BODY}</div><p>End</p></article></main>", f"Title {WORDS} End"),
+    (f"<div class=page><h1>Title</h1>{LINKS}<div class=body>{BODY * 3}</div><div>Short end</div></div>", f"Title {WORDS} {WORDS} {WORDS} Short end"),
+    (f"<body><h1>Title</h1>{LINKS}<div class=body>{BODY * 3}</div><section>Short end</section></body>", f"Title {WORDS} {WORDS} {WORDS} Short end"),
+    (f"<body><div class=a>{BODY}</div><h2>Part</h2><div class=a>{BODY}</div>{LINKS}</body>", f"{WORDS} Part {WORDS}"),
+])
+def test_op1_articles_are_whole(page, want):
+    assert main_text(page) == want
+    assert main_text(f"<nav>{LINKS}</nav><div class=sidebar>Side, text.</div>{page}") == want
