@@ -6,11 +6,12 @@ bytes (UTF-8; a text starts after ``ORDER`` - 1 newlines). Bytes need no tokeniz
 *Counts.* Tasks pre-aggregate n-gram counts, which are summed by n-gram. Lower orders count the different longer n-grams
 (continuation counts). Context totals and the numbers of n-grams seen once, twice and more often are summed by context,
 and join the counts on (order, context), hash-sharded: that gives each n-gram's discounted share and each context's
-back-off weight. No count table passes through the driver; only four counts-of-counts an order do.
+back-off weight. No table of counts passes through the driver, only four counts-of-counts an order; the joined tables of
+shares and weights do pass through it, shard by shard, when they are broadcast for scoring.
 
 *Scoring.* The joined tables are cut into shards of about ``CONTEXTS`` contexts by the last two bytes of a context, so
 that everything which decides one position lies in one shard. A shard is of bounded size (``CONTEXTS`` x 256 shares);
-it is broadcast, and documents pass it where they are: each task adds the log-probabilities of the positions that fall
+the driver fetches and broadcasts it (all broadcasts are held), and documents pass it where they are: each task adds the log-probabilities of the positions that fall
 in the shard. Nothing of the documents is shuffled. (Joining each text position as a row would shuffle some 20 bytes for
 each byte of text.)
 
