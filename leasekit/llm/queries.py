@@ -95,6 +95,30 @@ def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from leasekit.llm.lexical_search import search
+
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=10)
+
+
+_TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+ORACLE_SQL["op13_lexical_search"] = f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS t FROM documents WHERE text IS NOT NULL),
+c AS (SELECT count(*) AS n_docs, CAST(sum(len(t)) AS HUGEINT) AS n_terms FROM d WHERE len(t) > 0),
+q AS (SELECT item_id, term, count(*) AS n FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+o AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(t) AS n, unnest(t) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * max(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM o, c GROUP BY term),
+e AS (SELECT doc_id, term, w, (1000000000 * tf) // (1000 * tf + 8 * CAST(25 + (75 * n * n_docs) // n_terms AS BIGINT)) AS g
+  FROM o JOIN w USING (term), c),
+s AS (SELECT item_id, doc_id, CAST(sum(q.n * w * g) AS BIGINT) AS score FROM q JOIN e USING (term) GROUP BY ALL),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10"""
+
+
 #: The rules of op6, longest fitting one decides.
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
