@@ -95,6 +95,24 @@ def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from leasekit.llm.whitening import whiten
+
+    found = whiten(table(spark, sf_dir, "embeddings"), components=8)
+    # beyond some millions of rows the exact sum can leave the range of a long: null there
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+@query
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from leasekit.llm.language_id import identify
+
+    return identify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     from leasekit.llm.lexical_search import search
