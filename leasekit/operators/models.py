@@ -1,9 +1,9 @@
 """Preprocessing, models, experiment runner and importance.
 
-Models are MLlib estimators (distributed fitting); what is custom is only
-where the reference semantics differ from MLlib defaults: encoders fitted on
-the training part (see ``encode``), the ridge penalty scale, the median dummy,
-exact k-NN, voting/stacking assembly and the log-target wrapper.
+Linear models and the single tree are MLlib estimators; ensembles of trees are
+our own (``trees``), all those of a stage fitted together. Encoders are fitted
+on the training part (see ``encode``); the ridge penalty scale, the median
+dummy, exact k-NN, voting/stacking assembly and the log-target wrapper are here.
 """
 
 from __future__ import annotations
@@ -15,8 +15,7 @@ from dataclasses import dataclass, field
 from functools import partial
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
-                                   RandomForestRegressor)
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +25,7 @@ from leasekit.operators import encode as E
 from leasekit.operators.evaluate import METRICS, compute_metrics
 from leasekit.operators.features import column_roles
 from leasekit.operators.ranking import exact_quantiles
+from leasekit.operators.trees import Trees, fit_all
 
 
 def _plain(name: str) -> str:
@@ -276,22 +276,24 @@ def lasso(alpha: float) -> LinearRegression:
 
 
 TREES = 300
+#: One boosting operator; a preset for each library's defaults (leaf-wise: a limit on leaves, else on depth).
 GBT_PRESETS = {
-    # one boosted-tree operator; presets map each library's shared knobs (leaf-wise libraries: by depth)
-    "hist_gb": dict(maxDepth=6),
-    "xgboost": dict(maxDepth=8, subsamplingRate=0.8, featureSubsetStrategy="0.8"),
-    "lightgbm": dict(maxDepth=6),
-    "catboost": dict(maxDepth=8),
+    "hist_gb": dict(depth=None, leaves=31, least_rows=20),
+    "xgboost": dict(depth=8, rows_share=0.8, columns_share=0.8, l2=1.0),
+    "lightgbm": dict(depth=None, leaves=63, least_rows=20),
+    "catboost": dict(depth=8, l2=3.0),
+}
+#: Forests to purity, two rows in a leaf at least.
+FOREST_PRESETS = {
+    "random_forest": dict(kind="forest", depth=None, least_rows=2),
+    "extra_trees": dict(kind="extra", depth=None, least_rows=2),
 }
 # Parameters of the final model when no search has been run.
-FINAL_PARAMS = dict(maxIter=1200, stepSize=0.03, maxDepth=10, minInstancesPerNode=13, subsamplingRate=0.65,
-                    featureSubsetStrategy="0.74")
+FINAL_PARAMS = dict(trees=1200, rate=0.03, depth=10, least_rows=13, rows_share=0.65, columns_share=0.74, least_gain=0.001,
+                    l1=0.0006, l2=0.19)
 ZOO = ["ridge", "lasso", "knn_10", "decision_tree", "random_forest", "extra_trees", "hist_gb", "xgboost",
        "lightgbm", "catboost", "voting_lgbm_xgb_rf", "stacking_lgbm_rf_ridge"]
 FINALISTS = ["xgboost", "lightgbm", "random_forest", "extra_trees", "voting_lgbm_xgb_rf"]
-#: Memory for the statistics of the nodes that a forest splits in one pass over the data (MLlib's default of 256 MB makes
-#: hundreds of passes for deep trees).
-NODE_MB = 768
 #: Fits that run at the same time (each is a chain of small jobs, so one alone leaves executors idle).
 PARALLEL_FITS = 4
 
@@ -302,17 +304,17 @@ def at_once(jobs: Sequence[Callable]) -> list:
         return list(pool.map(lambda job: job(), jobs))
 
 
-def boosted(seed: int = presets.SEED, **params) -> GBTRegressor:
-    return GBTRegressor(seed=seed, maxBins=64, **params)
-
-
-def extra_trees(seed: int = presets.SEED, **params) -> RandomForestRegressor:
-    """Approximation: no bootstrap and coarse bins (MLlib has no random thresholds)."""
-    return RandomForestRegressor(bootstrap=False, maxBins=16, seed=seed, maxMemoryInMB=NODE_MB, **params)
+def tree_parameters(name: str, seed: int = presets.SEED, **more) -> Trees | None:
+    """Parameters of a tree ensemble of the zoo, None for other models."""
+    if name in GBT_PRESETS:
+        return Trees("boost", TREES, 0.05, seed=seed, **GBT_PRESETS[name], **more)
+    if name in FOREST_PRESETS:
+        return Trees(trees=TREES, seed=seed, **FOREST_PRESETS[name], **more)
+    return Trees("boost", seed=seed, **FINAL_PARAMS, **more) if name == "final" else None
 
 
 def make_model(name: str, seed: int = presets.SEED, n_train: int = 0, label_std: float = 1.0):
-    """Model zoo by name. MLlib trees go down to depth 30 at most."""
+    """Model zoo by name."""
     if name == "dummy_median":
         return MedianDummy()
     if name == "linear_regression":
@@ -325,15 +327,8 @@ def make_model(name: str, seed: int = presets.SEED, n_train: int = 0, label_std:
         return KnnRegressor(presets.KNN_K)
     if name == "decision_tree":
         return DecisionTreeRegressor(maxDepth=16, minInstancesPerNode=5, maxBins=64, seed=seed)
-    if name == "random_forest":
-        return RandomForestRegressor(numTrees=TREES, minInstancesPerNode=2, maxDepth=30,
-                                     featureSubsetStrategy="all", maxBins=64, seed=seed, maxMemoryInMB=NODE_MB)
-    if name == "extra_trees":
-        return extra_trees(seed, numTrees=TREES, minInstancesPerNode=2, maxDepth=30, featureSubsetStrategy="all")
-    if name in GBT_PRESETS:
-        return boosted(seed, maxIter=TREES, stepSize=0.05, **GBT_PRESETS[name])
-    if name == "final":
-        return boosted(seed, **FINAL_PARAMS)
+    if (ensemble := tree_parameters(name, seed)) is not None:
+        return ensemble
     raise KeyError(name)
 
 
@@ -343,28 +338,62 @@ def voting(preds: DataFrame, members: Sequence[str], out: str = "prediction") ->
     return preds.withColumn(out, sum(F.col(m) for m in members) / len(members))
 
 
-def fit_predict(name: str, train: DataFrame, test: DataFrame, log_target: bool = False,
-                seed: int = presets.SEED) -> tuple[DataFrame, float]:
-    """Fit on ``train`` and predict ``test``; returns (test with ``prediction``, fit seconds).
+MEMBERS = {"voting_lgbm_xgb_rf": ["lightgbm", "xgboost", "random_forest"],
+           "stacking_lgbm_rf_ridge": ["lightgbm", "random_forest", "ridge"]}
+STACK_FOLDS = 3
+
+
+def fit_models(names: Sequence[str], train: DataFrame, seed: int = presets.SEED, folds: Sequence[int | None] = (None,),
+               id_col: str = "id") -> dict[tuple[str, int | None], object]:
+    """(name, fold left out or None) -> fitted model, for all names and folds. All tree ensembles are one job; the others
+    run beside each other."""
+    keys = [(name, k) for name in dict.fromkeys(names) for k in folds]
+    trees = [(key, spec) for key in keys if (spec := tree_parameters(key[0], seed, skip_fold=key[1])) is not None]
+    fold = bucket(F.col(id_col), f"{seed}|stack", STACK_FOLDS)
+    fitted = dict(zip([key for key, _ in trees], fit_all([s for _, s in trees], train, id_column=id_col, fold=fold))) if trees else {}
+    rest = [key for key in keys if key not in fitted]
+    parts = {k: train if k is None else train.filter(fold != k) for k in folds}
+    return fitted | dict(zip(rest, at_once([partial(_fit, name, parts[k], seed) for name, k in rest])))
+
+
+def needed(names: Sequence[str]) -> tuple[list[str], list[str]]:
+    """Plain models to fit on all training rows, and those to fit on each stacking fold."""
+    plain = [m for name in names for m in MEMBERS.get(name, [name])]
+    return list(dict.fromkeys(plain)), [m for name in names if name.startswith("stacking") for m in MEMBERS[name]]
+
+
+def fit_predict_all(names: Sequence[str], train: DataFrame, test: DataFrame, log_target: bool = False,
+                    seed: int = presets.SEED) -> dict[str, DataFrame]:
+    """Name -> ``test`` with ``prediction``; ensembles share the fits of their members.
 
     ``log_target`` (M12) fits on log1p(label) and back-transforms with expm1.
     """
     tr = train.withColumn("label", F.log1p("label")) if log_target else train
+    plain, stacked = needed(names)
+    fitted = fit_models(plain, tr, seed)
+    fitted |= fit_models(stacked, tr, seed, range(STACK_FOLDS)) if stacked else {}
+    out = {}
+    for name in names:
+        if name.startswith("voting"):
+            columns = [f"_p{i}" for i in range(len(MEMBERS[name]))]
+            preds = test
+            for column, member in zip(columns, MEMBERS[name]):
+                preds = _predict(fitted[member, None], preds, column)
+            pred = voting(preds, columns).drop(*columns)
+        elif name.startswith("stacking"):
+            pred = stacking(tr, test, MEMBERS[name], fitted, seed)
+        else:
+            pred = fitted[name, None].transform(test)
+        out[name] = pred.withColumn("prediction", F.expm1("prediction")) if log_target else pred
+    return out
+
+
+def fit_predict(name: str, train: DataFrame, test: DataFrame, log_target: bool = False,
+                seed: int = presets.SEED) -> tuple[DataFrame, float]:
+    """Fit on ``train`` and predict ``test``; returns (test with ``prediction``, fit seconds)."""
     t0 = time.time()
-    if name.startswith("voting"):
-        members = ["lightgbm", "xgboost", "random_forest"]
-        preds, columns = test, [f"_p{i}" for i in range(len(members))]
-        for column, model in zip(columns, at_once([partial(_fit, m, tr, seed) for m in members])):
-            preds = _predict(model, preds, column)
-        out = voting(preds, columns).drop(*columns)
-    elif name.startswith("stacking"):
-        out = stacking(tr, test, ["lightgbm", "random_forest", "ridge"], seed=seed)
-    else:
-        out = _fit(name, tr, seed).transform(test)
-    secs = time.time() - t0
-    if log_target:
-        out = out.withColumn("prediction", F.expm1("prediction"))
-    return out, secs
+    out = fit_predict_all([name], train, test, log_target, seed)[name]
+    return out, time.time() - t0
 
 
 def _fit(name, train, seed):
@@ -380,58 +409,57 @@ def _predict(model, df, col):
     return out.withColumnRenamed("prediction", col)
 
 
-def stacking(train: DataFrame, test: DataFrame, bases: Sequence[str], folds: int = 3,
-             seed: int = presets.SEED, id_col: str = "id") -> DataFrame:
-    """Out-of-fold base predictions -> ridge meta-model; bases refit on all training rows."""
-    tr = train.withColumn("_fold", bucket(F.col(id_col), f"{seed}|stack", folds))
+def stacking(train: DataFrame, test: DataFrame, bases: Sequence[str], fitted: dict, seed: int = presets.SEED,
+             id_col: str = "id") -> DataFrame:
+    """Out-of-fold base predictions -> ridge meta-model; bases refit on all training rows (``fit_models``)."""
+    fold = bucket(F.col(id_col), f"{seed}|stack", STACK_FOLDS)
     columns = [f"_b{i}" for i in range(len(bases))]
-    parts = [tr.filter(F.col("_fold") != k) for k in range(folds)] + [train]
-    models = at_once([partial(_fit, base, part, seed) for part in parts for base in bases])
 
-    def predictions(k: int, rows: DataFrame) -> DataFrame:
-        for column, model in zip(columns, models[k * len(bases):(k + 1) * len(bases)]):
-            rows = _predict(model, rows, column)
+    def predictions(k: int | None, rows: DataFrame) -> DataFrame:
+        for column, base in zip(columns, bases):
+            rows = _predict(fitted[base, k], rows, column)
         return rows
 
     oof = None
-    for k in range(folds):
-        p = predictions(k, tr.filter(F.col("_fold") == k).select(id_col, "label", "features"))
-        p = p.select(id_col, "label", *columns)
+    for k in range(STACK_FOLDS):
+        p = predictions(k, train.filter(fold == k).select(id_col, "label", "features")).select(id_col, "label", *columns)
         oof = p if oof is None else oof.unionByName(p)
     assemble = VectorAssembler(inputCols=columns, outputCol="_meta")
-    meta_in = assemble.transform(oof)
+    from leasekit.session import materialize
+
+    meta_in = materialize(assemble.transform(oof).select("label", "_meta"))
     r = meta_in.agg(F.count("label"), F.stddev_samp("label")).first()
     meta = ridge(1.0, int(r[0]), float(r[1] or 1.0)).setFeaturesCol("_meta").fit(meta_in)
-    return meta.transform(assemble.transform(predictions(folds, test))).drop("_meta", *columns)
+    return meta.transform(assemble.transform(predictions(None, test))).drop("_meta", *columns)
 
 
 # ------------------------------------------------------------------ M13–M18 M21
 def run_experiment(name: str, model: str, m: Matrix, log_target: bool = False,
                    eval_part: str = "val", train_parts: Sequence[str] = ("train",)) -> DataFrame:
     """Fit on the training part(s), score ``eval_part``; long rows (run, model, metric, value)."""
+    return run_suite(name, [model], m, log_target=log_target, eval_part=eval_part, train_parts=train_parts)
+
+
+def run_suite(name: str, models: Sequence[str], m: Matrix, log_target: bool = False, eval_part: str = "val",
+              train_parts: Sequence[str] = ("train",)) -> DataFrame:
+    """All models of a stage, their tree ensembles fitted in one job; ``fit_seconds`` is that of the whole stage."""
     d = m.data
-    train = d.filter(F.col("split").isin(list(train_parts)))
-    test = d.filter(F.col("split") == eval_part)
-    pred, secs = fit_predict(model, train, test, log_target=log_target)
-    wide = compute_metrics(pred, "label", "prediction")
-    spark = d.sparkSession
-    row = wide.first()
-    vals = [(name, model, k, float(row[k]) if row[k] is not None else None) for k in METRICS]
-    vals.append((name, model, "fit_seconds", float(secs)))
-    return spark.createDataFrame(vals, "run string, model string, metric string, value double")
-
-
-def run_suite(name: str, models: Sequence[str], m: Matrix, **kw) -> DataFrame:
-    out = None
-    for r in at_once([partial(run_experiment, name, mdl, m, **kw) for mdl in models]):
-        out = r if out is None else out.unionByName(r)
-    return out
+    t0 = time.time()
+    preds = fit_predict_all(models, d.filter(F.col("split").isin(list(train_parts))), d.filter(F.col("split") == eval_part), log_target)
+    secs = time.time() - t0
+    rows = at_once([lambda p=p: compute_metrics(p, "label", "prediction").first() for p in preds.values()])
+    vals = []
+    for model, row in zip(preds, rows):
+        vals += [(name, model, k, float(row[k]) if row[k] is not None else None) for k in METRICS]
+        vals.append((name, model, "fit_seconds", float(secs)))
+    return d.sparkSession.createDataFrame(vals, "run string, model string, metric string, value double")
 
 
 # ------------------------------------------------------------------ I1 I2 I4
 def builtin_importance(model, names: Sequence[str], spark, top: int = 25) -> DataFrame:
     """Tree importances normalised to 1, with feature names, top n."""
-    imp = model.featureImportances.toArray()
+    imp = model.featureImportances
+    imp = imp.toArray() if hasattr(imp, "toArray") else imp
     total = float(imp.sum()) or 1.0
     rows = [(n, float(v) / total) for n, v in zip(names, imp)]
     df = spark.createDataFrame(rows, "feature string, importance double")

@@ -219,7 +219,7 @@ def layout(df: DataFrame, label: Column, features: str, names: Sequence[str] | N
     made = rows.select("x").mapInArrow(part, "feature int, value binary, weight binary").groupBy("feature").applyInArrow(whole, "feature int, edges binary")
     edges = {r.feature: np.frombuffer(r.edges, "<f4") for r in made.collect()}  # a row a feature
     # Sums of n targets (up to twice as far from the mean) stay exact in doubles.
-    reach = max(2.0 * (first.most or 0.0) * max(n, 1) * 16, 1e-300)
+    reach = 2.0 * (first.most or 1.0) * max(n, 1) * 16
     none = np.zeros(0, np.float32)
     return Layout(groups, [edges.get(g[0], none) if len(g) == 1 else none for g in groups], width, 2.0 ** math.floor(52 - math.log2(reach)), float(first.mean or 0.0), int(n))
 
@@ -294,7 +294,7 @@ class Gain:
 
     def of(self, gl, hl, nl, g, h, n) -> np.ndarray:
         """Of cuts with sums ``gl, hl, nl`` on one side of nodes with ``g, h, n``; -inf where a side is too small."""
-        out = (self.score(gl, hl) + self.score(g - gl, h - hl) - self.score(g, h)) / (2 * self.unit)
+        out = (self.score(gl, hl) + self.score(g - gl, h - hl) - self.score(g, h)) / self.unit
         least = max(self.spec.least_rows, 1)
         return np.where((nl >= least) & (n - nl >= least), out, -np.inf)
 
@@ -930,12 +930,12 @@ class Ensemble:
     @property
     def featureImportances(self) -> np.ndarray:
         """Gain of each feature's cuts, summing to 1; in forests every tree has the same weight."""
-        each = self.spec.kind != "boost"
+        each, width = self.spec.kind != "boost", self.width
 
         def per_tree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for r in batch.to_pylist():
-                    gain = np.bincount(np.frombuffer(r["feature"], "<i4"), np.frombuffer(r["gain"], "<f4"), self.width)
+                    gain = np.bincount(np.frombuffer(r["feature"], "<i4"), np.frombuffer(r["gain"], "<f4"), width)
                     if each and gain.sum() > 0:
                         gain = gain / gain.sum()
                     some = np.flatnonzero(gain)
