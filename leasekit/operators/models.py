@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from leasekit import presets
 from leasekit.functions.hashing import bucket
+from leasekit.functions.text import join_text
 from leasekit.operators import encode as E
 from leasekit.operators.evaluate import METRICS, compute_metrics
 from leasekit.operators.features import column_roles
@@ -44,6 +45,48 @@ class Matrix:
     info: dict = field(default_factory=dict)
 
 
+@dataclass
+class Text:
+    """Fitted text block: ``vocab`` (term, df, j, v: its row of V) and the number of training documents."""
+
+    vocab: DataFrame
+    documents: int
+    width: int
+    columns: tuple[str, str] = ("title_clean", "body_clean")
+
+    @property
+    def names(self) -> list[str]:
+        return [f"text_svd_{i}" for i in range(self.width)]
+
+    def scores(self, df: DataFrame, id_col: str) -> DataFrame:
+        """``doc`` and its components, for documents that have a known term."""
+        import numpy as np
+
+        from leasekit.operators import text_vectors as TV
+
+        docs = df.select(F.col(id_col).alias("_doc"), join_text(*self.columns).alias("_text"))
+        weights = TV.tfidf(TV.term_counts(docs, "_doc", "_text"), self.vocab, F.lit(self.documents))
+        held = self.vocab.orderBy("j").select("v").collect()  # at most max_features rows
+        v = np.array([r.v for r in held], float).reshape(-1, self.width)
+        return TV.project(TV.sparse_rows(weights, self.vocab), v)
+
+
+def fit_text(df: DataFrame, id_col: str, split: str, components: int) -> Text:
+    from leasekit.operators import text_vectors as TV
+    from leasekit.session import materialize
+
+    train = df.filter(F.col(split) == "train").select(F.col(id_col).alias("_doc"), join_text("title_clean", "body_clean").alias("_text"))
+    counts = materialize(TV.term_counts(train, "_doc", "_text"))
+    index = materialize(TV.vocabulary_index(TV.fit_vocabulary(counts)))
+    documents, terms = train.count(), index.count()
+    if not terms:
+        return Text(index.withColumn("v", F.array().cast("array<double>")), documents, 0)
+    rows = materialize(TV.sparse_rows(TV.tfidf(counts, index, F.lit(documents)), index))
+    _, v = TV.randomized_svd(rows, terms, max(1, min(components, terms - 1)))
+    table = df.sparkSession.createDataFrame([(j, [float(x) for x in r]) for j, r in enumerate(v)], "j int, v array<double>")
+    return Text(materialize(index.join(F.broadcast(table), "j")), documents, v.shape[1])
+
+
 @dataclass
 class Prep:
     """Fitted preprocessing (E11): statistics learned on the training part, applicable to any rows."""
@@ -62,9 +105,51 @@ class Prep:
     target: str = presets.TARGET
     id_col: str = "id"
     split: str = "split"
+    text: Text | None = None
+
+    #: Fields that are tables (or hold them); the others are written as one JSON document.
+    TABLES = ("level_table", "te", "text")
+
+    def save(self, path: str) -> None:
+        """Every fitted statistic under ``path``: tables as Parquet, the rest as JSON."""
+        from leasekit.sources.artifacts import write_json
+
+        for name, table in self._tables().items():
+            table.write.mode("overwrite").parquet(f"{path}/{name}")
+        plain = {f: v for f, v in self.__dict__.items() if f not in self.TABLES}
+        text = None if self.text is None else {"documents": self.text.documents, "width": self.text.width, "columns": list(self.text.columns)}
+        write_json(self._spark(), f"{path}/plain", {**plain, "te": list(self.te), "text": text, "has_levels": self.level_table is not None})
+
+    def _spark(self):
+        from pyspark.sql import SparkSession
+
+        return SparkSession.getActiveSession()
+
+    def _tables(self) -> dict[str, DataFrame]:
+        held = {f"te-{i}": t for i, t in enumerate(self.te.values())}
+        if self.level_table is not None:
+            held["levels"] = self.level_table
+        if self.text is not None:
+            held["text"] = self.text.vocab
+        return held
+
+    @classmethod
+    def load(cls, spark, path: str) -> Prep:
+        """What :meth:`save` wrote: applies as the saved one does."""
+        from leasekit.sources.artifacts import read_json
+
+        plain = read_json(spark, f"{path}/plain")
+        levels = spark.read.parquet(f"{path}/levels") if plain.pop("has_levels") else None
+        te = {c: spark.read.parquet(f"{path}/te-{i}") for i, c in enumerate(plain.pop("te"))}
+        text = plain.pop("text")
+        if text is not None:
+            text = Text(spark.read.parquet(f"{path}/text"), text["documents"], text["width"], tuple(text["columns"]))
+        plain["levels"] = {c: (kept, pooled) for c, (kept, pooled) in plain["levels"].items()}
+        return cls(level_table=levels, te=te, text=text, **plain)
 
     def columns(self, df: DataFrame, oof_train: bool = False, keep: Sequence[str] = ()) -> DataFrame:
         """Encoded feature columns (before vector assembly); ``keep`` columns pass through."""
+        scores = self.text.scores(df, self.id_col) if self.text is not None and self.text.width else None
         base = df.select(self.id_col, self.split, F.col(self.target).cast("double").alias(self.target), *keep,
                          *[F.col(c).cast("double").alias(c) for c in self.num], *self.low,
                          *[c for c in self.high if c not in self.low])
@@ -84,6 +169,8 @@ class Prep:
                 base = base.withColumn(fold, F.when(F.col(self.split) == "train", train_fold).otherwise(-1))
             base = E.join_target_encoding(base, enc, cat, fold, self.te_mean, f"high_card__{cat}")
         base = base.drop("_fold")
+        if scores is not None:
+            base = base.join(scores.withColumnRenamed("doc", self.id_col), self.id_col, "left").fillna(0.0, subset=self.text.names)
         return base
 
     def transform(self, df: DataFrame, oof_train: bool = False, keep: Sequence[str] = ()) -> DataFrame:
@@ -95,7 +182,8 @@ class Prep:
 
 def fit_preprocessor(df: DataFrame, target: str = presets.TARGET, use_target_encoding: bool = True,
                      scale: bool = True, numeric: Sequence[str] | None = None,
-                     low_card: Sequence[str] | None = None, split: str = "split", id_col: str = "id") -> Prep:
+                     low_card: Sequence[str] | None = None, split: str = "split", id_col: str = "id",
+                     use_text: bool = False, text_components: int = presets.SVD_COMPONENTS) -> Prep:
     """Learn every statistic on the training part (one small job per statistic group)."""
     groups = column_roles(df, target)
     num = [c for c in (numeric if numeric is not None else groups["numeric"]) if c not in (id_col, "fold")]
@@ -142,7 +230,9 @@ def fit_preprocessor(df: DataFrame, target: str = presets.TARGET, use_target_enc
     te = {cat: materialize(E.target_encoding_table(cast, cat, target, split, id_col, st["_ymean"])) for cat in high}
     te_mean = st["_ymean"] if high else None
     names += [f"high_card__{cat}" for cat in high]
-    return Prep(num, low, high, medians, std, modes, level_table, levels, te, te_mean, names, target, id_col, split)
+    text = fit_text(df, id_col, split, text_components) if use_text else None
+    names += text.names if text is not None else []
+    return Prep(num, low, high, medians, std, modes, level_table, levels, te, te_mean, names, target, id_col, split, text)
 
 
 def prepare_matrix(df: DataFrame, target: str = presets.TARGET, use_target_encoding: bool = True,
@@ -166,26 +256,9 @@ def prepare_matrix(df: DataFrame, target: str = presets.TARGET, use_target_encod
         from leasekit.session import materialize as _mat
 
         df = _mat(df.select(*[c for c in df.columns if c in need]))
-    prep = fit_preprocessor(df, target, use_target_encoding, scale, numeric, low_card, split, id_col)
+    prep = fit_preprocessor(df, target, use_target_encoding, scale, numeric, low_card, split, id_col, use_text, text_components)
     base = prep.columns(df, oof_train=True)
     names = list(prep.names)
-
-    if use_text:
-        from leasekit.functions.text import join_text
-        from leasekit.operators import text_vectors as TV
-
-        docs = df.select(F.col(id_col).alias("_doc"), join_text("title_clean", "body_clean").alias("_text"),
-                         split)
-        tc = TV.term_counts(docs, "_doc", "_text")
-        train_docs = docs.filter(F.col(split) == "train").select(F.col("_doc").alias("doc"))
-        vocab = TV.fit_vocabulary(tc.join(train_docs, "doc", "left_semi"))
-        n_train = F.lit(train_docs.count())
-        weights = TV.tfidf(tc, vocab, n_train)
-        scores = svd_project(weights, vocab, weights.join(train_docs, "doc", "left_semi"), text_components)
-        comp = [c for c in scores.columns if c != "doc"]
-        base = base.join(scores.withColumnRenamed("doc", id_col), id_col, "left").fillna(0.0, subset=comp)
-        names += comp
-
     vec = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep")
     data = vec.transform(base).select(id_col, split, F.col(target).alias("label"), "features")
     if materialize:
@@ -195,30 +268,6 @@ def prepare_matrix(df: DataFrame, target: str = presets.TARGET, use_target_encod
     return Matrix(data, names, "label", {"prep": prep})
 
 
-def svd_project(weights: DataFrame, vocab: DataFrame, train_weights: DataFrame, k: int) -> DataFrame:
-    """E8 fit on the training documents (randomized SVD), applied to all: scores = X · V (not centred)."""
-    import numpy as np
-    from pyspark.mllib.linalg import DenseMatrix
-
-    from leasekit.operators.text_vectors import _sparse_rows, randomized_svd
-
-    train_mat, n_terms = _sparse_rows(train_weights, vocab)
-    k = max(1, min(k, n_terms - 1))
-    _, v = randomized_svd(train_mat, n_terms, k)
-    train_mat.kept.unpersist()
-    mat, _ = _sparse_rows(weights, vocab)
-    proj = mat.multiply(DenseMatrix(v.shape[0], v.shape[1], np.asarray(v).ravel(order="F").tolist()))
-    spark = weights.sparkSession
-    cols = ["doc"] + [f"text_svd_{i}" for i in range(k)]
-    scores = spark.createDataFrame(proj.rows.map(lambda r: (int(r.index), *[float(x) for x in r.vector.toArray()])),
-                                   cols)
-    from leasekit.session import materialize
-
-    scores = materialize(scores)
-    mat.kept.unpersist()
-    return scores
-
-
 # ------------------------------------------------------------------ M1–M9
 class MedianDummy:
     """M1: predicts the training median."""

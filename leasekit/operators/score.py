@@ -11,6 +11,7 @@ of failing the whole batch.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -157,6 +158,46 @@ def score(requests: DataFrame, prep, model, city_ref: DataFrame, state_ref: Data
     return interval_and_comment(pred, mae), bad
 
 
+@dataclass
+class Scorer:
+    """Everything that scoring needs, as one artifact: fitted preprocessing, model, references, defaults and the MAE that
+    widens the interval."""
+
+    prep: object
+    model: object
+    city_ref: DataFrame
+    state_ref: DataFrame
+    defaults: dict
+    mae: float
+    log_target: bool = False
+
+    def score(self, requests: DataFrame, posted_at: str | None = None) -> DataFrame:
+        """One row a request: a prediction, or (``errors`` not null) the messages of the rules that it breaks."""
+        pred, bad = score(requests, self.prep, self.model, self.city_ref, self.state_ref, self.defaults, self.mae, posted_at, self.log_target)
+        bad = bad.select("request_id", F.array_join("errors", "; ").alias("errors"))
+        return pred.unionByName(bad, allowMissingColumns=True)
+
+    def save(self, path: str) -> None:
+        from leasekit.sources.artifacts import save_model, write_json
+
+        save_model(self.prep, f"{path}/prep")
+        save_model(self.model, f"{path}/model")
+        self.city_ref.write.mode("overwrite").parquet(f"{path}/city_ref")
+        self.state_ref.write.mode("overwrite").parquet(f"{path}/state_ref")
+        write_json(self.city_ref.sparkSession, f"{path}/plain", {"defaults": self.defaults, "mae": self.mae, "log_target": self.log_target})
+
+    @classmethod
+    def load(cls, spark, path: str, model_class) -> Scorer:
+        """``model_class``: the fitted model's class (``trees.Ensemble`` or an MLlib model)."""
+        from leasekit.operators.models import Prep
+        from leasekit.operators.trees import Ensemble
+        from leasekit.sources.artifacts import load_model, read_json
+
+        plain = read_json(spark, f"{path}/plain")
+        model = load_model(model_class, f"{path}/model", spark if model_class is Ensemble else None)
+        return cls(Prep.load(spark, f"{path}/prep"), model, spark.read.parquet(f"{path}/city_ref"), spark.read.parquet(f"{path}/state_ref"), **plain)
+
+
 def model_card(run_metrics: DataFrame, model_type: str, n_features: int, spark) -> DataFrame:
     """V3: one row with model type, rounded metrics, feature count and the amenity vocabulary."""
     m = run_metrics.groupBy().pivot("metric", ["mae", "rmse", "mape", "r2", "median_ae"]).agg(F.first("value"))

@@ -83,98 +83,143 @@ def tfidf_fit_transform(docs: DataFrame, doc_id: str, text: str, min_df: int = p
     return vocab, tfidf(tc, vocab, n_docs)
 
 
-def _sparse_rows(weights: DataFrame, vocab: DataFrame):
-    """(doc x term) TF-IDF matrix as an ``IndexedRowMatrix`` of sparse rows + the number of terms."""
-    from pyspark.mllib.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
+def vocabulary_index(vocab: DataFrame) -> DataFrame:
+    """The vocabulary with ``j`` = 0, 1, … by falling corpus count (ties by term). It has at most max_features rows, so a
+    global window over it is cheap."""
     from pyspark.sql import Window
 
-    # The vocabulary has at most max_features rows, so a global window over it is cheap.
-    idx = vocab.select("term", (F.row_number().over(Window.orderBy(F.desc("cf"), F.asc("term"))) - 1).alias("j"))
-    n_terms = vocab.count()
-    rows = (weights.join(F.broadcast(idx), "term")
-            .groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("j", "weight"))).alias("e")))
-    from pyspark import StorageLevel
-
-    # The SVD makes several passes over the rows: keep them (memory, spilling to disk)
-    # instead of re-running tokenisation and weighting for every product.
-    rdd = rows.rdd.map(lambda r: IndexedRow(int(r["doc"]), Vectors.sparse(
-        n_terms, [int(x["j"]) for x in r["e"]], [float(x["weight"]) for x in r["e"]]))
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    matrix = IndexedRowMatrix(rdd)
-    matrix.kept = rdd  # matrix.rows is another wrapper each time; this one can be freed
-    return matrix, n_terms
-
-
-def _orthonormal(y):
-    """Orthonormal basis of a tall distributed matrix: Y · W Λ^-1/2 from the small Gramian YᵀY."""
-    import numpy as np
-    from pyspark.mllib.linalg import DenseMatrix
+    return vocab.withColumn("j", (F.row_number().over(Window.orderBy(F.desc("cf"), F.asc("term"))) - 1).cast("int"))
+
+
+def sparse_rows(weights: DataFrame, index: DataFrame) -> DataFrame:
+    """``doc, j, w``: the terms (numbers, rising) and weights of every document with a term; ``index`` is (term, j)."""
+    return (weights.join(F.broadcast(index.select("term", "j")), "term")
+            .groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("j", "weight"))).alias("e"))
+            .select("doc", F.col("e.j").cast("array<int>").alias("j"), F.col("e.weight").alias("w")))
 
-    g = y.computeGramianMatrix().toArray()
-    lam, w = np.linalg.eigh(g)
-    keep = lam > lam.max() * 1e-12
-    t = w[:, keep] / np.sqrt(lam[keep])
-    return y.multiply(DenseMatrix(t.shape[0], t.shape[1], t.ravel(order="F").tolist()))
 
+#: Documents whose dense rows are held at once; parts that the terms' sums are dealt to.
+_CHUNK, _PARTS = 256, 64
 
-def _at_times(a, y):
-    """Aᵀ · Y (n x l, small) with both factors distributed and aligned by row index."""
-    return a.toBlockMatrix().transpose().multiply(y.toBlockMatrix()).toLocalMatrix().toArray()
 
+def _products(batch, z):
+    """Chunks (terms, weights, owner document, documents x columns of A z) of an Arrow batch of sparse rows."""
+    import numpy as np
+
+    for a in range(0, batch.num_rows, _CHUNK):
+        b = batch.slice(a, _CHUNK)
+        j, w = (b.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("j", "w"))
+        sizes = b.column("j").value_lengths().to_numpy(zero_copy_only=False)
+        starts = np.cumsum(sizes) - sizes
+        yield b, j, w, np.repeat(np.arange(len(sizes)), sizes), np.add.reduceat(z[j] * w[:, None], starts, 0)
 
-def randomized_svd(a, n_cols: int, k: int, oversample: int = 10, power_iter: int = 4, seed: int = presets.SEED):
-    """Top-k singular triplets by a randomized range finder with power iterations.
 
-    Each step is a distributed product (A·Ω, Aᵀ·Q) or a Gramian of a tall
-    matrix; only l = k + oversample columns ever live on the driver, so the
-    number of passes over the data is 2 * (power_iter + 1), whatever its size.
+def _one_pass(rows: DataFrame, z):
+    """AᵀA z and the R factor of A z, in one distributed pass over the sparse rows.
+
+    Every task adds up its documents' part of Aᵀ(A z) by term and keeps one small R factor of its rows of A z; sums
+    are dealt by term, and R factors meet in a tree. The driver holds (terms x columns), bounded by the vocabulary.
     """
     import numpy as np
-    from pyspark.mllib.linalg import DenseMatrix
-
-    def dm(x):
-        return DenseMatrix(x.shape[0], x.shape[1], x.ravel(order="F").tolist())
-
-    rng = np.random.default_rng(seed)
-    l = min(k + oversample, n_cols)
-    y = a.multiply(dm(rng.standard_normal((n_cols, l))))
-    for _ in range(power_iter):
-        q = _orthonormal(y)
-        z, _ = np.linalg.qr(_at_times(a, q))
-        y = a.multiply(dm(z))
-    q = _orthonormal(y)
-    bt = _at_times(a, q)                        # n x l = (Qᵀ A)ᵀ
-    u_b, s, _ = np.linalg.svd(bt, full_matrices=False)
-    return s[:k], u_b[:, :k]                    # singular values, right singular vectors V (n x k)
-
-
-def truncated_svd(weights: DataFrame, vocab: DataFrame, k: int = presets.SVD_COMPONENTS,
-                  prefix: str = "text_svd_", algorithm: str = "randomized"):
-    """Top-k singular triplets of the (doc x term) TF-IDF matrix, not centred.
-
-    ``randomized`` (default, the reference's algorithm) needs a fixed number of
-    passes; ``arpack`` is exact (``IndexedRowMatrix.computeSVD``) but runs one
-    distributed product per Lanczos iteration. Scores are A·V = U·S with document
-    ids kept. Returns (scores DataFrame, singular values, V as numpy array).
+    import pyarrow as pa
+
+    n, l = z.shape
+    spark = rows.sparkSession
+    sent = spark.sparkContext.broadcast(z)
+
+    def part(batches):
+        z = sent.value
+        total, r, seen = np.zeros((n, l)), np.zeros((0, l)), np.zeros(n, bool)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            for _, j, w, owner, y in _products(batch, z):
+                order = np.argsort(j, kind="stable")
+                first = np.flatnonzero(np.append(True, np.diff(j[order]) != 0))
+                total[j[order][first]] += np.add.reduceat(y[owner[order]] * w[order][:, None], first, 0)
+                seen[j] = True
+                r = np.linalg.qr(np.vstack([r, y]), mode="r")
+        for some in np.array_split(np.flatnonzero(seen), max(1, int(seen.sum()) // 2048)):
+            yield pa.record_batch([pa.array(some % _PARTS, pa.int32()), pa.array(some, pa.int32()), pa.array([x.tobytes() for x in total[some]], pa.binary())], names=["part", "j", "x"])
+        if len(r):
+            full = np.zeros((l, l))
+            full[:len(r)] = r
+            place = hash(r.tobytes()) % 16
+            yield pa.record_batch([pa.array([-1 - place], pa.int32()), pa.array([-1], pa.int32()), pa.array([full.tobytes()], pa.binary())], names=["part", "j", "x"])
+
+    def whole(group):
+        x = np.stack([np.frombuffer(v.as_buffer()) for v in group.column("x")])
+        j = group.column("j").to_numpy()
+        if j[0] < 0:
+            r = np.linalg.qr(x.reshape(-1, l), mode="r")
+            full = np.zeros((l, l))
+            full[:len(r)] = r
+            return pa.table([group.column("part").slice(0, 1), pa.array([-1], pa.int32()), pa.array([full.tobytes()], pa.binary())], names=["part", "j", "x"])
+        order = np.argsort(j, kind="stable")
+        first = np.flatnonzero(np.append(True, np.diff(j[order]) != 0))
+        sums = np.add.reduceat(x[order], first, 0)
+        return pa.table([pa.array(np.full(len(first), group.column("part")[0].as_py()), pa.int32()), pa.array(j[order][first], pa.int32()), pa.array([v.tobytes() for v in sums], pa.binary())], names=["part", "j", "x"])
+
+    kind = "part int, j int, x binary"
+    found = rows.mapInArrow(part, kind).groupBy("part").applyInArrow(whole, kind).collect()  # a row a term, and up to 16 R factors
+    total, tops = np.zeros((n, l)), [np.zeros((l, l))]
+    for f in found:
+        x = np.frombuffer(f.x)
+        if f.j < 0:
+            tops.append(x.reshape(l, l))
+        else:
+            total[f.j] = x
+    sent.unpersist()
+    return total, np.linalg.qr(np.vstack(tops), mode="r")
+
+
+def randomized_svd(rows: DataFrame, n_terms: int, k: int, oversample: int = 10, power_iter: int = 4, seed: int = presets.SEED):
+    """Top-k singular values and right singular vectors (terms x k) of sparse rows by a randomized range finder.
+
+    With A z = Q R, AᵀQ is (AᵀA z) R⁻¹, so every power iteration is one pass and Q is never stored. Passes over the
+    data: power_iter + 1, whatever its size.
     """
     import numpy as np
-    from pyspark.mllib.linalg import DenseMatrix
-
-    mat, n_terms = _sparse_rows(weights, vocab)
-    k = max(1, min(k, n_terms - 1))
-    if algorithm == "arpack":
-        svd = mat.computeSVD(k, computeU=False)
-        s, v = svd.s.toArray(), svd.V.toArray()
-    else:
-        s, v = randomized_svd(mat, n_terms, k)
-    proj = mat.multiply(DenseMatrix(v.shape[0], v.shape[1], np.asarray(v).ravel(order="F").tolist()))
-    spark = weights.sparkSession
-    cols = ["doc"] + [f"{prefix}{i}" for i in range(k)]
-    scores = spark.createDataFrame(proj.rows.map(lambda r: (int(r.index), *[float(x) for x in r.vector.toArray()])),
-                                   cols)
+
+    z = np.random.default_rng(seed).standard_normal((n_terms, min(k + oversample, n_terms)))
+    for step in range(power_iter + 1):
+        total, r = _one_pass(rows, z)
+        u, s, _ = np.linalg.svd(r)  # R⁻¹ without directions that A z does not have
+        keep = s > s.max(initial=0) * 1e-10
+        _, sr, vt = np.linalg.svd(r, full_matrices=False)
+        bt = total @ (vt[keep].T / sr[keep]) @ u[:, :len(sr)][:, keep].T  # AᵀQ
+        if step < power_iter:
+            z, _ = np.linalg.qr(bt)
+    v, s, _ = np.linalg.svd(bt, full_matrices=False)
+    # A column's sign is that of its largest entry, so that two fits give the same.
+    v = v * np.sign(v[np.abs(v).argmax(0), np.arange(v.shape[1])])
+    return s[:k], v[:, :k]
+
+
+def project(rows: DataFrame, v, prefix: str = "text_svd_") -> DataFrame:
+    """``doc`` and the scores A·V of sparse rows; V (terms x components) is bounded by the vocabulary."""
+    import numpy as np
+    import pyarrow as pa
+
+    names = [f"{prefix}{i}" for i in range(v.shape[1])]
+    sent = rows.sparkSession.sparkContext.broadcast(np.ascontiguousarray(v))
+
+    def scores(batches):
+        for batch in batches:
+            if batch.num_rows:
+                for b, _, _, _, y in _products(batch, sent.value):
+                    yield pa.record_batch([b.column("doc"), *(pa.array(y[:, i].copy()) for i in range(len(names)))], names=["doc", *names])
+
+    kind = rows.schema["doc"].dataType.simpleString()
+    return rows.mapInArrow(scores, f"doc {kind}, " + ", ".join(f"{c} double" for c in names))
+
+
+def truncated_svd(weights: DataFrame, vocab: DataFrame, k: int = presets.SVD_COMPONENTS, prefix: str = "text_svd_"):
+    """Top-k singular triplets of the (doc x term) TF-IDF matrix, not centred. Scores are A·V = U·S with document ids
+    kept. Returns (scores DataFrame, singular values, V as numpy array)."""
     from leasekit.session import materialize
 
-    scores = materialize(scores)
-    mat.kept.unpersist()
-    return scores, s, v
+    n_terms = vocab.count()
+    rows = materialize(sparse_rows(weights, vocabulary_index(vocab)))
+    s, v = randomized_svd(rows, n_terms, max(1, min(k, n_terms - 1)))
+    return materialize(project(rows, v, prefix)), s, v

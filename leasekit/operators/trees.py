@@ -27,7 +27,7 @@ import hashlib
 import heapq
 import math
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +42,8 @@ LOCAL_BYTES = 256 << 20
 #: Rows of a block; trees of a forest in one group; bytes of trees that are sent to the tasks at once.
 BLOCK_ROWS, FOREST_BATCH, SENT_BYTES = 8192, 10, 192 << 20
 BINS = 256
+#: Rows of a level up to which the entries of all columns are sorted together.
+FEW_ROWS = 4096
 #: Values that stand for a feature while its bins are sought.
 SUMMARY = 4096
 #: After so many boosted trees the distributed way writes the predictions so far.
@@ -340,6 +342,33 @@ class Cells:
         at = gains.argmax(1)
         out.offer(gains[np.arange(len(at)), at], self.feature[at], self.code[at])
 
+    def best_of_rows(self, flat: np.ndarray, node: np.ndarray, m: int, g: np.ndarray, h: np.ndarray | None, total: np.ndarray, gain: Gain, out: Cuts) -> None:
+        """The same from few rows: their entries sorted by (node, cell), so that empty cells cost nothing."""
+        entry = np.sort((((flat + (node * self.width)[:, None]) << 22) | np.arange(len(node))[:, None]).ravel())
+        cell, row = entry >> 22, entry & ((1 << 22) - 1)
+        last = np.flatnonzero(np.append(cell[1:] != cell[:-1], True))
+        cell = cell[last]
+        here, c = cell // self.width, cell % self.width
+        column = cell - c + self.start[c]
+        begins = np.append(True, column[1:] != column[:-1])
+        first = np.append(0, last[:-1] + 1)  # of each cell
+        base = np.where(self.group[c], first, first[np.maximum.accumulate(np.where(begins, np.arange(len(cell)), 0))])
+
+        def between(w: np.ndarray) -> np.ndarray:
+            upto = np.append(0, np.cumsum(w[row].astype(np.int64)))  # whole numbers: exact over all columns
+            return (upto[last + 1] - upto[base]).astype(np.float64)
+
+        n = (last + 1 - base).astype(np.float64)
+        gains = gain.of(between(g), n if h is None else between(h), n, *(t[here] for t in total))
+        gains[self.blocked[c]] = -np.inf
+        starts = np.flatnonzero(np.append(True, here[1:] != here[:-1]))
+        top = np.maximum.reduceat(gains, starts)
+        hit = np.flatnonzero(gains == np.repeat(top, np.diff(np.append(starts, len(here)))))
+        hit = hit[np.append(True, here[hit][1:] != here[hit][:-1])]
+        best, feature, code = np.full(m, -np.inf), np.full(m, -1), np.zeros(m)
+        best[here[hit]], feature[here[hit]], code[here[hit]] = gains[hit], self.feature[c[hit]], self.code[c[hit]]
+        out.offer(best, feature, code)
+
 
 def histogram(codes: np.ndarray, node: np.ndarray, m: int, size: int, g: np.ndarray, h: np.ndarray | None) -> np.ndarray:
     """Sums (gradients, weights, rows) x node x bin."""
@@ -641,6 +670,9 @@ def _local_bins(spec, tree, rows, which, node, g, h, totals, cuts) -> None:
         which, node, g, h = which[keep], node[keep], g[keep], None if h is None else h[keep]
     if not len(which):
         return
+    if len(which) <= FEW_ROWS:
+        cells.best_of_rows(tree.flat[which], node, m, g, h, totals, tree.gain, cuts)
+        return
     sizes = lay.sizes
     for c in cells.columns:
         codes = rows.codes[c][which].astype(np.int64)
@@ -885,6 +917,20 @@ class Ensemble:
     width: int
     names: list[str] | None = field(default=None)
 
+    def save(self, path: str) -> None:
+        """The trees as Parquet, parameters as JSON."""
+        from leasekit.sources.artifacts import write_json
+
+        self.trees.write.mode("overwrite").parquet(f"{path}/trees")
+        write_json(self.trees.sparkSession, f"{path}/plain", {"spec": asdict(self.spec), "base": self.base, "width": self.width, "names": self.names})
+
+    @classmethod
+    def load(cls, spark, path: str) -> Ensemble:
+        from leasekit.sources.artifacts import read_json
+
+        plain = read_json(spark, f"{path}/plain")
+        return cls(Trees(**plain["spec"]), spark.read.parquet(f"{path}/trees"), plain["base"], plain["width"], plain["names"])
+
     def batches(self) -> Iterator[list]:
         """Trees in order, in lists of bounded size."""
         sizes = self.trees.select("tree", (F.octet_length("feature") * 7).alias("size")).orderBy("tree").collect()

@@ -285,8 +285,7 @@ def q_features(spark, d):
     df = featured(spark, d)
     for leaky in presets.LEAKY_COLUMNS:
         assert leaky not in df.columns
-    numeric, categorical = FE.feature_columns(df)
-    assert "id" not in numeric and "listing_group" not in numeric
+    assert not {"id", "listing_group"} & set(FE.column_roles(df)["numeric"])
     assert {"id", *WHOLE_FEATURES, *REAL_FEATURES, *TEXT_FEATURES} == set(df.columns), sorted(df.columns)
     return df.select("id", *[F.col(c).cast("bigint").alias(c) for c in WHOLE_FEATURES],
                      *[rnd(c, 6).alias(c) for c in REAL_FEATURES], *TEXT_FEATURES)

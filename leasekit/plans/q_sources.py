@@ -19,16 +19,20 @@ def _folder(spark, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-@query("csv_round_trip", "S1 S2", sql=lambda: S.with_lv(S.raw_lv_cte()) + "SELECT CAST(id AS VARCHAR) AS id, " + ", ".join(
-    f"CASE WHEN {c} IN {MISSING} THEN NULL ELSE {c} END AS {c}" for c in ("title", "body", "price", "amenities")) + " FROM raw_lv")
+_CSV_COLUMNS = ["id", "category", "title", "body", "amenities", "bathrooms", "bedrooms", "currency", "fee", "has_photo",
+                "pets_allowed", "price", "price_display", "price_type", "square_feet", "address", "cityname", "state",
+                "latitude", "longitude", "source", "time"]
+
+
+@query("csv_round_trip", "S1 S2", sql=lambda: S.with_lv(S.raw_lv_cte()) + "SELECT " + ", ".join(
+    f"CASE WHEN CAST({c} AS VARCHAR) IN {MISSING} THEN NULL ELSE CAST({c} AS VARCHAR) END AS {c}" for c in _CSV_COLUMNS) + " FROM raw_lv")
 def q_csv(spark, d):
-    """The export as ';'-separated Windows-1252 text, written and read with its null tokens."""
-    from leasekit.sources.delimited import read_listings_csv
+    """The export, all its columns, as ';'-separated Windows-1252 text, written and read with its null tokens."""
+    from leasekit.sources.delimited import read_listings_csv, write_listings_csv
 
     path = _folder(spark, "export")
-    rows = raw_lv(spark, d).select(F.col("id").cast("string").alias("id"), "title", "body", "price", "amenities")
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    rows.write.option("header", True).option("sep", ";").option("encoding", "windows-1252").option("escape", '"').csv(path)
+    rows = raw_lv(spark, d).select(*[F.col(c).cast("string").alias(c) for c in _CSV_COLUMNS])
+    write_listings_csv(rows, path)
     return read_listings_csv(spark, path, columns=rows.columns)
 
 

@@ -81,9 +81,10 @@ def test_strip_prices_probes(spark):
 
 def test_feature_discovery_excludes_service_columns(featured):
     grouped = SP.add_listing_group(featured)
-    numeric, categorical = FE.feature_columns(grouped)
-    assert "listing_group" not in numeric + categorical
-    assert "id" not in numeric + categorical
+    roles = FE.column_roles(grouped)
+    used = {c for columns in roles.values() for c in columns}
+    assert not used & {"listing_group", "id"}
+    assert {"square_feet", "am_pool"} <= set(roles["numeric"]) and roles["high_card"] == ["cityname", "state"] or roles["high_card"] == ["state", "cityname"]
 
 
 def test_split_proportions_and_leakage(featured):
