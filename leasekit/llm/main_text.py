@@ -10,8 +10,10 @@ it, and what is in ``main`` besides; without those, what is around it up to the
 ``article`` are left out only if their path is mostly links, and, without ``main``, if they lie in a ``div`` at the top of the
 page with neither a content path nor a sentence's punctuation.
 
-Elements that are never article text are left out first: scripts, styles, forms, navigation and the like by their tag
-or role, and menus, sidebars, notices, adverts or reader comments by the words of their class or id.
+Elements that are never article text are left out first: scripts, styles, buttons, navigation and the like by their tag
+or role, and menus, sidebars, notices, adverts or reader comments by the words of their class or id (of elements that hold
+others; a paragraph or heading is not left out for its class). A form is left out if it has under ``FORM_TEXT`` characters of
+text for each control to fill in; a page that lies in one form as a whole stays.
 """
 
 from __future__ import annotations
@@ -46,13 +48,18 @@ ENDS = {
 CONTAINERS = frozenset("body main article section div center td".split())
 #: What a container's number says of it, in its last two bits: its own text counts like the page's (section, td), main, article.
 KINDS = {"section": 1, "td": 1, "main": 2, "article": 3}
-BOILERPLATE = frozenset("head nav aside footer form menu dialog fieldset search".split())
+BOILERPLATE = frozenset("head nav aside footer menu dialog search".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 WORDS = frozenset(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs footer foot sidebar aside ad ads adv advert adverts advertisement advertisements advertising banner sponsor sponsored "
     "promo promotion cookie cookies consent gdpr notice notices notification notifications alert popup modal overlay newsletter subscribe subscription signup signin login register share "
     "sharing social related recommended recommendations pagination pager toolbar widget widgets comment comments reply replies respond disqus copyright legal skip masthead topbar".split()
 )
+#: Elements whose class and id words say nothing; what is pressed or names a control; what is filled in.
+PLAIN = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr td th blockquote pre figure figcaption caption address".split())
+CAPTIONS = frozenset(("button", "label"))
+CONTROLS = frozenset("input select textarea".split())
+FORM_TEXT = 200
 COMMENTS = frozenset("comment comments reply replies respond disqus".split())
 HEADER = frozenset(("header", "masthead", "head"))
 
@@ -87,7 +94,7 @@ def _marked(tag: str, attributes: str) -> tuple[bool, bool, str]:
                 negated = len(pieces) > 1 and pieces[0] in ("no", "has", "with", "without", "is")
                 ends = set() if negated else {pieces[0], pieces[-1]}
                 header |= bool(ends & HEADER)
-                bad |= bool(ends & (COMMENTS if tag == "article" else WORDS - HEADER))
+                bad |= tag not in PLAIN and bool(ends & (COMMENTS if tag == "article" else WORDS - HEADER))
     if tag in ("html", "body", "main"):
         bad = header = False
     return bad, header, label
@@ -102,13 +109,18 @@ def blocks(html: str) -> list[tuple[str, tuple[int, ...], int, int]]:
     elements = 1
     text: list[str] = []
     links, linked = 0, 0
+    forms: list[list[int]] = []  # characters and controls of each form
+    form, form_of = -1, []  # the open form, and that of each block
 
     def flush() -> None:
         nonlocal linked
         if text:
             joined = " ".join(unescape("".join(text)).split())
             text.clear()
+            if joined and form >= 0:
+                forms[form][0] += len(joined) - min(linked, len(joined))
             if joined and not (stack and stack[-1][3]):
+                form_of.append(form)
                 out.append((joined, (0, *(s[1] for s in stack if s[1])), stack[-1][2] if stack else -1, linked))
         linked = 0
 
@@ -126,6 +138,13 @@ def blocks(html: str) -> list[tuple[str, tuple[int, ...], int, int]]:
         if m[2] is None or not m[4]:  # comments and the like; a tag cut off by the page's end
             continue
         tag, closing = m[2].lower(), bool(m[1])
+        if form >= 0 and not closing and tag in CONTROLS and "hidden" not in m[3].lower():
+            forms[form][1] += 1
+        if tag in CAPTIONS and not closing:
+            if close := re.compile(rf"</{tag}\b[^>]*>?", re.I).search(html, at):
+                at = close.end()
+            text.append(" ")
+            continue
         if tag in RAW:
             if not closing and not m[3].endswith("/"):
                 close = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(html, at)
@@ -139,6 +158,12 @@ def blocks(html: str) -> list[tuple[str, tuple[int, ...], int, int]]:
         if tag not in BLOCK:
             continue
         flush()
+        if tag == "form":
+            if not closing and form < 0:
+                forms.append([0, 0])
+                form = len(forms) - 1
+            elif closing:
+                form = -1
         if closing:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
@@ -166,7 +191,7 @@ def blocks(html: str) -> list[tuple[str, tuple[int, ...], int, int]]:
         elements += container
         links = 0
     flush()
-    return out
+    return [b for b, f in zip(out, form_of) if f < 0 or forms[f][0] >= FORM_TEXT * max(forms[f][1], 1)]
 
 
 def content(found: list[tuple[str, tuple[int, ...], int, int]]) -> list[str]:
