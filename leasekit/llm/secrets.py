@@ -5,6 +5,8 @@ characters that a tiktoken vocabulary needs many tokens for (under ``MAX_RATIO``
 since ordinary words, numbers and names merge into longer tokens. Not counted: known digests (hexadecimal of the usual
 digest lengths, UUIDs), identifiers (runs with under half of ``MIN_RUN`` characters in parts between separators that are themselves inefficient
 under the vocabulary; a part of one token is efficient), runs of few different characters, and what a base span covers.
+A run with words beside a key, as a path or a dotted name, is efficient as a whole; there the ratio is taken of each longest
+stretch of inefficient parts (parts of up to three characters may lie between), and the span is that stretch.
 """
 
 from __future__ import annotations
@@ -30,7 +32,10 @@ _HINTS = ("passw", "secret", "token", "api")
 
 MIN_RUN, MAX_RATIO = 20, 2.0
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_RUN)
-_RUN_BYTES = bytes(int(chr(b).isalnum() and b < 128 or chr(b) in "+/_=-") for b in range(256))
+#: Runs in which stretches are looked for: dots belong to them.
+DOTTED = re.compile(r"[A-Za-z0-9+/_=.-]{%d,}" % MIN_RUN)
+_PART = re.compile(r"[A-Za-z0-9]+")
+_RUN_BYTES = bytes(int(chr(b).isalnum() and b < 128 or chr(b) in "+/_=.-") for b in range(256))
 #: Hexadecimal lengths of usual digests: fixed values.
 DIGESTS = (32, 40, 56, 64, 96, 128)
 _HEX_ONLY = re.compile(r"[0-9a-fA-F]+")
@@ -49,8 +54,34 @@ def _tokens(path: str):
     return lambda text: len(coder.encode_ordinary(text))
 
 
+def _known(run: str) -> bool:
+    return bool(_HEX_ONLY.fullmatch(run) and len(run) in DIGESTS or _UUID.fullmatch(run)) or len(set(run)) < 8
+
+
+def stretches(run: str, tokens) -> list[tuple[int, int]]:
+    """Start and end of the random stretches of a run: consecutive inefficient parts, MIN_RUN characters at least."""
+    found, begin, end = [], -1, -1
+    uuids = [m.span() for m in _UUID.finditer(run)]
+
+    def close() -> None:
+        if begin >= 0 and end - begin >= MIN_RUN and not _known(run[begin:end]) and end - begin < MAX_RATIO * tokens(run[begin:end]):
+            found.append((begin, end))
+
+    for m in _PART.finditer(run):
+        inside = any(a <= m.start() < b for a, b in uuids)
+        n = 0 if inside or _HEX_ONLY.fullmatch(m[0]) and len(m[0]) in DIGESTS else tokens(m[0])
+        if n > 1 and len(m[0]) < MAX_RATIO * n:
+            begin = m.start() if begin < 0 else begin
+            end = m.end()
+        elif inside or len(m[0]) > 3:
+            close()
+            begin = -1
+    close()
+    return found
+
+
 def is_random(run: str, tokens) -> bool:
-    if _HEX_ONLY.fullmatch(run) and len(run) in DIGESTS or _UUID.fullmatch(run) or len(set(run)) < 8:
+    if _known(run) or len(_UUID.sub("", run)) < MIN_RUN:
         return False
     odd = 0
     for part in _SEPARATORS.split(run):
@@ -73,9 +104,12 @@ def scan(text: str, tokens, long_run: bool = True) -> list[tuple[int, int, int]]
             spans += [(m.start(), m.end(), 1) for m in ACCESS.finditer(text) if m.end() - m.start() >= MIN_ACCESS]
         spans += [(m.start(), m.end(), 2) for m in HEX.finditer(text)]
         base = sorted(spans)
-        for m in RUN.finditer(text):
-            if not any(s <= m.start() and m.end() <= e for s, e, _ in base) and is_random(m[0], tokens):
-                spans.append((m.start(), m.end(), 3))
+        covered = lambda a, b: any(s <= a and b <= e for s, e, _ in base)
+        for d in DOTTED.finditer(text):
+            whole = [m.span() for m in RUN.finditer(text, d.start(), d.end()) if not covered(*m.span()) and is_random(m[0], tokens)]
+            parts = [(d.start() + a, d.start() + b) for a, b in stretches(d[0], tokens)]
+            parts = [p for p in parts if not covered(*p) and not any(a < p[1] and p[0] < b for a, b in whole)]
+            spans += [(a, b, 3) for a, b in whole + parts]
     return sorted(spans, key=lambda x: (x[0], x[2]))
 
 
