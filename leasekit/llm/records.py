@@ -33,8 +33,8 @@ POLYNOMIAL = 0x82F63B78
 MASK_DELTA = 0xA282EAD8
 #: Words of 16 bits that one lane of the checksum handles.
 LANE = 256
-INDEX = "file string, record int, at long, n_tokens long, start_in_file long, doc_id long"
-_INDEX_ARROW = pa.schema([("file", pa.string()), ("record", pa.int32()), ("at", pa.int64()), ("n_tokens", pa.int64()), ("start_in_file", pa.int64()), ("doc_id", pa.int64())])
+INDEX = "file string, record int, at long, n_tokens long, start_in_file long, doc_id long, width int"
+_INDEX_ARROW = pa.schema([("file", pa.string()), ("record", pa.int32()), ("at", pa.int64()), ("n_tokens", pa.int64()), ("start_in_file", pa.int64()), ("doc_id", pa.int64()), ("width", pa.int32())])
 _RESULT_ARROW = pa.schema([("file", pa.string()), ("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
 
@@ -175,7 +175,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
                 n = batch.num_rows
                 yield pa.record_batch([
                     pa.array([name] * n), pa.array(np.arange(records, records + n, dtype=np.int32)), pa.array(at + place), pa.array(sizes.astype(np.int64)),
-                    pa.array(ids_before + np.cumsum(sizes) - sizes), batch.column("doc_id").cast(pa.int64())], schema=_INDEX_ARROW)
+                    pa.array(ids_before + np.cumsum(sizes) - sizes), batch.column("doc_id").cast(pa.int64()), pa.array([dtype.itemsize] * n, pa.int32())], schema=_INDEX_ARROW)
                 place, records, ids_before = place + len(raw), records + n, ids_before + int(sizes.sum())
         finally:
             if out is not None:
@@ -187,7 +187,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     return docs.sparkSession.read.schema(INDEX).parquet(f"{folder}/index")
 
 
-def read_records(index: DataFrame, folder: str, wide: bool = False) -> DataFrame:
+def read_records(index: DataFrame, folder: str) -> DataFrame:
     """Read back the records that ``index`` names, check them, and return ``doc_id, start, n_tokens, ids_crc32``.
 
     ``start`` counts the ids of all files before (one total for each file: bounded by the number of files) and of
@@ -200,10 +200,10 @@ def read_records(index: DataFrame, folder: str, wide: bool = False) -> DataFrame
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, top = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
-        dtype = np.dtype("<u4" if wide else "<u2")
         for batch in batches:
             if not batch.num_rows:
                 continue
+            dtype = np.dtype(f"<u{batch.column('width')[0].as_py()}")  # the same in the whole index
             names = np.array(batch.column("file").to_pylist())
             at, sizes = (batch.column(c).to_numpy().astype(np.int64) for c in ("at", "n_tokens"))
             # Neighbours in one file are fetched together, about 4 MB at once.
