@@ -239,13 +239,14 @@ def limits(every: DataFrame, held_out: DataFrame, quantile: float, fence: float
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, fence: float = 0.0) -> DataFrame:
     """``docs`` (with text, lang, doc_id and any further columns) plus ``lm_perplexity`` (2 ** bits per byte),
-    ``lm_threshold`` and ``lm_kept``.
+    ``lm_threshold`` and ``lm_kept``; columns of ``docs`` with these three names give way.
 
     Null or empty texts have no perplexity and are not kept. Labels with a null id or quality count as no label; a label
     given twice counts if every row of it is good. With no trusted text at all, every text with a byte is kept. A null
     language is a language of its own. Repeated rows stay; an empty table gives an empty result.
     """
-    spark = docs.sparkSession
+    spark, given = docs.sparkSession, docs.columns
+    docs, _ = hidden(docs, ["doc_id", "lang", "text"])
     trusted = labels.where("doc_id is not null").groupBy(F.col("doc_id").alias("lm_id")).agg(F.min((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).alias("good")).where("good").select("lm_id")
     trusted = written(trusted, "trusted")
     ids = F.broadcast(trusted) if trusted.count() <= BROADCAST_IDS else trusted
@@ -261,10 +262,11 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, fence:
     # Without held-out texts there is no limit; with them, a language without one has no text but what was trained on.
     most = F.coalesce("lm_limit", F.lit(float("inf")))
     out = out.withColumns({"lm_perplexity": F.pow(F.lit(2.0), bits), "lm_threshold": F.pow(F.lit(2.0), most), "lm_kept": F.coalesce(bits <= most, F.lit(False))})
-    return out.drop("lm_bits", "lm_bytes", "lm_lang", "lm_limit")
+    own = ["lm_perplexity", "lm_threshold", "lm_kept"]
+    return out.select(*(F.col(n).alias(c) for c, n in zip(given, docs.columns) if c not in own), *own)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, fence: float = 0.0) -> DataFrame:
     """``docs`` without the documents that :func:`classify` does not keep."""
-    inner, restore = hidden(docs, ["doc_id", "lang", "text"])
+    inner, restore = hidden(docs, ["doc_id", "lang", "text"])  # columns named as classify's own stay as they are
     return restore(classify(inner, labels, quantile, fence).where("lm_kept"))
