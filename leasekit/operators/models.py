@@ -58,13 +58,16 @@ class Text:
     def names(self) -> list[str]:
         return [f"text_svd_{i}" for i in range(self.width)]
 
-    def scores(self, df: DataFrame, id_col: str) -> DataFrame:
-        """``doc`` and its components, for documents that have a known term."""
+    def key(self):
+        return F.md5(join_text(*self.columns))
+
+    def scores(self, df: DataFrame) -> DataFrame:
+        """``doc`` (a text's key) and its components, for different texts that have a known term."""
         import numpy as np
 
         from leasekit.operators import text_vectors as TV
 
-        docs = df.select(F.col(id_col).alias("_doc"), join_text(*self.columns).alias("_text"))
+        docs = df.select(self.key().alias("_doc"), join_text(*self.columns).alias("_text")).dropDuplicates(["_doc"])
         weights = TV.tfidf(TV.term_counts(docs, "_doc", "_text"), self.vocab, F.lit(self.documents))
         held = self.vocab.orderBy("j").select("v").collect()  # at most max_features rows
         v = np.array([r.v for r in held], float).reshape(-1, self.width)
@@ -149,8 +152,9 @@ class Prep:
 
     def columns(self, df: DataFrame, oof_train: bool = False, keep: Sequence[str] = ()) -> DataFrame:
         """Encoded feature columns (before vector assembly); ``keep`` columns pass through."""
-        scores = self.text.scores(df, self.id_col) if self.text is not None and self.text.width else None
-        base = df.select(self.id_col, self.split, F.col(self.target).cast("double").alias(self.target), *keep,
+        with_text = self.text is not None and self.text.width
+        scores = self.text.scores(df) if with_text else None
+        base = df.select(*([self.text.key().alias("_text_key")] if with_text else []), self.id_col, self.split, F.col(self.target).cast("double").alias(self.target), *keep,
                          *[F.col(c).cast("double").alias(c) for c in self.num], *self.low,
                          *[c for c in self.high if c not in self.low])
         base = E.apply_fill(base, self.medians, self.num)
@@ -170,7 +174,7 @@ class Prep:
             base = E.join_target_encoding(base, enc, cat, fold, self.te_mean, f"high_card__{cat}")
         base = base.drop("_fold")
         if scores is not None:
-            base = base.join(scores.withColumnRenamed("doc", self.id_col), self.id_col, "left").fillna(0.0, subset=self.text.names)
+            base = base.join(scores.withColumnRenamed("doc", "_text_key"), "_text_key", "left").drop("_text_key").fillna(0.0, subset=self.text.names)
         return base
 
     def transform(self, df: DataFrame, oof_train: bool = False, keep: Sequence[str] = ()) -> DataFrame:
