@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from leasekit import presets
 from leasekit.functions.numeric import to_number, unix_seconds_to_timestamp
 from leasekit.functions.text import trim_all
+from leasekit.operators.distinct import distinct_values
 from leasekit.operators.ranking import exact_quantiles
 
 
@@ -177,9 +178,9 @@ def clean_audit(df: DataFrame, key: str = "id", order: Sequence[str] = (),
     Returns ``(step_no, step, rows_removed, rows_after)``.
     """
     bounds = bounds or DEFAULT_BOUNDS
-    raw = df.agg(F.count(F.lit(1)).alias("n_raw"),
-                 F.count_distinct(F.struct(*df.columns)).alias("n_distinct"),
-                 (F.count_distinct(F.col(key)) + F.max(F.col(key).isNull().cast("int"))).alias("n_ids"))
+    # Null is an id too.
+    raw = distinct_values(df, {"rows": df.columns, "ids": [key]}, whole=("rows", "ids")).select(
+        F.col("n").alias("n_raw"), F.col("distinct_rows").alias("n_distinct"), F.col("distinct_ids").alias("n_ids"))
     typed = (drop_duplicates(df, key, order).transform(cast_types)
              .transform(normalize_price_units))
     no_target = F.col(target).isNull()

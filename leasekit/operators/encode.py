@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from leasekit import presets
 from leasekit.functions.hashing import bucket
+from leasekit.operators.ranking import exact_quantiles
 
 
 def _train(df: DataFrame, split: str | None, part: str = "train") -> DataFrame:
@@ -25,9 +26,12 @@ def _train(df: DataFrame, split: str | None, part: str = "train") -> DataFrame:
 # ----------------------------------------------------------------------- E1
 def fit_median(df: DataFrame, columns: Sequence[str], split: str | None = "split",
                approx: bool = False) -> DataFrame:
+    """One row of medians; exact ones are selected from range-sorted counts, so no task holds a column."""
     src = _train(df, split)
-    return src.agg(*[(F.percentile_approx(c, 0.5, 10000) if approx else F.median(c)).cast("double").alias(c)
-                     for c in columns])
+    if approx:
+        return src.agg(*[F.percentile_approx(c, 0.5, 10000).cast("double").alias(c) for c in columns])
+    found = exact_quantiles(src.select(*columns), columns, [0.5])
+    return df.sparkSession.range(1).select(*[F.lit(found[c][0]).cast("double").alias(c) for c in columns])
 
 
 def _one_row(stats: DataFrame) -> dict:

@@ -11,43 +11,45 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leasekit.operators.ranking import exact_quantiles
+from leasekit.operators.ranking import exact_quantiles, grouped_quantiles, null_safe
 
 METRICS = ["mae", "rmse", "mape", "r2", "median_ae"]
 
 
-def metric_columns(y: str | Column, p: str | Column, approx_median: bool = False) -> list[Column]:
+def mean_columns(y: str | Column, p: str | Column) -> list[Column]:
+    """The metrics that are means and sums; the median of the errors is found apart."""
     y = F.col(y) if isinstance(y, str) else y
     p = F.col(p) if isinstance(p, str) else p
     e = y - p
-    med = F.percentile_approx(F.abs(e), 0.5, 10000) if approx_median else F.median(F.abs(e))
     return [
         F.avg(F.abs(e)).alias("mae"),
         F.sqrt(F.avg(e * e)).alias("rmse"),
         (F.avg(F.abs(F.try_divide(e, y))) * 100).alias("mape"),
         (F.lit(1.0) - F.try_divide(F.sum(e * e), F.var_pop(y) * F.count(y))).alias("r2"),
-        med.cast("double").alias("median_ae"),
     ]
 
 
 def compute_metrics(df: DataFrame, y: str = "y", p: str = "prediction",
                     group: str | Sequence[str] | None = None, approx_median: bool = False) -> DataFrame:
-    """MAE, RMSE, MAPE %, R², median absolute error (one row, or one per group).
+    """MAE, RMSE, MAPE %, R², median absolute error (one row, or one per group; null is a group).
 
-    Without groups the median is exact and no task holds the errors; the predictions are written once for it. Grouped
-    exact medians hold a group's different errors in one task: ``approx_median`` bounds that.
+    The medians are exact and no task holds the errors, of all rows or of a group; the predictions are written once for
+    them. ``approx_median`` takes one pass instead.
     """
-    cols = metric_columns(y, p, approx_median)
-    if group is None and not approx_median:
-        from leasekit.session import materialize
-
-        rows = materialize(df.select(F.col(y).alias("y"), F.col(p).alias("p")))
-        median = exact_quantiles(rows.select(F.abs(F.col("y") - F.col("p")).alias("e")), ["e"], [0.5])["e"][0]
-        return rows.agg(*metric_columns("y", "p", True)[:-1], F.lit(median).cast("double").alias("median_ae"))
-    if group is None:
-        return df.agg(*cols)
-    groups = [group] if isinstance(group, str) else list(group)
-    return df.groupBy(*groups).agg(*cols)
+    groups = [] if group is None else [group] if isinstance(group, str) else list(group)
+    if approx_median:
+        median = F.percentile_approx(F.abs(F.col(y) - F.col(p)), 0.5, 10000).cast("double").alias("median_ae")
+        return df.groupBy(*groups).agg(*mean_columns(y, p), median)
+    from leasekit.session import materialize
+
+    rows = materialize(df.select(*groups, F.col(y).alias("_y"), F.col(p).alias("_p")))
+    means = rows.groupBy(*groups).agg(*mean_columns("_y", "_p"))
+    errors = rows.select(*groups, F.abs(F.col("_y") - F.col("_p")).alias("_e"))
+    if not groups:
+        median = exact_quantiles(errors, ["_e"], [0.5])["_e"][0]
+        return means.withColumn("median_ae", F.lit(median).cast("double"))
+    medians = grouped_quantiles(errors, groups, ["_e"], [0.5])
+    return null_safe(means, medians, groups).withColumn("median_ae", F.col("_e")[0]).drop("_e")
 
 
 def metrics_long(wide: DataFrame, model_col: str = "model") -> DataFrame:

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from leasekit import presets
 from leasekit.functions.numeric import skewness_unbiased
 from leasekit.functions.text import split_multi
-from leasekit.operators.ranking import exact_quantiles
+from leasekit.operators.distinct import distinct_values
+from leasekit.operators.ranking import exact_quantiles, grouped_quantiles, null_safe
 
 
 def safe_corr(x: Column, y: Column) -> Column:
@@ -48,18 +49,26 @@ def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFram
 # ----------------------------------------------------------------------- A2
 def missing_report(df: DataFrame, columns: Sequence[str] | None = None,
                    approx_distinct: bool = False) -> DataFrame:
-    """Per column: n_missing, pct_missing (2 dp, half-even), dtype, n_unique."""
+    """Per column: n_missing, pct_missing (2 dp, half-even), dtype, n_unique.
+
+    All columns are counted in one pass over (column, value) pairs, which map tasks deduplicate
+    (``approx_distinct``: one sketch for each column instead).
+    """
     columns = list(columns or df.columns)
     dtypes = dict(df.dtypes)
-    distinct = F.approx_count_distinct if approx_distinct else F.count_distinct
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for i, c in enumerate(columns):
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"m{i}"))
-        aggs.append(distinct(F.col(c)).alias(f"u{i}"))
-    wide = df.agg(*aggs)
+    if approx_distinct:
+        aggs = [F.count(F.lit(1)).alias("_n")]
+        for i, c in enumerate(columns):
+            aggs.append(F.count_if(F.col(c).isNull()).alias(f"m{i}"))
+            aggs.append(F.approx_count_distinct(F.col(c)).alias(f"u{i}"))
+        wide = df.agg(*aggs)
+    else:
+        wide = distinct_values(df, {str(i): [c] for i, c in enumerate(columns)}).select(
+            F.col("n").alias("_n"), *[F.col(f"null_{i}").alias(f"m{i}") for i in range(len(columns))],
+            *[F.col(f"distinct_{i}").alias(f"u{i}") for i in range(len(columns))])
     return _rows(wide, [
         F.struct(F.lit(c).alias("column"), F.col(f"m{i}").cast("bigint").alias("n_missing"),
-                 F.bround(100.0 * F.col(f"m{i}") / F.col("_n"), 2).alias("pct_missing"),
+                 F.bround(F.try_divide(100.0 * F.col(f"m{i}"), F.col("_n")), 2).alias("pct_missing"),
                  F.lit(dtypes[c]).alias("dtype"), F.col(f"u{i}").cast("bigint").alias("n_unique"))
         for i, c in enumerate(columns)])
 
@@ -98,11 +107,21 @@ def describe(df: DataFrame, columns: Sequence[str],
 # ------------------------------------------------------------------------ A9
 def group_median_top(df: DataFrame, group: str = "state", value: str = presets.TARGET,
                      min_count: int = 100, top: int = 20, approx: bool = False) -> DataFrame:
-    """Median per group with HAVING count >= min_count, top n by median."""
-    med = F.percentile_approx(value, 0.5, 10000) if approx else F.median(value)
-    return (df.groupBy(group).agg(med.cast("double").alias("median_price"),
-                                  F.count(F.lit(1)).alias("n"))
-              .filter(F.col("n") >= min_count)
+    """Median per group with HAVING count >= min_count, top n by median.
+
+    Exact medians are selected from range-sorted counts: no task holds a group (``approx``: a sketch for each group).
+    """
+    n = F.count(F.lit(1)).alias("n")
+    if approx:
+        by_group = df.groupBy(group).agg(F.percentile_approx(value, 0.5, 10000).cast("double").alias("median_price"), n)
+    else:
+        from leasekit.session import materialize
+
+        rows = materialize(df.select(F.col(group).alias(group), F.col(value).alias("_value")))
+        medians = grouped_quantiles(rows, [group], ["_value"], [0.5])
+        by_group = null_safe(rows.groupBy(group).agg(n), medians, [group]).select(
+            group, F.col("_value")[0].alias("median_price"), "n")
+    return (by_group.filter(F.col("n") >= min_count)
               .orderBy(F.desc("median_price"), F.asc(group)).limit(top))
 
 
@@ -163,8 +182,11 @@ def token_counts(df: DataFrame, column: str, sep: str = ",") -> DataFrame:
 
 # ----------------------------------------------------------------------- A15
 def distinct_counts(df: DataFrame, columns: Sequence[str], approx: bool = False) -> DataFrame:
-    fn = F.approx_count_distinct if approx else F.count_distinct
-    return df.agg(*[fn(c).alias(f"n_{c}") for c in columns])
+    """One row with the number of different non-null values of each column, from one pass."""
+    if approx:
+        return df.agg(*[F.approx_count_distinct(c).alias(f"n_{c}") for c in columns])
+    found = distinct_values(df, {str(i): [c] for i, c in enumerate(columns)})
+    return found.select(*[F.col(f"distinct_{i}").alias(f"n_{c}") for i, c in enumerate(columns)])
 
 
 # ----------------------------------------------------------------------- A16
@@ -172,16 +194,13 @@ def duplicate_audit(df: DataFrame, key: str = "id",
                     key_sets: dict[str, Sequence[str]] | None = None) -> DataFrame:
     """Full-row duplicates, repeated ids and per-key-set duplicates, with % of rows."""
     key_sets = key_sets or {"dedup_keys": presets.DEDUP_KEYS}
-    aggs = [F.count(F.lit(1)).alias("n"),
-            F.count_distinct(F.struct(*df.columns)).alias("d_rows"),
-            F.count_distinct(F.col(key)).alias("d_key")]
-    for name, cols in key_sets.items():
-        aggs.append(F.count_distinct(F.struct(*cols)).alias(f"d_{name}"))
-    wide = df.agg(*aggs)
+    found = distinct_values(df, {"rows": df.columns, "key": [key], **{f"set_{n}": c for n, c in key_sets.items()}}, whole=("rows", *[f"set_{n}" for n in key_sets]))
+    wide = found.select("n", F.col("distinct_rows").alias("d_rows"), F.col("distinct_key").alias("d_key"),
+                        *[F.col(f"distinct_set_{n}").alias(f"d_{n}") for n in key_sets])
     kinds = [("full_rows", "d_rows"), (key, "d_key")] + [(n, f"d_{n}") for n in key_sets]
     return _rows(wide, [
         F.struct(F.lit(kind).alias("kind"), (F.col("n") - F.col(d)).cast("bigint").alias("n_duplicates"),
-                 F.round(100.0 * (F.col("n") - F.col(d)) / F.col("n"), 4).alias("pct"))
+                 F.round(F.try_divide(100.0 * (F.col("n") - F.col(d)), F.col("n")), 4).alias("pct"))
         for kind, d in kinds])
 
 
