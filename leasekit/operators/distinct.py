@@ -50,20 +50,23 @@ def distinct_values(df: DataFrame, sets: dict[str, Sequence[str]], whole: Sequen
     map tasks deduplicate them, and what is left is shuffled once, as numbers or short texts: a long text counts by its
     SHA-256 digest. No wide row is grouped and the input is read once. An empty table gives zeros.
     """
-    pairs = []
+    whole_text, columns_of, pairs = {}, {}, []
     for i, (name, columns) in enumerate(sets.items()):
-        number = real = text = F.lit(None)
         kind, c = df.schema[columns[0]].dataType, F.col(columns[0])
         if len(columns) > 1 or name in whole:
-            text = _short(_row_text(df, columns))
+            whole_text[f"_t{i}"] = _row_text(df, columns)
         elif isinstance(kind, _WHOLE):
-            number = c
+            columns_of[f"_l{i}"] = c.cast("long")
         elif isinstance(kind, (T.FloatType, T.DoubleType)):
-            real = c
+            columns_of[f"_d{i}"] = c.cast("double")
         else:
-            text = _short(_text(c, kind))
-        pairs.append(F.struct(F.lit(i).alias("k"), number.cast("long").alias("l"), real.cast("double").alias("d"), text.cast("string").alias("t")))
-    rows = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
+            whole_text[f"_t{i}"] = _text(c, kind)
+        of = lambda at, as_type: F.col(at) if at in columns_of or at in whole_text else F.lit(None).cast(as_type)
+        pairs.append(F.struct(F.lit(i).alias("k"), of(f"_l{i}", "long").alias("l"), of(f"_d{i}", "double").alias("d"), of(f"_t{i}", "string").alias("t")))
+    # Each text is made once, then shortened.
+    plain = df.select(*[c.alias(n) for n, c in {**columns_of, **whole_text}.items()])
+    plain = plain.select(*columns_of, *[_short(F.col(t)).alias(t) for t in whole_text])
+    rows = plain.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
     values = rows.groupBy("k", "l", "d", "t").agg(F.count("*").alias("n"))
     empty = F.col("l").isNull() & F.col("d").isNull() & F.col("t").isNull()
     by_set = values.groupBy("k").agg(F.sum("n").alias("n"), F.count_if(~empty).alias("values"),
