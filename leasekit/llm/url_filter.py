@@ -5,17 +5,15 @@ that fits decides.
 
 *Template tree.* For URLs without a rule, each host has a tree of path segments. Segments are typed first (numbers,
 hexadecimal ids, also before a file ending). URLs are then counted by (host, typed path) with their labels, and all
-work goes on over that table, level by level for all hosts at once:
+work goes on over that table, in rounds for all hosts at once:
 
-* a branch whose share of bad labels differs significantly from the rest of its node's (two-proportion z-test) keeps its
-  name, whatever the number of branches;
-* all others are merged: into the wildcard ``*`` in a node with more than ``MAX_BRANCHES`` different segments (a variable
-  segment), else into one branch ``~``. With so many branches some differ by chance, and few labels each make the z-test
-  rough, so there a branch must also pass an exact bound on the tail of its count of bad labels (Chernoff), divided by the
-  number of branches.
-
-The tree has as many levels as the longest path. A path that is alone in its node has no branches further on, so it gets
-the rest of its template at once and takes no part in deeper levels.
+* what all paths of a node have in common is taken over at once, up to the first place where two of them differ: the
+  smallest path (with an end after all segments) and the largest one differ there. So rounds follow the depth of
+  branchings, not that of paths; a path that is alone in its node, or ends before that place, is done;
+* a branch whose share of bad labels differs significantly from the rest of its node's keeps its name; all others are
+  merged into the wildcard ``*`` (a variable segment). One rule holds for any number of branches: a two-proportion z-test,
+  and an exact bound on the tail of the branch's count of bad labels (Chernoff), multiplied by the number of branches, as
+  with more branches some differ by chance.
 
 Counts are sums by (host, prefix, segment), so a host with a third of all URLs is never gathered in one task.
 
@@ -30,8 +28,8 @@ from pyspark.sql import functions as F
 
 from leasekit.llm.common import written
 
-MAX_BRANCHES, Z, SMOOTHING, BLOCK_AT = 12, 1.96, 10.0, 0.5
-#: Chance that a node with more than MAX_BRANCHES keeps any branch that does not really differ.
+Z, SMOOTHING, BLOCK_AT = 1.96, 10.0, 0.5
+#: Chance that a node keeps any branch that does not really differ.
 FALSE_BRANCHES = 0.05
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -70,37 +68,47 @@ def _differs(branches: Column, bl: Column, bb: Column, nl: Column, nb: Column) -
     rest = (rest_b + 1) / (rest_l + 2)
     part = lambda k, p: F.when(k > 0, k * F.log(k / (bl * p))).otherwise(0.0)
     sure = part(bb, rest) + part(bl - bb, 1 - rest) >= F.log(2 * branches / FALSE_BRANCHES)
-    return F.coalesce((z >= Z) & ((branches <= MAX_BRANCHES) | sure), F.lit(False))
+    return F.coalesce((z >= Z) & sure, F.lit(False))
+
+
+def _first_branching(now: DataFrame) -> DataFrame:
+    """``host, template, at`` of each node: the place in ``rest`` where its paths first differ, -1 if nowhere."""
+    step = lambda end, s: F.struct(F.lit(end).alias("end"), s.alias("s"))
+    ending = F.concat(F.transform("rest", lambda s: step(False, s)), F.array(step(True, F.lit(""))))
+    low, high = F.transform(F.filter(F.min(ending), lambda x: ~x["end"]), lambda x: x["s"]), F.max("rest")
+    unlike = F.zip_with(low, high, lambda a, b: F.coalesce(a != b, F.lit(False)))
+    return now.groupBy("host", "template").agg((F.array_position(unlike, True) - 1).cast("int").alias("at"))
 
 
 def templates(counted: DataFrame) -> DataFrame:
     """``host, typed, template`` of the different typed paths in ``counted`` (host, typed, n, labelled, bad)."""
-    depth = counted.agg(F.max(F.size("typed"))).first()[0] or 0
-    now, done = counted.select("*", F.lit("").alias("template")), []
-    for level in range(depth):
-        now = now.withColumn("segment", F.get("typed", F.lit(level)))
-        branch = now.groupBy("host", "template", "segment").agg(F.sum("labelled").alias("bl"), F.sum("bad").alias("bb"), F.count("*").alias("paths"))
+    keep = counted.columns
+    now, done = counted.select("*", F.col("typed").alias("rest"), F.array().cast("array<string>").alias("template")), []
+    while not now.isEmpty():
+        placed = now.join(_first_branching(now), ["host", "template"])
+        ends = (F.col("at") < 0) | (F.size("rest") <= F.col("at"))
+        # Never evaluated for a path that ends, but a slice may not start before 1.
+        at = F.greatest("at", F.lit(0))
+        common = F.when(ends, F.col("rest")).otherwise(F.slice("rest", 1, at))
+        placed = placed.select(*keep, ends.alias("ends"), F.concat("template", common).alias("template"),
+                               F.when(~ends, F.get("rest", at)).alias("segment"),
+                               F.slice("rest", at + 2, F.greatest(F.size("rest") - at - 1, F.lit(0))).alias("rest"))
+        going = placed.where("not ends")
+        branch = going.groupBy("host", "template", "segment").agg(F.sum("labelled").alias("bl"), F.sum("bad").alias("bb"))
         node = branch.groupBy("host", "template").agg(F.count("*").alias("branches"), F.sum("bl").alias("nl"), F.sum("bb").alias("nb"))
         differs = _differs(*map(F.col, ("branches", "bl", "bb", "nl", "nb")))
-        name = F.when((F.col("branches") == 1) | differs, F.col("segment")).when(F.col("branches") > MAX_BRANCHES, "*").otherwise("~")
-        named = branch.join(node, ["host", "template"]).select("host", "template", "segment", name.alias("name"), "paths")
-        # Paths by node of the next level.
-        named = named.join(named.groupBy("host", "template", "name").agg(F.sum("paths").alias("together")), ["host", "template", "name"]).drop("paths")
-        joined = now.join(named, ["host", "template", "segment"])
-        before = F.col("template") if level == 0 else F.concat("template", F.lit("/"))
-        rest = F.slice("typed", level + 2, F.greatest(F.size("typed") - (level + 1), F.lit(0)))
-        here = F.concat(before, "name")
-        alone = (F.col("together") == 1) & (F.size(rest) > 0)
-        after = joined.withColumn("template", F.when(alone, F.concat_ws("/", here, F.array_join(rest, "/"))).otherwise(here))
-        after = written(after.withColumn("ended", alone | (F.size(rest) == 0)).select(*counted.columns, "template", "ended"), "templates")
-        done.append(after.where("ended").drop("ended"))
+        name = F.when((F.col("branches") == 1) | differs, F.col("segment")).otherwise("*")
+        named = branch.join(node, ["host", "template"]).select("host", "template", "segment", name.alias("name"))
+        after = placed.join(named, ["host", "template", "segment"], "left")
+        here = F.when(F.col("ends"), F.col("template")).otherwise(F.concat("template", F.array("name")))
+        after = after.select(*keep, here.alias("template"), "rest", (F.col("ends") | (F.size("rest") == 0)).alias("ended"))
+        after = written(after, "templates")
+        done.append(after.where("ended").drop("ended", "rest"))
         now = after.where("not ended").drop("ended")
-        if now.isEmpty():
-            break
-    out = done[0] if done else now
+    out = done[0] if done else now.drop("rest")
     for more in done[1:]:
         out = out.union(more)
-    return out
+    return out.withColumn("template", F.array_join("template", "/"))
 
 
 def filter_urls(pages: DataFrame, labelled: DataFrame, rules: list[tuple[str, str]], block_at: float = BLOCK_AT) -> DataFrame:

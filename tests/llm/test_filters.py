@@ -304,15 +304,14 @@ def brute_templates(typed):
                 at = h, now[h, p]
                 names, nl, nb = node[at]
                 bl, bb = branch[at, p[level]]
-                name = "~"
-                if len(names) > uf.MAX_BRANCHES:
-                    name = "*"
-                elif len(names) == 1:
+                name = "*"
+                if len(names) == 1:
                     name = p[level]
                 elif bl and nl > bl:
-                    pooled = nb / nl
+                    pooled, rest = nb / nl, (nb - bb + 1) / (nl - bl + 2)
                     spread = math.sqrt(pooled * (1 - pooled) * (1 / bl + 1 / (nl - bl)))
-                    if spread and abs(bb / bl - (nb - bb) / (nl - bl)) / spread >= uf.Z:
+                    tail = sum(k * math.log(k / (bl * share)) for k, share in ((bb, rest), (bl - bb, 1 - rest)) if k)
+                    if spread and abs(bb / bl - (nb - bb) / (nl - bl)) / spread >= uf.Z and tail >= math.log(2 * len(names) / uf.FALSE_BRANCHES):
                         name = p[level]
                 after[h, p] = (*now[h, p], name)
         now = after
