@@ -6,14 +6,15 @@ bytes (UTF-8; a text starts after ``ORDER`` - 1 newlines). Bytes need no tokeniz
 *Counts.* Tasks pre-aggregate n-gram counts, which are summed by n-gram. Lower orders count the different longer n-grams
 (continuation counts). Context totals and the numbers of n-grams seen once, twice and more often are summed by context,
 and join the counts on (order, context), hash-sharded: that gives each n-gram's discounted share and each context's
-back-off weight. No table of counts passes through the driver, only four counts-of-counts an order; the joined tables of
-shares and weights do pass through it, shard by shard, when they are broadcast for scoring.
+back-off weight. Nothing passes through the driver but four counts-of-counts an order and the symbols; the joined tables of
+shares and weights stay in the shared folder.
 
 *Scoring.* The joined tables are cut into shards of about ``CONTEXTS`` contexts by the last two bytes of a context, so
-that everything which decides one position lies in one shard. A shard is of bounded size (``CONTEXTS`` x 256 shares);
-the driver fetches and broadcasts it (all broadcasts are held), and documents pass it where they are: each task adds the log-probabilities of the positions that fall
-in the shard. Nothing of the documents is shuffled. (Joining each text position as a row would shuffle some 20 bytes for
-each byte of text.)
+that everything which decides one position lies in one shard. A shard is of bounded size (``CONTEXTS`` x 256 shares); one
+task writes it as a file in the shared folder. Documents are read once and stay where they are: a task holds some of them,
+fetches one shard after the other, and adds the log-probabilities of the positions that fall in it. A text of any length is
+taken block by block. Nothing of the documents is shuffled. (Joining each text position as a row would shuffle some 20
+bytes for each byte of text.)
 
 *Thresholds.* For each language, the ``quantile`` of bits per byte over its n held-out trusted documents, with the weight
 n / (n + ``SHRINK``); the rest of the weight is on what is expected of the language without them: the median over all its
@@ -30,33 +31,41 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leasekit.llm.common import hidden, slices, utf8, written
+from leasekit.llm.common import hidden, scratch, slices, utf8, written
 
 ORDER = 4
 #: Contexts of a shard; trusted ids up to which the training join broadcasts them (beyond, it is a shuffle join).
 CONTEXTS, BROADCAST_IDS = 32_768, 1_000_000
 #: Different n-grams that a task gathers before it passes them on.
 GATHER = 2_000_000
-#: Text handled at once; positions take some 60 bytes each meanwhile.
-STEP_BYTES = 1 << 20
-START = 10
+#: Positions handled at once (some 60 bytes each meanwhile); bytes of rows that one reading of all shards serves.
+STEP_BYTES, HELD_BYTES = 1 << 20, 32 << 20
+#: The byte before a text; the symbol that marks a context's weight in place of a share.
+START, WEIGHT = 10, -2
 #: Held-out documents at which a language's own quantile has half of the weight.
 SHRINK = 50
 
 
-def _padded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Texts with ORDER - 1 start bytes before each, and where the texts' own bytes are."""
-    n, pad = len(offsets) - 1, ORDER - 1
-    own = np.ones(len(data) + pad * n, bool)
-    heads = offsets[:-1] + pad * np.arange(n)
-    own[(heads[:, None] + np.arange(pad)).ravel()] = False
-    out = np.full(len(own), START, np.uint8)
-    out[own] = data
-    return out, np.flatnonzero(own)
+def _blocks(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, list[np.ndarray]]]:
+    """Blocks ``begin, end`` of all positions, each with the ORDER - 1 bytes before every position of its own text, nearest
+    first (before a text: START). A text may lie in many blocks, so a long one needs no more memory than a short one."""
+    for begin in range(0, len(data), STEP_BYTES):
+        end = min(begin + STEP_BYTES, len(data))
+        heads = offsets[np.searchsorted(offsets, begin - ORDER, "right"):np.searchsorted(offsets, end)]
+        before = []
+        for k in range(1, ORDER):
+            own = np.full(end - begin, START, np.uint8)
+            own[max(k - begin, 0):] = data[max(begin - k, 0):max(end - k, 0)]
+            for j in range(k):
+                at = heads + j - begin
+                own[at[(at >= 0) & (at < end - begin)]] = START
+            before.append(own)
+        yield begin, end, before
 
 
 def ngram_counts(texts: DataFrame) -> DataFrame:
@@ -65,17 +74,18 @@ def ngram_counts(texts: DataFrame) -> DataFrame:
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
         for batch in slices(batches, "text", STEP_BYTES):
-            padded, own = _padded(*utf8(batch.column("text")))
-            key = np.zeros(len(own), np.uint32)
-            for k in range(ORDER):
-                key = (key << np.uint32(8)) | padded[own - (ORDER - 1 - k)]
-            new, n = np.unique(key, return_counts=True)
-            both = np.concatenate([grams, new])
-            grams, where = np.unique(both, return_inverse=True)
-            counts = np.bincount(where, np.concatenate([counts, n]), len(grams)).astype(np.int64)
-            if len(grams) > GATHER:
-                yield pa.record_batch([pa.array(grams.astype(np.int64)), pa.array(counts)], names=["gram", "n"])
-                grams, counts = grams[:0], counts[:0]
+            data, offsets = utf8(batch.column("text"))
+            for begin, end, before in _blocks(data, offsets):
+                key = np.zeros(end - begin, np.uint32)
+                for byte in (*before[::-1], data[begin:end]):
+                    key = (key << np.uint32(8)) | byte
+                new, n = np.unique(key, return_counts=True)
+                both = np.concatenate([grams, new])
+                grams, where = np.unique(both, return_inverse=True)
+                counts = np.bincount(where, np.concatenate([counts, n]), len(grams)).astype(np.int64)
+                if len(grams) > GATHER:
+                    yield pa.record_batch([pa.array(grams.astype(np.int64)), pa.array(counts)], names=["gram", "n"])
+                    grams, counts = grams[:0], counts[:0]
         if len(grams):
             yield pa.record_batch([pa.array(grams.astype(np.int64)), pa.array(counts)], names=["gram", "n"])
 
@@ -117,95 +127,135 @@ def train(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 class Shard:
     """Log2-probabilities of every symbol after every context of a shard, as dense rows; contexts not seen share the
-    row of their longest seen end."""
-
-    def __init__(self, shares: dict[str, np.ndarray], weights: dict[str, np.ndarray], symbols: np.ndarray, shard: int, shards: int):
+    row of their longest seen end. Bytes: four numbers (rows, size, shard, shards), symbols, log, place."""
+
+    def __init__(self, raw: bytes | pa.Buffer):
+        rows, self.size, shard, shards = (int(v) for v in np.frombuffer(raw, "<i8", 4))
+        self.symbol = np.frombuffer(raw, "<i8", 256, 32)
+        self.log = np.frombuffer(raw, "<f4", rows * self.size, 32 + 2048).reshape(rows, self.size)
+        self.place = np.frombuffer(raw, "<i4", offset=32 + 2048 + 4 * rows * self.size)
+        self.mine = None if shards == 1 else (np.arange(1 << 16) % shards == shard).reshape(256, 256)
+
+    @staticmethod
+    def pack(shares: dict[str, np.ndarray], weights: dict[str, np.ndarray], symbols: np.ndarray, shard: int, shards: int) -> bytes:
+        """The bytes of a shard from its rows of the joined tables."""
         size = len(symbols) + 1  # the last is any byte never seen
-        self.symbol = np.full(256, size - 1, np.int64)
-        self.symbol[symbols] = np.arange(len(symbols))
-        rows = [np.full((1, size), 1 / 256)]
-        place = np.zeros((), np.int64)
-        total = 1
+        symbol = np.full(256, size - 1, np.int64)
+        symbol[symbols] = np.arange(len(symbols))
+        table = np.full((1, size), 1 / 256)
+        place = np.zeros(1, np.int32)
         for order in range(1, ORDER + 1):
             contexts, weight = (weights[c][weights["order"] == order] for c in ("context", "weight"))
             if order > 1:
-                place = np.broadcast_to(place, (size, *place.shape)).copy()
-            flat = place.reshape(-1)
+                place = np.tile(place, size)
             at = np.zeros(len(contexts), np.int64)
             for k in range(order - 1):
-                at += self.symbol[(contexts >> (8 * k)) & 255] * size ** k
-            before = flat[at]
-            table = np.concatenate(rows)
-            new = weight[:, None] * table[before]
+                at += symbol[(contexts >> (8 * k)) & 255] * size ** k
+            new = weight[:, None] * table[place[at]]
             order_at = np.argsort(contexts)
             mine = shares["order"] == order
             row = order_at[np.searchsorted(contexts[order_at], shares["context"][mine])]
-            new[row, self.symbol[shares["symbol"][mine]]] += shares["share"][mine]
-            flat[at] = total + np.arange(len(contexts))
-            place = flat.reshape(place.shape)
-            rows.append(new)
-            total += len(contexts)
-        self.log = np.log2(np.concatenate(rows)).astype(np.float32)
-        self.place, self.size = place.reshape(-1).astype(np.int32), size
-        self.mine = None
-        if shards > 1:
-            self.mine = np.zeros((256, 256), bool)
-            self.mine.reshape(-1)[[p for p in range(1 << 16) if p % shards == shard]] = True
+            new[row, symbol[shares["symbol"][mine]]] += shares["share"][mine]
+            place[at] = len(table) + np.arange(len(contexts))
+            table = np.concatenate([table, new])
+        head = np.array([len(table), size, shard, shards], "<i8")
+        return b"".join(x.tobytes() for x in (head, symbol.astype("<i8"), np.log2(table).astype("<f4"), place.astype("<i4")))
 
     def bits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Bits of this shard's positions of each text."""
-        padded, own = _padded(data, offsets)
-        code = self.symbol[padded]
-        context = np.zeros(len(own), np.int64)
-        for k in range(1, ORDER):
-            context += code[own - k] * self.size ** (k - 1)
-        log = self.log[self.place[context], code[own]].astype(np.float64)
-        if self.mine is not None:
-            log[~self.mine[padded[own - 2], padded[own - 1]]] = 0
-        total = np.concatenate([[0], np.cumsum(log)])
-        return total[offsets[:-1]] - total[offsets[1:]]
+        out = np.zeros(len(offsets) - 1)
+        for begin, end, before in _blocks(data, offsets):
+            context = np.zeros(end - begin, np.int64)
+            for k, byte in enumerate(before):
+                context += self.symbol[byte] * self.size ** k
+            log = self.log[self.place[context], self.symbol[data[begin:end]]].astype(np.float64)
+            if self.mine is not None:
+                log[~self.mine[before[1], before[0]]] = 0
+            total = np.concatenate([[0], np.cumsum(log)])
+            some = slice(max(np.searchsorted(offsets, begin, "right") - 1, 0), np.searchsorted(offsets, end))  # texts in this block
+            edges = np.clip(offsets[some.start:some.stop + 1], begin, end) - begin
+            out[some] += total[edges[:-1]] - total[edges[1:]]
+        return out
 
 
 class Model:
-    """Scores texts by the tables of :func:`train`."""
+    """Scores texts by the tables of :func:`train`: a task for each shard writes it as one file in the shared folder, and
+    only the files' names reach the driver."""
 
     def __init__(self, spark: SparkSession, shares: DataFrame, weights: DataFrame, contexts: int = CONTEXTS):
         seen = weights.where(F.col("order") == ORDER).count()
-        self.shards = max(1, -(-seen // contexts))
+        self.shards = shards = max(1, -(-seen // contexts))
         symbols = np.array(sorted(r.symbol for r in shares.where("order = 1").select("symbol").collect()), np.int64)  # at most 256
-        self.parts = []
-        for shard in range(self.shards):
-            mine = (F.col("order") < 3) | (F.col("context").bitwiseAND(0xFFFF) % self.shards == shard)
-            pull = lambda df: {c: v.to_numpy() for c, v in df.where(mine).toPandas().items()}
-            self.parts.append(spark.sparkContext.broadcast((pull(shares), pull(weights), symbols)))
+        self.folder = folder = scratch(spark, "lm-shards")
+
+        def write(key, group):
+            shard = int(key[0].as_py())
+            rows = {c: group.column(c).to_numpy() for c in ("order", "context", "symbol", "value")}
+            share, weight = rows["symbol"] >= 0, rows["symbol"] == WEIGHT
+            take = lambda some, **names: {new: rows[old][some] for new, old in names.items()}
+            raw = Shard.pack(take(share, order="order", context="context", symbol="symbol", share="value"), take(weight, order="order", context="context", weight="value"), symbols, shard, shards)
+            store, top = _store(folder)
+            store.create_dir(top, recursive=True)
+            name = f"shard-{shard}-{uuid.uuid4().hex[:12]}"  # of this attempt: only files that the result names are read
+            with store.open_output_stream(f"{top}/{name}") as f:
+                f.write(raw)
+            return pa.table([pa.array([shard], pa.int32()), pa.array([name])], names=["shard", "name"])
+
+        every = F.sequence(F.lit(0), F.lit(shards - 1))
+        of = F.when(F.col("order") < 3, every).otherwise(F.array((F.col("context").bitwiseAND(0xFFFF) % shards).cast("int")))
+        both = shares.select("order", "context", "symbol", F.col("share").alias("value"))
+        both = both.union(weights.select("order", "context", F.lit(WEIGHT).cast("long"), "weight"))
+        both = both.union(spark.range(1).select(F.lit(0), F.lit(0).cast("long"), F.lit(-1).cast("long"), F.lit(0.0)))  # a shard without rows is one too
+        dealt = both.withColumn("shard", F.explode(of))
+        self.names = [r.name for r in dealt.groupBy("shard").applyInArrow(write, "shard int, name string").orderBy("shard").collect()]  # a row a shard
 
     def score(self, docs: DataFrame) -> DataFrame:
-        """``docs`` with ``lm_bits`` and ``lm_bytes`` (null or empty text: 0 and 0). No shuffle."""
+        """``docs`` with ``lm_bits`` and ``lm_bytes`` (null or empty text: 0 and 0). No shuffle; one pass over the texts."""
         schema = T.StructType([*docs.schema.fields, T.StructField("lm_bits", T.DoubleType()), T.StructField("lm_bytes", T.LongType())])
-        out = docs.withColumns({"lm_bits": F.lit(0.0), "lm_bytes": F.lit(0).cast("long")})
-        for shard, part in enumerate(self.parts):
-            out = out.mapInArrow(_scorer(part, shard, self.shards), schema)
-        return out
-
-
-_READY: dict[tuple, Shard] = {}
-
-
-def _scorer(part, shard: int, shards: int):
-    key = (uuid.uuid4().hex, shard)
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _READY:
-            _READY.clear()  # a worker holds one shard at a time
-            _READY[key] = Shard(*part.value, shard, shards)
-        ready = _READY[key]
-        for batch in slices(batches, "text", STEP_BYTES):
-            data, offsets = utf8(batch.column("text"))
-            bits = batch.column("lm_bits").to_numpy() + ready.bits(data, offsets)
-            arrays = [*batch.columns[:-2], pa.array(bits), pa.array(np.diff(offsets))]
-            yield pa.RecordBatch.from_arrays(arrays, names=batch.schema.names)
-
-    return add
+        folder, names = self.folder, self.names
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for some in _gathered(slices(batches, "text", STEP_BYTES)):
+                texts = [utf8(batch.column("text")) for batch in some]
+                bits = [np.zeros(batch.num_rows) for batch in some]
+                for name in names:
+                    shard = _shard(folder, name)
+                    for total, text in zip(bits, texts):
+                        total += shard.bits(*text)
+                for batch, total, (_, offsets) in zip(some, bits, texts):
+                    yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(total), pa.array(np.diff(offsets))], names=schema.names)
+
+        return docs.mapInArrow(add, schema)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """Lists of batches of about HELD_BYTES together: every shard is read once for each list."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= HELD_BYTES:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+_READY: dict[tuple[str, str], Shard] = {}
+
+
+def _shard(folder: str, name: str) -> Shard:
+    """A shard from the shared folder; a worker holds one at a time."""
+    if (folder, name) not in _READY:
+        _READY.clear()
+        store, top = _store(folder)
+        with store.open_input_file(f"{top}/{name}") as f:
+            _READY[folder, name] = Shard(f.read_buffer())
+    return _READY[folder, name]
+
+
+def _store(folder: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
 
 
 def thresholds(scored: DataFrame, quantile: float, fence: float = 0.0) -> DataFrame:

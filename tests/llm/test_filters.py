@@ -68,20 +68,30 @@ def test_kneser_ney_equals_plain_dictionaries(spark, contexts):
     model = lm.Model(spark, *lm.train(spark.createDataFrame([(t,) for t in some], "text string")), contexts)
     assert (model.shards > 1) == (contexts == 40)
     texts = [*some[:4], "Zebra ### 漢字 unknown \x01 bytes", "", "a", None]
-    if contexts == 40:
-        model.parts, every = model.parts, model.parts
-        bits = np.zeros(len(texts))
-        from leasekit.llm.common import utf8
-        import pyarrow as pa
-        for k, part in enumerate(every):
-            bits += lm.Shard(*part.value, k, model.shards).bits(*utf8(pa.array(texts)))
-        got = bits.tolist()
-    else:
-        got = [r.lm_bits for r in model.score(spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, text string")).orderBy("k").collect()]
+    got = [r.lm_bits for r in model.score(spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, text string")).orderBy("k").collect()]
     want = brute_model(some)
     assert got == pytest.approx([want(t or "") for t in texts], rel=1e-5, abs=1e-4)
 
 
+def test_a_text_in_many_blocks_scores_as_in_one(spark, monkeypatch):
+    """Blocks of a few bytes: also texts that are shorter than a context, empty ones, and blocks that begin inside a text."""
+    import pyarrow as pa
+
+    from leasekit.llm.common import utf8
+
+    some = [r.text[:300] for r in spark.read.parquet(f"{SF}/documents.parquet").limit(10).collect()]
+    model = lm.Model(spark, *lm.train(spark.createDataFrame([(t,) for t in some], "text string")), 40)
+    data = utf8(pa.array(["", "a", "", some[0], "bc", None, "def", some[1] * 3, ""]))
+    for name in model.names[:3]:
+        shard = lm._shard(model.folder, name)
+        whole = shard.bits(*data)
+        assert whole.sum() > 0
+        for step in (1, 2, 3, 7, 64):
+            monkeypatch.setattr(lm, "STEP_BYTES", step)
+            assert shard.bits(*data) == pytest.approx(whole, rel=1e-9, abs=1e-9)
+        monkeypatch.undo()
+
+
 def test_chained_shards_add_up(spark):
     some = spark.createDataFrame([("abcabcab",), ("abd xyz",)], "text string")
     tables = lm.train(some)
