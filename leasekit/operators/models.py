@@ -317,7 +317,7 @@ class KnnRegressor:
 
 
 def ridge(alpha: float, n: int, label_std: float) -> LinearRegression:
-    """M4: sklearn-style ridge. MLlib scales the L2 term by the label std and the
+    """M4: sklearn-style ridge. MLlib scales the L2 term by the label's population std and the
     loss by 1/n, so regParam = alpha * std(y) / n reproduces ||y - Xw||² + alpha||w||²."""
     return LinearRegression(elasticNetParam=0.0, regParam=alpha * label_std / max(n, 1),
                             standardization=False, solver="normal")
@@ -452,7 +452,7 @@ def fit_predict(name: str, train: DataFrame, test: DataFrame, log_target: bool =
 def _fit(name, train, seed):
     n, sd = 0, 1.0
     if name == "ridge":
-        r = train.agg(F.count("label"), F.stddev_samp("label")).first()
+        r = train.agg(F.count("label"), F.stddev_pop("label")).first()
         n, sd = int(r[0]), float(r[1] or 1.0)
     return make_model(name, seed, n, sd).fit(train)
 
@@ -481,7 +481,7 @@ def stacking(train: DataFrame, test: DataFrame, bases: Sequence[str], fitted: di
     from leasekit.session import materialize
 
     meta_in = materialize(assemble.transform(oof).select("label", "_meta"))
-    r = meta_in.agg(F.count("label"), F.stddev_samp("label")).first()
+    r = meta_in.agg(F.count("label"), F.stddev_pop("label")).first()
     meta = ridge(1.0, int(r[0]), float(r[1] or 1.0)).setFeaturesCol("_meta").fit(meta_in)
     return meta.transform(assemble.transform(predictions(None, test))).drop("_meta", *columns)
 

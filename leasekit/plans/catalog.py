@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["q_sources", "q_clean", "q_reports", "q_split", "q_encode", "q_models", "q_score"]
+MODULES = ["q_sources", "q_clean", "q_reports", "q_split", "q_encode", "q_models", "q_score", "q_closed"]
 
 
 def _load():

@@ -206,22 +206,20 @@ def q_dummy(spark, d):
     return _round_metrics(EV.compute_metrics(pred, "label", "prediction"))
 
 
-def _one_feature(spark, d, log=False):
+def _one_feature(spark, d):
     from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
 
-    df = split_features(spark, d).select("id", "split", "square_feet", F.col("price").alias("y"))
-    df = df.withColumn("label", F.log1p("y") if log else F.col("y"))
-    df = VectorAssembler(inputCols=["square_feet"], outputCol="features").transform(df)
-    model = LinearRegression(solver="normal").fit(df.filter(F.col("split") == "train"))
-    return df, model
+    df = split_features(spark, d).select("id", "split", "square_feet", F.col("price").alias("label"))
+    return VectorAssembler(inputCols=["square_feet"], outputCol="features").transform(df)
 
 
 @query("linear_ols", "M2", sql=lambda: _split_sql_ctes() + """
 SELECT round(regr_slope(price, square_feet), 6) AS slope, round(regr_intercept(price, square_feet), 4) AS intercept
 FROM tr""")
 def q_ols(spark, d):
-    _, model = _one_feature(spark, d)
+    from pyspark.ml.regression import LinearRegression
+
+    model = LinearRegression(solver="normal").fit(_one_feature(spark, d).filter(F.col("split") == "train"))
     return spark.createDataFrame([(float(model.coefficients[0]), float(model.intercept))], "slope double, intercept double") \
         .select(rnd("slope", 6).alias("slope"), rnd("intercept", 4).alias("intercept"))
 
@@ -231,9 +229,11 @@ coef AS (SELECT regr_slope(ln(1 + price), square_feet) AS b, regr_intercept(ln(1
 x AS (SELECT price AS y, exp(a + b * square_feet) - 1 AS p FROM va, coef)
 SELECT round(avg(abs(y - p)), 3) AS mae, round(median(abs(y - p)), 3) AS median_ae FROM x""")
 def q_log_target(spark, d):
-    df, model = _one_feature(spark, d, log=True)
-    pred = model.transform(df.filter(F.col("split") == "val")).withColumn("prediction", F.expm1("prediction"))
-    m = EV.compute_metrics(pred, "y", "prediction")
+    from leasekit.operators.models import fit_predict
+
+    rows = _one_feature(spark, d)
+    pred, _ = fit_predict("linear_regression", rows.filter(F.col("split") == "train"), rows.filter(F.col("split") == "val"), log_target=True)
+    m = EV.compute_metrics(pred, "label", "prediction")
     return m.select(rnd("mae", 3).alias("mae"), rnd("median_ae", 3).alias("median_ae"))
 
 
