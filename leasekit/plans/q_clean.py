@@ -125,7 +125,7 @@ def q_clean(spark, d):
 @query("clean_raw_export", "S2 P15", sql=lambda: S.with_clean(raw=True) + """
 SELECT id, category, bathrooms, bedrooms, round(price, 4) AS price, square_feet, state, source, posted_at FROM c""")
 def q_clean_raw(spark, d):
-    df = C.clean_data(raw_lv(spark, d), key="id", order=ORDER)
+    df = C.clean_data(raw_lv(spark, d), key="id", order=ORDER, materialize=True)
     return df.select("id", "category", "bathrooms", "bedrooms", rnd("price", 4).alias("price"),
                      "square_feet", "state", "source", "posted_at")
 
