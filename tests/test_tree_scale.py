@@ -40,7 +40,7 @@ def test_columns_one_by_one_and_parts_of_levels_give_the_same_trees(spark, monke
 
 
 def test_values_of_a_one_hot_group_follow_from_its_byte():
-    lay = T.Layout([[0], [1, 2, 3], [4]], [np.zeros(0, np.float32)] * 3, 5, 1.0, 0.0, 4)
+    lay = T.Layout([[0], [1, 2, 3], [4]], [np.ones(1, np.float32), np.zeros(0, np.float32), np.ones(1, np.float32)], 5, 1.0, 0.0, 4)
     x = np.array([[5, 0, 1, 0, 7], [6, 0, 0, 0, 8], [7, 1, 0, 0, 9], [8, 0, 0, 1, 1]], np.float32)
     part = {"n": 4, "codes": lay.codes(x).tobytes(), "x": x.T[lay.single].tobytes(), "y": np.zeros(4).tobytes(), "ids": np.arange(4).tobytes(), "folds": np.zeros(4, "<i4").tobytes()}
     rows = T.Rows(lay, [part])
