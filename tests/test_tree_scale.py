@@ -83,3 +83,20 @@ def test_a_local_tree_needs_few_numbers_a_row(kind):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < n * 8 * 24 + (40 << 20)  # at most 24 numbers a row; a grid (row x column) and its copies were 100
+
+
+def test_last_level_takes_no_pass_of_its_own_and_rows_alike_share_a_prediction(spark, monkeypatch):
+    calls, one = [], T._pass
+    monkeypatch.setattr(T, "_pass", lambda *a: calls.append(1) or one(*a))
+    rows = spark.range(900).selectExpr("id", "cast(id * 37 % 101 as double) as label", "array(cast(id % 3 = 0 as double)) as x")
+    rows = rows.select("id", "label", array_to_vector("x").alias("features"))
+    monkeypatch.setattr(T, "WRITE_EVERY", 2)
+    for rows, names in ((rows, None), (table(spark, 600).selectExpr("id", "label", "features"), NAMES)):
+        for spec in (T.Trees("boost", 5, 0.3, depth=1, l2=3.0), T.Trees("boost", 5, 0.3, depth=3, rows_share=0.7, columns_share=0.7)):
+            calls.clear()
+            assert trees(T.fit_all([spec], rows, names, local_bytes=0)) == trees(T.fit_all([spec], rows, names))
+            assert len(calls) <= 5 * spec.depth  # before: a pass more for each tree
+    codes = np.array([[0, 1, 0, 1] * 300, [2, 2, 2, 200] * 300], np.uint8)
+    first, which = T.same_bytes(codes)
+    assert len(first) == 3 and (codes[:, first][:, which] == codes).all()
+    assert T.same_bytes(np.arange(300, dtype=np.uint64).view(np.uint8).reshape(300, 8).T) is None
