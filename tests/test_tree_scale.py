@@ -100,3 +100,52 @@ def test_last_level_takes_no_pass_of_its_own_and_rows_alike_share_a_prediction(s
     first, which = T.same_bytes(codes)
     assert len(first) == 3 and (codes[:, first][:, which] == codes).all()
     assert T.same_bytes(np.arange(300, dtype=np.uint64).view(np.uint8).reshape(300, 8).T) is None
+
+
+def test_tasks_that_share_the_columns_of_boosted_trees_make_the_same_trees(spark, monkeypatch):
+    rows, calls, one = table(spark), [], T._fit_shared
+    fold = rows.id % 3
+    specs = [T.Trees("boost", 4, 0.3, depth=4, rows_share=0.7, columns_share=0.7, l2=1.0, least_gain=0.01), T.Trees("boost", 4, 0.3, depth=None, leaves=9, least_rows=5, skip_fold=1),
+             T.Trees("forest", 3, depth=4)]
+    monkeypatch.setattr(T, "_fit_shared", lambda *a: calls.append(sorted(a[0])) or one(*a))
+    alone = trees(T.fit_all(specs, rows, NAMES, fold=fold))
+    assert not calls  # few rows
+    monkeypatch.setattr(T, "SHARED_ENTRIES", 0)
+    assert trees(T.fit_all(specs, rows, NAMES, fold=fold)) == alone
+    assert calls == [[0, 1]]
+    many = [T.Trees("boost", 1, depth=2)] * 3  # four cores are better used by a model each
+    assert T._shared_by(spark, many, T.Layout([[0]], [np.zeros(0, np.float32)], 1, 1.0, 0.0, 9)) == 0
+
+
+def test_a_boosted_tree_that_tasks_share_adds_up_few_rows_and_columns(monkeypatch):
+    draw, n, width, ranks = np.random.default_rng(8), 6000, 12, 4
+    lay = T.Layout([[k] for k in range(width)], [np.sort(draw.standard_normal(40)).astype(np.float32) for _ in range(width)], width, 2.0 ** 20, 0.0, n)
+    rows = object.__new__(T.Rows)
+    rows.codes, rows.x = draw.integers(0, 41, (width, n)).astype(np.uint8), None
+    rows.y, rows.ids, rows.folds = draw.standard_normal(n), np.arange(n), np.zeros(n, np.int32)
+    spec, told = T.Trees("boost", depth=4, l2=1.0), []
+    _, whole, at = T.local_tree(spec, 0, lay, rows, np.zeros(n))
+    seen, count = [], np.bincount
+    # The tasks one after the other: a level is told again to those that come later.
+    for level in range(spec.depth):
+        cuts = []
+        for rank in range(ranks):
+            met = iter(told)
+
+            def meet(found):
+                for best in met:
+                    return best
+                cuts.append(found)
+                raise StopIteration
+
+            try:
+                T.shared_tree(spec, 0, lay, rows, np.zeros(n), rank, ranks, meet)
+            except StopIteration:
+                pass
+        told.append(T._meet(cuts[0], lambda _, cuts=cuts: [np.stack([c.gain, c.feature, c.cut]).tobytes() for c in cuts]))
+    monkeypatch.setattr(np, "bincount", lambda x, *a, **k: seen.append(len(x)) or count(x, *a, **k))
+    met, margin = iter(told), np.zeros(n)
+    made = T.shared_tree(spec, 0, lay, rows, margin, 1, ranks, lambda _: next(met))
+    assert all((made[c] == whole[c]).all() for c in whole)
+    assert np.unique(margin).size == (whole["left"] == np.arange(len(whole["left"]))).sum()
+    assert sum(seen) <= 2 * (width // ranks) * n * (1 + (spec.depth - 1) / 2)  # own columns, at most half of the rows below the root
