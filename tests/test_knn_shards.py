@@ -47,3 +47,49 @@ def test_nulls_and_infinite_entries(spark):
     assert [(x.qid, x.rid) for x in got] == [(9, 1), (9, 5)]
     empty = knn_join(refs, refs.where("false"), k=2)
     assert empty.count() == 0
+
+
+def test_blocks_leave_out_shards_that_are_too_far(tmp_path, monkeypatch):
+    import pyarrow as pa
+
+    from leasekit.operators import knn as K
+
+    rng = np.random.default_rng(4)
+    points = np.vstack([rng.standard_normal((4000, 6)), rng.standard_normal((40, 6)) * 9, np.full((300, 6), 0.5)]) + 1e5
+    nodes = K._median_tree(points[::3], 20)
+    leaf = K._leaf_of(nodes, points)
+    order = np.argsort(leaf, kind="stable")
+    vectors = lambda x: pa.array([list(v) for v in x], pa.list_(pa.float64()))
+    batch = pa.record_batch([pa.array(order), pa.array(order * 0.5), vectors(points[order]), pa.array(leaf[order])], names=["rid", "label", "rv", "leaf"])
+    shards = [tuple(v.as_py() for v in r) for b in K._write_shards(str(tmp_path), 30)(iter([batch])) for r in zip(*b.columns)]
+    assert len(shards) > 100
+    read, one = [], K._Shards.__getitem__
+    monkeypatch.setattr(K._Shards, "__getitem__", lambda self, s: read.append(s) or one(self, s))
+    asked = points[:20] + 0.01
+    batch = pa.record_batch([pa.array(np.arange(20)), vectors(asked), pa.array(np.zeros(20, np.int32))], names=["qid", "qv", "leaf"])
+    got = [tuple(v.as_py() for v in r) for b in K._nearest(str(tmp_path), shards, 7, 9)(iter([batch])) for r in zip(*b.select(["qid", "near", "rid"]).columns)]
+    rank, found = {}, []
+    for q, _, r in sorted(got):
+        rank[q] = rank.get(q, 0) + 1
+        found.append((q, r, rank[q]))
+    assert sorted(found) == _brute(list(enumerate(asked)), list(enumerate(points)), 7)
+    read.clear()
+    single = batch.slice(3, 1)
+    list(K._nearest(str(tmp_path), shards, 7, 9)(iter([single])))
+    assert len(read) < len(shards) // 2  # before: every shard
+
+
+def test_places_of_rows():
+    from leasekit.operators import knn as K
+
+    rng = np.random.default_rng(6)
+    x = np.column_stack([rng.integers(0, 3, 500), rng.standard_normal(500)]).astype(float)
+    nodes = K._median_tree(x, 10)
+    leaf = K._leaf_of(nodes, x)
+    assert np.bincount(leaf).min() >= 5 and len(set(leaf)) == sum(n[0] < 0 for n in nodes)
+    assert K._leaf_of(nodes, np.array([[np.nan, 0], [np.inf, 1], [0, 0.0]])).tolist()[:2] == [-1, -1]
+    same = np.ones((50, 2))
+    assert K._median_tree(same, 5) == [(-1, 0.0, -1, -1)] and [len(p) for p in K._parts(same, 20)] == [20, 20, 10]
+    assert K._halves(np.array([[0.0], [1], [1], [1]])) == (0, 0.0)  # rows on both sides
+    parts = K._parts(x, 30)
+    assert max(map(len, parts)) <= 30 and sorted(np.concatenate(parts)) == list(range(500))
