@@ -149,3 +149,46 @@ def test_a_boosted_tree_that_tasks_share_adds_up_few_rows_and_columns(monkeypatc
     assert all((made[c] == whole[c]).all() for c in whole)
     assert np.unique(margin).size == (whole["left"] == np.arange(len(whole["left"]))).sum()
     assert sum(seen) <= 2 * (width // ranks) * n * (1 + (spec.depth - 1) / 2)  # own columns, at most half of the rows below the root
+
+
+def test_tasks_that_share_the_rows_of_boosted_trees_make_the_same_trees(spark, monkeypatch):
+    rows, calls, one = table(spark), [], T._fit_shared
+    fold = rows.id % 3
+    specs = [T.Trees("boost", 4, 0.3, depth=4, rows_share=0.7, columns_share=0.7, l2=1.0, least_gain=0.01), T.Trees("boost", 4, 0.3, depth=None, leaves=9, least_rows=5, skip_fold=1),
+             T.Trees("forest", 3, depth=4), T.Trees("boost", 2, 0.3, depth=0)]
+    alone = trees(T.fit_all(specs, rows, NAMES, fold=fold))
+    monkeypatch.setattr(T, "SHARED_ENTRIES", 0)
+    monkeypatch.setattr(T, "MEET_BYTES", 1)  # a few nodes at a time
+    monkeypatch.setattr(T, "_fit_shared", lambda *a, **k: calls.append((sorted(a[0]), k)) or one(*a, **k))
+    monkeypatch.setattr(T, "_fit_distributed", lambda *a, distributed=T._fit_distributed: calls.append(len(a[0])) or distributed(*a))
+    size = 700 * (4 + 20)  # more than one task may hold: before, a pass over all rows for each level of each tree
+    assert trees(T.fit_all(specs, rows, NAMES, fold=fold, local_bytes=size // 3)) == alone
+    assert calls == [([0, 1, 3], {"by_rows": True}), 1]
+    calls.clear()
+    assert trees(T.fit_all(specs, rows, NAMES, fold=fold, local_bytes=size // 8)) == alone  # nor its share
+    assert calls == [4]
+    chains = {0: T.Trees("boost", depth=8)}
+    lay = T.Layout([[k] for k in range(50)], [np.arange(200, dtype=np.float32)] * 50, 50, 1.0, 0.0, 10_000_000)
+    assert T._by_rows(chains, lay)
+    lay.rows = 10_000
+    assert not T._by_rows(chains, lay)  # sums would be more than rows
+
+
+def test_columns_of_few_bins_share_a_byte():
+    draw, n = np.random.default_rng(3), 500
+    sizes = [2] * 11 + [200, 7, 30, 1, 4]
+    lay = T.Layout([[k] for k in range(16)], [np.arange(s - 1, dtype=np.float32) for s in sizes], 16, 1.0, 0.0, n)
+    codes = np.stack([draw.integers(0, s, n) for s in sizes]).astype(np.uint8)
+    part = {"n": n, "codes": codes.tobytes(), "x": b"", "y": np.zeros(n).tobytes(), "ids": np.arange(n).tobytes(), "folds": b""}
+    import pyarrow as pa
+
+    packs = T.Packs(lay)
+    rows = packs.rows(iter([pa.record_batch([pa.array([part[c]]) for c in T._BLOCK], names=T._BLOCK)]))
+    assert len(rows.codes) == 4 and len(rows.y) == n and not len(rows.folds)
+    which, node, g = np.arange(0, n, 2), np.arange(n // 2) % 3, draw.integers(-50, 50, n // 2).astype(float)
+    found = packs.sums(rows, [0, 5, 11, 12, 15], which, node, 3, g)
+    assert sorted(found) == [0, 5, 11, 12, 15]
+    for c, sums in found.items():
+        assert (sums == T.histogram(codes[c][which], node, 3, sizes[c], g, None)[[0, 2]]).all()
+    for c in (k for k, s in enumerate(sizes) if s > 1):
+        assert (packs.codes(rows, c, which) == codes[c][which]).all()
