@@ -192,3 +192,23 @@ def test_columns_of_few_bins_share_a_byte():
         assert (sums == T.histogram(codes[c][which], node, 3, sizes[c], g, None)[[0, 2]]).all()
     for c in (k for k, s in enumerate(sizes) if s > 1):
         assert (packs.codes(rows, c, which) == codes[c][which]).all()
+
+
+def test_blocks_are_not_copied_for_every_task_and_large_ensembles_stay_in_files(spark, monkeypatch):
+    rows = table(spark)
+    lay = T.layout(rows, rows.label, "features", NAMES)
+    made = T.materialize(T.blocks(rows, rows.label, "features", lay, "id", None, True))
+    for spec in (T.Trees("extra", 12, depth=3), T.Trees("forest", 12, depth=3)):
+        plan = T._fit_groups({0: spec}, lay, made)._jdf.queryExecution().executedPlan().toString()
+        assert "codes" not in plan and "Generate" not in plan, plan  # before: shuffled once for each task
+    specs = [T.Trees("forest", 7, depth=4), T.Trees("extra", 12, depth=None, least_rows=2)]
+    models = T.fit_all(specs, rows, NAMES)
+    scored = lambda: [[r.prediction for r in m.transform(rows).orderBy("id").collect()] for m in models]
+    whole = scored()
+    monkeypatch.setattr(T, "SENT_BYTES", 1)
+    monkeypatch.setattr(T, "HELD_BYTES", 2000)
+    monkeypatch.setattr(T.Ensemble, "_some", None)  # no tree comes to the driver
+    assert scored() == whole
+    persisted = T.Ensemble(models[1].spec, models[1].trees.repartition(2), models[1].base, models[1].width)
+    again = [r.prediction for r in persisted.transform(rows).orderBy("id").collect()]
+    assert np.abs(np.subtract(again, whole[1])).max() < 1e-9  # the same trees in another order
